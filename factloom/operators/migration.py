@@ -113,14 +113,12 @@ def phase_gates(requests: DataFrame, gates: DataFrame, checklist: DataFrame) ->
 
 def _grams(text: Column, longest: int = 3) -> Column:
     """The distinct substrings of 1..longest characters, and the empty one."""
-    cuts = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-            lambda i, n=n: F.substring(text, i, F.lit(n)),
-        )
-        for n in range(1, longest + 1)
-    ]
-    return F.array_distinct(F.concat(F.array(F.lit("")), *cuts))
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[of_length(n + 1) for n in range(longest)]))
 
 
 def triage(incidents: DataFrame, patterns: DataFrame) -> DataFrame:

@@ -60,9 +60,9 @@ def piece_of(place: Column) -> Column:
     """Piece number of a position, given the ``_lo``, ``_hi`` and ``_pieces`` columns."""
     share = (place - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))
     raw = F.floor(share * F.col(PIECES)).cast("long")
-    return F.coalesce(
-        F.greatest(F.lit(0).cast("long"), F.least(raw, F.col(PIECES) - 1)), F.lit(0).cast("long")
-    )
+    first = F.lit(0).cast("long")
+    # Rows without a time sort first, so they belong to the first piece.
+    return F.when(raw.isNull(), first).otherwise(F.greatest(first, F.least(raw, F.col(PIECES) - 1)))
 
 
 def in_pieces(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> DataFrame:

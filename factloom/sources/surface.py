@@ -1,7 +1,7 @@
 """Writing surfaces, and tables on Parquet that can be replaced bucket by bucket (IO4).
 
 ``publish_version`` and ``rewrite_version`` never overwrite what a reader may be reading.
-Data goes to ``<root>/data/version=N/bucket=b``; a row (bucket, version) appended to
+Data goes to ``<root>/data/in_version=N/in_bucket=b``; a row (bucket, version) appended to
 ``<root>/manifest`` then makes it visible. The current content is, for every bucket, the
 version with the highest number in the manifest.
 """
@@ -58,21 +58,21 @@ def read_current(spark: SparkSession, root: str, buckets: list[int] | None = Non
     chosen = visible if buckets is None else {b: v for b, v in visible.items() if b in set(buckets)}
     schema = spark.read.parquet(f"{root}/data").schema
     # One schema read, then only the folders named here are listed and scanned.
-    paths = [f"{root}/data/version={v}/bucket={b}" for b, v in sorted(chosen.items())]
+    paths = [f"{root}/data/in_version={v}/in_bucket={b}" for b, v in sorted(chosen.items())]
     reader = spark.read.schema(schema).option("basePath", f"{root}/data")
     if not paths:
-        return spark.createDataFrame([], schema).drop("version", "bucket")
-    return reader.parquet(*paths).drop("version", "bucket")
+        return spark.createDataFrame([], schema).drop("in_version", "in_bucket")
+    return reader.parquet(*paths).drop("in_version", "in_bucket")
 
 
 def _commit(df: DataFrame, root: str, version: int, buckets: list[int]) -> None:
-    """Write the rows (with a ``bucket`` column) as a version and make it visible."""
+    """Write the rows (with an ``in_bucket`` column) as a version and make it visible."""
     spark = df.sparkSession
     (
-        df.hint("rebalance", "bucket")
+        df.hint("rebalance", "in_bucket")
         .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(f"{root}/data/version={version}")
+        .partitionBy("in_bucket")
+        .parquet(f"{root}/data/in_version={version}")
     )
     rows = spark.createDataFrame([(b, version) for b in buckets], MANIFEST_SCHEMA)
     rows.coalesce(1).write.mode("append").json(f"{root}/manifest")
@@ -80,7 +80,7 @@ def _commit(df: DataFrame, root: str, version: int, buckets: list[int]) -> None:
 
 def publish_version(df: DataFrame, root: str, version: int) -> None:
     """Replace the whole table by a new version; readers keep the old one until it is complete."""
-    _commit(df.withColumn("bucket", F.lit(0)), root, version, [0])
+    _commit(df.withColumn("in_bucket", F.lit(0)), root, version, [0])
 
 
 def rewrite_version(
@@ -106,7 +106,7 @@ def rewrite_version(
     touched = [r["bucket"] for r in batch.select(place.alias("bucket")).distinct().collect()]
     if touched:
         merged = merge(read_current(spark, root, touched), batch)
-        _commit(merged.withColumn("bucket", place), root, version, touched)
+        _commit(merged.withColumn("in_bucket", place), root, version, touched)
     return True
 
 
