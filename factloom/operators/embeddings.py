@@ -196,23 +196,31 @@ def knn(
         vector_blocks = -(-wanted.count() // block_vectors)
         spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         cut = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+        # Both sides get columns of their own: queries are often a selection of the vectors.
         left = asked.select(
-            query_col, "embedding", cut(query_col, query_blocks).alias("_q"), spread(vector_blocks).alias("_v")
+            F.col(query_col).alias("_asked"),
+            F.col("embedding").alias("_asked_vec"),
+            cut(query_col, query_blocks).alias("_aq"),
+            spread(vector_blocks).alias("_av"),
         )
         right = wanted.select(
-            id_col, "embedding", spread(query_blocks).alias("_q"), cut(id_col, vector_blocks).alias("_v")
+            F.col(id_col).alias("_id"),
+            F.col("embedding").alias("_vec"),
+            spread(query_blocks).alias("_q"),
+            cut(id_col, vector_blocks).alias("_v"),
         )
 
         def product(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
             if not len(block) or not len(part):
                 return framed([], [], 0)
-            matrix, usable = _unit_rows(block["embedding"])
-            rows, good = _unit_rows(part["embedding"])
-            ids = part[id_col].to_numpy()[good]
+            matrix, usable = _unit_rows(block["_asked_vec"])
+            rows, good = _unit_rows(part["_vec"])
+            ids = part["_id"].to_numpy()[good]
             kept = [_best(score, ids, k) for score in matrix @ rows.T]
-            return framed(block[query_col][usable], kept, int(block["_v"].iloc[0]))
+            return framed(block["_asked"][usable], kept, int(block["_av"].iloc[0]))
 
-        found = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInPandas(product, schema)
+        pairs = left.groupBy("_aq", "_av").cogroup(right.groupBy("_q", "_v"))
+        found = pairs.applyInPandas(product, schema)
 
     order = [F.desc("similarity"), F.col(id_col)]
     local = F.row_number().over(Window.partitionBy(query_col, F.pmod("_part", F.lit(256))).orderBy(*order))

@@ -46,6 +46,8 @@ def database_columns(spark: SparkSession, database: str) -> DataFrame:
     """IO2: the same for a database of the session catalogue. Only metadata is read."""
     rows = []
     for table in spark.catalog.listTables(database):
+        if table.isTemporary:
+            continue
         kind = "VIEW" if table.tableType == "VIEW" else "BASE TABLE"
         fields = spark.table(f"{database}.{table.name}").schema.fields
         for i, f in enumerate(fields):
