@@ -18,7 +18,7 @@ def without_code_fence(reply: Column) -> Column:
     """Text inside a leading code fence: drop the first line and all from the last fence on."""
     trimmed = F.regexp_replace(reply, r"^\s+|\s+$", "")
     body = F.regexp_replace(trimmed, r"(?s)\A```[^\n]*\n", "")
-    inner = F.regexp_replace(body, r"(?s)```(?!.*```).*\z", "")
+    inner = F.when(body.contains("```"), F.regexp_extract(body, r"(?s)\A(.*)```", 1)).otherwise(body)
     return F.when(trimmed.startswith("```"), F.regexp_replace(inner, r"^\s+|\s+$", "")).otherwise(trimmed)
 
 

@@ -192,7 +192,8 @@ def breaker_states(
     key_type = results.schema["contract_id"].dataType.simpleString()
     run_type = results.schema["run_id"].dataType.simpleString()
     at_micros = F.unix_micros(F.col("at").cast("timestamp")).alias("_micros")
-    rows = in_pieces(results.select("contract_id", "run_id", "at", "ok"), ["contract_id"], "at", rows_per_piece)
+    series = results.select("contract_id", "run_id", "at", "ok")
+    rows, any_cut = in_pieces(series, ["contract_id"], "at", rows_per_piece)
     rows = rows.select("contract_id", PIECE, PIECES, "run_id", "at", at_micros, "ok")
 
     def in_order(df: DataFrame) -> DataFrame:
@@ -258,26 +259,26 @@ def breaker_states(
         frame = pd.DataFrame(out, columns=["contract_id", PIECE, "_state", "_failures", "_passes", "_last"])
         return frame.astype({"_last": "Int64"})
 
-    # One summary per piece: the chain of a contract is a short group, and the table of
-    # starts has at most two rows per ``rows_per_piece`` results.
-    starts = F.broadcast(
-        summaries.join(begin, "contract_id", "left")
-        .groupBy("contract_id")
-        .applyInPandas(
-            chain,
-            f"contract_id {key_type}, {PIECE} bigint, _state string, _failures bigint, _passes int, _last bigint",
-        )
-    )
-    cut = rows.filter(F.col(PIECES).isNotNull())
-    cut = cut.join(starts, same_keys(cut, starts, ["contract_id"]) & (cut[PIECE] == starts[PIECE]), "left").select(
-        *[cut[c] for c in rows.columns], "_state", "_failures", "_passes", "_last"
-    )
+    given = ["_state", "_failures", "_passes", "_last"]
     whole = rows.filter(F.col(PIECES).isNull())
-    whole = (
-        whole.join(begin, "contract_id", "left").select(*cut.columns)
-        if initial is not None
-        else whole.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in cut.columns])
-    )
+    if initial is not None:
+        whole = whole.join(begin, "contract_id", "left").select(*rows.columns, *given)
+    else:
+        whole = whole.select(*rows.columns, *[F.lit(None).cast(begin.schema[g].dataType).alias(g) for g in given])
+    if any_cut:
+        # One summary per piece: the chain of a contract is a short group, and the table of
+        # starts has at most two rows per ``rows_per_piece`` results.
+        starts = F.broadcast(
+            summaries.join(begin, "contract_id", "left")
+            .groupBy("contract_id")
+            .applyInPandas(
+                chain,
+                f"contract_id {key_type}, {PIECE} bigint, _state string, _failures bigint, _passes int, _last bigint",
+            )
+        )
+        cut = rows.filter(F.col(PIECES).isNotNull())
+        on = same_keys(cut, starts, ["contract_id"]) & (cut[PIECE] == starts[PIECE])
+        whole = whole.unionByName(cut.join(starts, on, "left").select(*[cut[c] for c in rows.columns], *given))
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, breaker = None, Breaker()
@@ -308,7 +309,7 @@ def breaker_states(
                 yield pd.concat([batch[["contract_id", "run_id", "at"]], made], axis=1)
 
     at_type = results.schema["at"].dataType.simpleString()
-    return in_order(cut.unionByName(whole)).mapInPandas(
+    return in_order(whole).mapInPandas(
         replay,
         f"contract_id {key_type}, run_id {run_type}, at {at_type}, result string, state string, "
         "failure_count bigint, pass_count int, allowed boolean, notified boolean, last_failure_micros bigint",

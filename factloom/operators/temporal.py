@@ -52,35 +52,37 @@ def apply_versions(
 ) -> DataFrame:
     """Merge new versions into a history and add ``_touched`` for rows that are new or re-ended.
 
-    A change at a start already present for the key is a replay and is dropped. Versions of
-    keys that have changes are put in order again: an open version, or one that would run
-    past its successor, ends where the successor starts. Other keys are passed through.
+    A change at a start already present for the key is a replay and is dropped; of repeats
+    inside the batch the least row is kept. Versions of keys named by a change are put in
+    order again: an open version, or one that would run past its successor, ends where the
+    successor starts. Versions of other keys are passed through without a shuffle of their own.
     """
-    named = [c for c in changes.columns if c in current.columns]
-    # Exact repeats inside the batch collapse first, the least row being kept.
-    rest = [c for c in named if c not in (*keys, start)]
-    fresh = (
-        changes.select(*named)
+    changed_keys = changes.select(*keys).distinct()
+    given = set(changes.columns)
+    added = changes.select(
+        *[
+            F.col(c) if c in given and c != end else F.lit(None).cast(current.schema[c].dataType).alias(c)
+            for c in current.columns
+        ]
+    )
+    affected = current.join(changed_keys, keys, "left_semi").withColumn("_new", F.lit(False))
+    rest = [c for c in current.columns if c not in (*keys, start)]
+    # Per start the row that was there before wins over any change.
+    rows = (
+        affected.unionByName(added.withColumn("_new", F.lit(True)))
         .groupBy(*keys, start)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*keys, start, *[F.col("_row")[c].alias(c) for c in rest])
-        .join(current.select(*keys, start), [*keys, start], "left_anti")
+        .agg(F.min(F.struct("_new", *rest)).alias("_row"))
+        .select(*keys, start, *[F.col("_row")[c].alias(c) for c in ["_new", *rest]])
     )
-    touched_keys = fresh.select(*keys).distinct()
-    extra = {
-        c: F.lit(None).cast(current.schema[c].dataType).alias(c) for c in current.columns if c not in named
-    }
-    added = fresh.select(*[extra.get(c, F.col(c)) for c in current.columns]).withColumn(
-        end, F.lit(None).cast(current.schema[end].dataType)
+    places = affected.select(*keys, start).unionByName(changes.select(*keys, start))
+    linked = with_neighbour(
+        rows, keys, [start], {"_next": start}, rows_per_piece=rows_per_piece, counted=places
     )
-    affected = current.join(touched_keys, keys, "left_semi").withColumn("_new", F.lit(False))
-    rows = affected.unionByName(added.withColumn("_new", F.lit(True)))
-    linked = with_neighbour(rows, keys, [start], {"_next": start}, rows_per_piece=rows_per_piece)
     new_end = F.least(F.col(end), F.col("_next"))
     merged = linked.withColumn("_touched", F.col("_new") | ~new_end.eqNullSafe(F.col(end))).withColumn(
         end, new_end
     )
-    untouched = current.join(touched_keys, keys, "left_anti").withColumn("_touched", F.lit(False))
+    untouched = current.join(changed_keys, keys, "left_anti").withColumn("_touched", F.lit(False))
     return merged.select(*current.columns, "_touched").unionByName(untouched)
 
 

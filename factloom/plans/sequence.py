@@ -1,14 +1,15 @@
 """Ordered work per key that stays parallel when one key holds much of the table.
 
-A plain window partitioned by key sends every row of a key to one task. Here a key with
-more than ``rows_per_piece`` rows is cut into consecutive pieces along its time line.
-Windows run per (key, piece); what has to cross a cut is one row per piece, so the table
-that carries it has at most two rows for every ``rows_per_piece`` input rows and is
-broadcast under that bound. Keys below the limit keep one piece and pay no extra shuffle.
-The results are the same for any value of ``rows_per_piece``.
-
-The pieces of a key have equal length in time. They depend on count, minimum and maximum
-only, so every evaluation of the plan cuts in the same places.
+A plain window partitioned by key sends every row of a key to one task. Here the rows per
+key are counted first, by one aggregation over the key and time columns that runs when the
+plan is made. When no key has more than ``rows_per_piece`` rows, the plain window is used.
+Otherwise those keys are cut into consecutive pieces along their time line. Windows then run
+per (key, piece); what has to cross a cut is one row per piece, so the table that carries it
+has at most two rows for every ``rows_per_piece`` input rows and is broadcast under that
+bound. The results are the same for any value of ``rows_per_piece``.
+
+The pieces of a key have equal length in time and are fixed when the plan is made, so every
+evaluation of the plan cuts in the same places.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.functions.time import MICROS_PER_SECOND, elapsed_micros
+from factloom.plans.sizes import rows_if_small
 
 ROWS_PER_PIECE = 2_000_000
 PIECE = "_piece"
@@ -65,15 +67,26 @@ def piece_of(place: Column) -> Column:
     return F.when(raw.isNull(), first).otherwise(F.greatest(first, F.least(raw, F.col(PIECES) - 1)))
 
 
-def in_pieces(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> DataFrame:
-    """Add ``_piece`` (0 for keys that stay whole) and ``_pieces`` (NULL for those keys)."""
-    # At most rows(df) / rows_per_piece keys qualify, hence the broadcast.
-    hot = F.broadcast(hot_keys(df, keys, at, rows_per_piece))
+def in_pieces(
+    df: DataFrame, keys: list[str], at: str, rows_per_piece: int, counted: DataFrame | None = None
+) -> tuple[DataFrame, bool]:
+    """Add ``_piece`` (0 for keys that stay whole) and ``_pieces`` (NULL for those keys).
+
+    Also tells whether any key was cut. ``counted`` may give a cheaper table with the key and
+    time columns of (at least) the same rows to count.
+    """
+    lazy = hot_keys(df if counted is None else counted, keys, at, rows_per_piece)
+    # At most rows(df) / rows_per_piece keys qualify. They are fetched when they are few, else
+    # the table of them is joined as it is.
+    few = rows_if_small(lazy)
+    if few is not None and not few:
+        whole = F.lit(0).cast("long").alias(PIECE), F.lit(None).cast("long").alias(PIECES)
+        return df.select(*df.columns, *whole), False
+    hot = lazy if few is None else F.broadcast(df.sparkSession.createDataFrame(few, lazy.schema))
     rows = df.withColumn("_place", _position(df, at).cast("double"))
-    return (
-        rows.join(hot, same_keys(rows, hot, keys), "left")
-        .select(*[rows[c] for c in df.columns], piece_of(F.col("_place")).alias(PIECE), F.col(PIECES))
-    )
+    joined = rows.join(hot, same_keys(rows, hot, keys), "left")
+    placed = [piece_of(F.col("_place")).alias(PIECE), F.col(PIECES)]
+    return joined.select(*[rows[c] for c in df.columns], *placed), True
 
 
 def _attach(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -91,15 +104,19 @@ def with_neighbour(
     *,
     previous: bool = False,
     rows_per_piece: int = ROWS_PER_PIECE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of the next (or previous) row of the same key.
 
     ``take`` maps new column names to existing ones; ``order`` begins with the time column
     and must be total within a key.
     """
-    rows = in_pieces(df, keys, order[0], rows_per_piece)
-    payload = F.struct(*[F.col(source).alias(name) for name, source in take.items()])
+    rows, cut = in_pieces(df, keys, order[0], rows_per_piece, counted)
     shift = F.lag if previous else F.lead
+    if not cut:
+        near = Window.partitionBy(*keys).orderBy(*order)
+        return df.select(*df.columns, *[shift(source, 1).over(near).alias(n) for n, source in take.items()])
+    payload = F.struct(*[F.col(source).alias(name) for name, source in take.items()])
     inside = shift(payload, 1).over(Window.partitionBy(*keys, PIECE).orderBy(*order))
     place = F.struct(*order)
     outer_row = F.max_by(payload, place) if previous else F.min_by(payload, place)
@@ -120,10 +137,11 @@ def carried_forward(
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Replace NULLs of ``value`` by the latest earlier non-NULL value of the same key."""
-    rows = in_pieces(df, keys, order[0], rows_per_piece)
-    upto_here = (
-        Window.partitionBy(*keys, PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    rows, cut = in_pieces(df, keys, order[0], rows_per_piece)
+    groups = [*keys, PIECE] if cut else keys
+    upto_here = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if not cut:
+        return df.withColumn(value, F.last(value, ignorenulls=True).over(upto_here))
     inside = F.last(value, ignorenulls=True).over(upto_here)
     borders = (
         rows.filter(F.col(PIECES).isNotNull())
@@ -146,7 +164,10 @@ def numbered(
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Add a 1-based row number per key in the given order."""
-    rows = in_pieces(df, keys, order[0], rows_per_piece)
+    rows, cut = in_pieces(df, keys, order[0], rows_per_piece)
+    if not cut:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn(name, number.cast("long"))
     inside = F.row_number().over(Window.partitionBy(*keys, PIECE).orderBy(*order))
     borders = (
         rows.filter(F.col(PIECES).isNotNull()).groupBy(*keys, PIECE).agg(F.count(F.lit(1)).alias("_own"))

@@ -70,7 +70,8 @@ def test_other_order_types(rows, kind):
 
 def test_hot_key_is_cut_and_others_are_not(spark):
     rows = spark.range(1000).selectExpr("CASE WHEN id < 900 THEN 0 ELSE id END AS k", "id AS at")
-    pieces = in_pieces(rows, ["k"], "at", 100)
+    pieces, cut = in_pieces(rows, ["k"], "at", 100)
+    assert cut
     sizes = pieces.filter("k = 0").groupBy("_piece").count().collect()
     assert len(sizes) == 9
     assert max(r["count"] for r in sizes) <= 101
