@@ -16,8 +16,9 @@ from factloom.plans.sizes import rows_if_small
 OK_ABOVE = 0.85
 WARN_ABOVE = 0.70
 LEAST_SAMPLE = 10
-BLOCK_QUERIES = 2_048
-BLOCK_VECTORS = 50_000
+# A product of two blocks holds BLOCK_QUERIES x BLOCK_VECTORS numbers in one task.
+BLOCK_QUERIES = 1_024
+BLOCK_VECTORS = 10_000
 
 
 def content_hash(fields: list[str]) -> Column:

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 
 from factloom.operators.breaker import OPEN, Breaker, BreakerConfig
 from factloom.operators.contracts import check_contract
-from factloom.sources.surface import bucket_versions, publish_version, read_current
+from factloom.sources.surface import (
+    bucket_versions,
+    publish_version,
+    read_current,
+    reveal_version,
+    stage_version,
+)
 
 STATE_SCHEMA = (
     "contract_id string, state string, failure_count bigint, pass_count int, last_failure_micros bigint, "
@@ -29,7 +35,9 @@ def gated_write(
 
     The surface is at ``<root>/surface`` and the breaker of the contract at ``<root>/state``;
     both are versioned, so a run that is refused, or lost half-way, leaves the last valid
-    surface readable. Only the rule results and the state row come to the driver.
+    surface readable. The rows are computed once: they are staged, the contract is checked
+    on the staged files, and the stage is revealed when they pass. Only the rule results and
+    the state row come to the driver.
     """
     spark = df.sparkSession
     config = config or BreakerConfig()
@@ -41,13 +49,16 @@ def gated_write(
         else Breaker()
     )
     version = last["version"] + 1 if last is not None else 1
-    passed = all(r["passed"] for r in check_contract(df, spec).collect())
+    surface = f"{root}/surface"
+    # A run that was lost after revealing its surface finds it in place and goes on with it.
+    revealed = bucket_versions(spark, surface).get(0, 0) >= version
+    staged = read_current(spark, surface) if revealed else stage_version(df, surface, version)
+    passed = all(r["passed"] for r in check_contract(staged, spec).collect())
     read = breaker.at_time(_micros(now), config)
     after = read.record(_micros(now), passed, config)
     publish = passed and read.state != OPEN
-    # A run that was lost after publishing finds its surface in place and goes on.
-    if publish and bucket_versions(spark, f"{root}/surface").get(0, 0) < version:
-        publish_version(df, f"{root}/surface", version)
+    if publish and not revealed:
+        reveal_version(spark, surface, version)
     row = (spec["id"], after.state, after.failures, after.passes, after.last_failure, version, passed, publish)
     state = spark.createDataFrame([row], STATE_SCHEMA)
     publish_version(state, f"{root}/state", version)

@@ -8,8 +8,10 @@ per (key, piece); what has to cross a cut is one row per piece, so the table tha
 has at most two rows for every ``rows_per_piece`` input rows and is broadcast under that
 bound. The results are the same for any value of ``rows_per_piece``.
 
-The pieces of a key have equal length in time and are fixed when the plan is made, so every
-evaluation of the plan cuts in the same places.
+The cuts of a key follow percentiles of its times, so outliers and busy periods do not end
+up in one piece; between two percentiles pieces have equal length. They are fixed when the
+plan is made, so every evaluation of the plan cuts in the same places. Rows of one key with
+the very same time stay together.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from factloom.functions.time import MICROS_PER_SECOND, elapsed_micros
 from factloom.plans.sizes import rows_if_small
 
 ROWS_PER_PIECE = 2_000_000
+# Hot keys whose percentiles are brought to the driver; each takes at most 100 numbers.
+FETCHED_KEYS = 20_000
+PERCENTILES = 100
 PIECE = "_piece"
 PIECES = "_pieces"
 
@@ -45,26 +50,49 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> DataFrame:
-    """Keys with more than ``rows_per_piece`` rows: (keys, _lo, _hi, _pieces)."""
+    """Keys with more than ``rows_per_piece`` rows: (keys, _n, _lo, _hi)."""
     place = _position(df, at).cast("double")
     return (
         df.select(*keys, place.alias("_at"))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
         .filter(F.col("_n") > rows_per_piece)
-        .select(
-            *keys, "_lo", "_hi", F.ceil(F.col("_n") / F.lit(rows_per_piece)).cast("long").alias(PIECES)
-        )
     )
 
 
+def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Percentiles of the times of the hot keys."""
+    small = F.broadcast(hot)
+    rows = df.select(*keys, _position(df, at).cast("double").alias("_at"))
+    hundredths = F.array(*[F.lit(i / PERCENTILES) for i in range(1, PERCENTILES)])
+    return (
+        rows.join(small, same_keys(rows, small, keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx("_at", hundredths, 10_000).alias("_cuts"))
+    )
+
+
+def _edges(low: float | None, high: float | None, cuts: list[float] | None, wanted: int) -> tuple[list[float], int]:
+    """Rising interval bounds for a key, and the number of equal pieces inside each interval."""
+    if low is None or high is None:
+        return [0.0, 1.0], 1
+    intervals = max(1, min(wanted, PERCENTILES))
+    chosen = [cuts[i * PERCENTILES // intervals - 1] for i in range(1, intervals)] if cuts else []
+    bounds = sorted({low, high + 1.0, *chosen})
+    return bounds, -(-wanted // (len(bounds) - 1))
+
+
 def piece_of(place: Column) -> Column:
-    """Piece number of a position, given the ``_lo``, ``_hi`` and ``_pieces`` columns."""
-    share = (place - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))
-    raw = F.floor(share * F.col(PIECES)).cast("long")
+    """Piece number of a position, given the ``_bounds`` and ``_sub`` columns of its key."""
+    bounds, sub = F.col("_bounds"), F.col("_sub")
+    below = F.size(F.filter(bounds, lambda b: b <= place))
+    interval = F.greatest(F.lit(1), F.least(below, F.size(bounds) - 1))
+    low, high = F.element_at(bounds, interval), F.element_at(bounds, interval + 1)
+    part = F.floor((place - low) / (high - low) * sub).cast("long")
     first = F.lit(0).cast("long")
+    inside = (interval - 1).cast("long") * sub + F.greatest(first, F.least(part, sub - 1))
     # Rows without a time sort first, so they belong to the first piece.
-    return F.when(raw.isNull(), first).otherwise(F.greatest(first, F.least(raw, F.col(PIECES) - 1)))
+    return F.when(place.isNull() | bounds.isNull(), first).otherwise(inside)
 
 
 def in_pieces(
@@ -75,17 +103,36 @@ def in_pieces(
     Also tells whether any key was cut. ``counted`` may give a cheaper table with the key and
     time columns of (at least) the same rows to count.
     """
-    lazy = hot_keys(df if counted is None else counted, keys, at, rows_per_piece)
-    # At most rows(df) / rows_per_piece keys qualify. They are fetched when they are few, else
-    # the table of them is joined as it is.
-    few = rows_if_small(lazy)
+    source = df if counted is None else counted
+    lazy = hot_keys(source, keys, at, rows_per_piece)
+    few = rows_if_small(lazy, FETCHED_KEYS)
     if few is not None and not few:
         whole = F.lit(0).cast("long").alias(PIECE), F.lit(None).cast("long").alias(PIECES)
         return df.select(*df.columns, *whole), False
-    hot = lazy if few is None else F.broadcast(df.sparkSession.createDataFrame(few, lazy.schema))
+    if few is None:
+        # So many hot keys that none of them holds much: equal pieces, joined as a table.
+        pieces = F.ceil(F.col("_n") / F.lit(rows_per_piece)).cast("long")
+        hot = lazy.select(
+            *keys,
+            F.coalesce(F.array("_lo", F.col("_hi") + 1.0), F.array(F.lit(0.0), F.lit(1.0))).alias("_bounds"),
+            pieces.alias("_sub"),
+        )
+    else:
+        # At most rows(df) / rows_per_piece keys, with at most as many bounds as pieces.
+        spark = df.sparkSession
+        known = spark.createDataFrame(few, lazy.schema)
+        cuts = {tuple(r[k] for k in keys): r["_cuts"] for r in _cut_points(source, known, keys, at).collect()}
+        rows = []
+        for r in few:
+            key = tuple(r[k] for k in keys)
+            bounds, sub = _edges(r["_lo"], r["_hi"], cuts.get(key), -(-r["_n"] // rows_per_piece))
+            rows.append((*key, bounds, sub))
+        fields = [lazy.schema[k] for k in keys]
+        fields += [T.StructField("_bounds", T.ArrayType(T.DoubleType())), T.StructField("_sub", T.LongType())]
+        hot = F.broadcast(spark.createDataFrame(rows, T.StructType(fields)))
     rows = df.withColumn("_place", _position(df, at).cast("double"))
     joined = rows.join(hot, same_keys(rows, hot, keys), "left")
-    placed = [piece_of(F.col("_place")).alias(PIECE), F.col(PIECES)]
+    placed = [piece_of(F.col("_place")).alias(PIECE), F.col("_sub").alias(PIECES)]
     return joined.select(*[rows[c] for c in df.columns], *placed), True
 
 

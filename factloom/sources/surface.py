@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_SCHEMA = "bucket int, version bigint"
@@ -65,22 +65,48 @@ def read_current(spark: SparkSession, root: str, buckets: list[int] | None = Non
     return reader.parquet(*paths).drop("in_version", "in_bucket")
 
 
-def _commit(df: DataFrame, root: str, version: int, buckets: list[int]) -> None:
-    """Write the rows (with an ``in_bucket`` column) as a version and make it visible."""
-    spark = df.sparkSession
+def _stage(df: DataFrame, root: str, version: int) -> None:
+    """Write rows (with an ``in_bucket`` column) as a version that readers do not see yet."""
     (
         df.hint("rebalance", "in_bucket")
         .write.mode("overwrite")
         .partitionBy("in_bucket")
         .parquet(f"{root}/data/in_version={version}")
     )
+
+
+def _reveal(spark: SparkSession, root: str, version: int, buckets: list[int]) -> None:
     rows = spark.createDataFrame([(b, version) for b in buckets], MANIFEST_SCHEMA)
     rows.coalesce(1).write.mode("append").json(f"{root}/manifest")
 
 
+def stage_version(df: DataFrame, root: str, version: int) -> DataFrame:
+    """Write a whole new version without making it visible, and return it as read from there.
+
+    ``reveal_version`` makes it visible; a version that is not revealed has no effect.
+    """
+    _stage(df.withColumn("in_bucket", F.lit(0)), root, version)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/data/in_version={version}")
+
+
+def reveal_version(spark: SparkSession, root: str, version: int) -> None:
+    """Make a staged version the current one."""
+    _reveal(spark, root, version, [0])
+
+
 def publish_version(df: DataFrame, root: str, version: int) -> None:
     """Replace the whole table by a new version; readers keep the old one until it is complete."""
-    _commit(df.withColumn("in_bucket", F.lit(0)), root, version, [0])
+    stage_version(df, root, version)
+    reveal_version(df.sparkSession, root, version)
+
+
+def _place(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def touched_buckets(batch: DataFrame, keys: list[str], buckets: int) -> list[int]:
+    """The buckets the keys of a batch fall in: at most ``buckets`` numbers."""
+    return [r["b"] for r in batch.select(_place(keys, buckets).alias("b")).distinct().collect()]
 
 
 def rewrite_version(
@@ -101,12 +127,11 @@ def rewrite_version(
     seen = bucket_versions(spark, root)
     if seen and max(seen.values()) >= version:
         return False
-    place = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    # At most ``buckets`` numbers come to the driver.
-    touched = [r["bucket"] for r in batch.select(place.alias("bucket")).distinct().collect()]
+    touched = touched_buckets(batch, keys, buckets)
     if touched:
         merged = merge(read_current(spark, root, touched), batch)
-        _commit(merged.withColumn("in_bucket", place), root, version, touched)
+        _stage(merged.withColumn("in_bucket", _place(keys, buckets)), root, version)
+        _reveal(spark, root, version, touched)
     return True
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from factloom.operators.embeddings import reembed_decisions
-from factloom.sources.surface import read_current, upsert_version
+from factloom.sources.surface import read_current, touched_buckets, upsert_version
 
 MESSAGE_SCHEMA = "struct<table:string,entity_id:string,source_record:string,_bad:string>"
 EMPTY_CONTEXT = "map<string,struct<canonical_term:string,definition:string>>"
@@ -128,24 +128,28 @@ def index_stream(
 
     def take(batch: DataFrame, number: int) -> None:
         parsed = parse_changes(batch, body).persist()
+        held = [parsed]
         try:
             good, dead = split_changes(parsed)
             dead.write.mode("overwrite").parquet(f"{root}/dead/batch={number}")
             docs = as_documents(prepare(latest_changes(good, tiebreak or [body])), stamp(number))
             if threshold is not None:
-                docs = significant_changes(docs, read_current(spark, f"{root}/index"), threshold=threshold)
+                # Only the buckets that the batch touches are read for the comparison.
+                docs = docs.persist()
+                held.append(docs)
+                seen = read_current(spark, f"{root}/index", touched_buckets(docs, ["id"], buckets))
+                docs = significant_changes(docs, seen, threshold=threshold)
             docs = docs.persist()
-            try:
-                upsert_documents(docs, f"{root}/index", number, buckets)
-                counts = parsed.agg(
-                    F.count(F.when(F.col("problem").isNull(), 1)).alias("succeeded"),
-                    F.count("problem").alias("failed"),
-                )
-                counts.write.mode("overwrite").parquet(f"{root}/outcomes/batch={number}")
-            finally:
-                docs.unpersist()
+            held.append(docs)
+            upsert_documents(docs, f"{root}/index", number, buckets)
+            counts = parsed.agg(
+                F.count(F.when(F.col("problem").isNull(), 1)).alias("succeeded"),
+                F.count("problem").alias("failed"),
+            )
+            counts.write.mode("overwrite").parquet(f"{root}/outcomes/batch={number}")
         finally:
-            parsed.unpersist()
+            for df in reversed(held):
+                df.unpersist()
 
     return (
         messages.writeStream.foreachBatch(take)

@@ -74,5 +74,28 @@ def test_hot_key_is_cut_and_others_are_not(spark):
     assert cut
     sizes = pieces.filter("k = 0").groupBy("_piece").count().collect()
     assert len(sizes) == 9
-    assert max(r["count"] for r in sizes) <= 101
+    assert max(r["count"] for r in sizes) <= 110
     assert pieces.filter("k <> 0 AND (_piece <> 0 OR _pieces IS NOT NULL)").isEmpty()
+
+
+def test_no_hot_key_means_a_plain_window(spark):
+    rows = spark.range(100).selectExpr("id % 10 AS k", "id AS at")
+    pieces, cut = in_pieces(rows, ["k"], "at", 10)
+    assert not cut and pieces.filter("_piece <> 0").isEmpty()
+
+
+def test_outliers_and_busy_periods_do_not_fill_one_piece(spark):
+    busy = "CASE WHEN id = 0 THEN -1e15 WHEN id = 1 THEN 1e15 WHEN id < 9000 THEN id / 1e6 ELSE id END"
+    rows = spark.range(10_000).selectExpr("1 AS k", f"CAST({busy} AS DOUBLE) AS at", "id")
+    pieces, _ = in_pieces(rows, ["k"], "at", 500)
+    assert max(r["count"] for r in pieces.groupBy("_piece").count().collect()) < 1200
+    got = with_neighbour(rows, ["k"], ["at", "id"], {"n": "id"}, rows_per_piece=500)
+    want = rows.withColumn("n", F.lead("id").over(Window.partitionBy("k").orderBy("at", "id")))
+    assert as_set(got) == as_set(want)
+
+
+def test_more_hot_keys_than_are_fetched(spark, monkeypatch):
+    monkeypatch.setattr("factloom.plans.sequence.FETCHED_KEYS", 3)
+    rows = spark.range(1000).selectExpr("id % 10 AS k", "id AS at")
+    want = rows.withColumn("n", F.lead("at").over(Window.partitionBy("k").orderBy("at")))
+    assert as_set(with_neighbour(rows, ["k"], ["at"], {"n": "at"}, rows_per_piece=7)) == as_set(want)
