@@ -66,11 +66,16 @@ def collect(df):
 CONFIGS = [BreakerConfig(), BreakerConfig(2, 30, 2), BreakerConfig(3, 60, 1), BreakerConfig(2, 0, 4)]
 
 
-@pytest.mark.parametrize("config", CONFIGS)
-@pytest.mark.parametrize("failing", [0.05, 0.3, 0.7])
-@pytest.mark.parametrize("size", [9, 100_000])
-def test_states(spark, config, failing, size):
-    data = make(7, 5, 40, failing)
+@pytest.mark.parametrize(
+    ("config", "size"), [*[(c, 9) for c in CONFIGS], (CONFIGS[0], 100_000), (CONFIGS[1], 100_000)]
+)
+def test_states(spark, config, size):
+    """Contracts with few, some and many failures, one of them with far more results."""
+    data = {
+        10 * i + k: series
+        for i, failing in enumerate((0.05, 0.3, 0.7))
+        for k, series in make(7 + i, 3, 40, failing).items()
+    }
     want = {k: plain(s, config) for k, s in data.items()}
     assert collect(breaker_states(frame(spark, data), config, rows_per_piece=size)) == want
 
