@@ -175,12 +175,13 @@ def _(s):
     "o05_knn",
     "vec",
     f"""SELECT query_id, vec_id, {rounded("sim", 6)} AS similarity, CAST(rank AS INTEGER) AS rank FROM (
-    SELECT n.vec_id AS query_id, o.vec_id, {SIM} AS sim, ROW_NUMBER() OVER (PARTITION BY n.vec_id ORDER BY {SIM} DESC, o.vec_id) AS rank
-    FROM vec n, vec o) WHERE rank <= 5""",
+    SELECT n.label AS query_id, o.vec_id, {SIM} AS sim, ROW_NUMBER() OVER (PARTITION BY n.label ORDER BY {SIM} DESC, o.vec_id) AS rank
+    FROM (SELECT * FROM vec QUALIFY ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) = 1) n, vec o) WHERE rank <= 20""",
 )
 def _(s):
-    queries = s.vec.select(c("vec_id").alias("query_id"), "embedding")
-    found = embeddings.knn(s.vec, queries, 5)
+    """The 20 vectors of the whole table nearest to the first vector of every label."""
+    first = s.vec.groupBy(c("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    found = embeddings.knn(s.vec, first, 20)
     return found.withColumn("similarity", F.round(c("similarity").cast("decimal(20,10)"), 6).cast("double"))
 
 

@@ -112,14 +112,16 @@ def _(s):
     "g06_k_hop",
     "rels",
     """SELECT seed, vertex, MIN(hops) AS hops FROM walk GROUP BY 1, 2""",
-    recursive="""steps AS (SELECT subject_id AS src, object_id AS dst FROM rels WHERE predicate <> 'uses_product' AND valid_from <= TIMESTAMP '1998-01-01'
+    recursive="""steps AS (SELECT subject_id AS src, object_id AS dst FROM rels
+        WHERE valid_from <= TIMESTAMP '1998-01-01' AND (valid_to IS NULL OR valid_to > TIMESTAMP '1998-01-01')
       UNION SELECT object_id, subject_id FROM rels WHERE is_bidirectional AND valid_from <= TIMESTAMP '1998-01-01'),
-    walk AS (SELECT 'C' || c_custkey AS seed, 'C' || c_custkey AS vertex, 0 AS hops FROM customer WHERE c_acctbal > 9000
+    walk AS (SELECT 'C' || c_custkey AS seed, 'C' || c_custkey AS vertex, 0 AS hops FROM customer WHERE c_acctbal < 0
       UNION SELECT seed, dst, hops + 1 FROM walk JOIN steps ON src = vertex WHERE hops < 2)""",
 )
 def _(s):
-    seeds = s.t("customer").filter(c("c_acctbal") > 9000).select(text("C", c("c_custkey")).alias("seed"))
-    edges = s.rels.filter(c("predicate") != "uses_product").select(
+    """What lies within two steps of the customers in debt."""
+    seeds = s.t("customer").filter(c("c_acctbal") < 0).select(text("C", c("c_custkey")).alias("seed"))
+    edges = s.rels.select(
         c("subject_id").alias("src"), c("object_id").alias("dst"), "valid_from", "valid_to", "is_bidirectional"
     )
     return graph.k_hop(edges, seeds, 2, "1998-01-01")

@@ -323,7 +323,7 @@ class Samples:
                 c("n_name").alias("territory_code"),
                 (c("c_custkey") % 50).alias("assigned_manager_id"),
                 roles.alias("visibility_roles"),
-                F.when(c("c_custkey") % 10 == 0, ntz("2001-06-01")).alias("valid_to"),
+                F.when(c("c_acctbal") > 9000, ntz("2001-06-01")).alias("valid_to"),
                 "updated_at",
                 c("c_acctbal").alias("adjusted_balance_usd"),
                 F.when(c("c_acctbal") < 0, "deleted").when(c("c_nationkey") != 3, "active").alias("status"),
@@ -357,7 +357,7 @@ class Samples:
     def hist(self) -> DataFrame:
         return self.t("events").select(
             c("ts").cast("date").alias("snapshot_date"),
-            F.when(c("event_id") % 97 != 0, c("event_type")).alias("account_type"),
+            F.when(c("value") >= 1, c("event_type")).alias("account_type"),
             F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         )
 

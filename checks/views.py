@@ -110,7 +110,7 @@ SELECT l_orderkey * 10 + l_linenumber AS event_id, l_orderkey AS stream_id, CAST
 SELECT c_custkey AS account_id, c_name AS account_name, CASE WHEN c_nationkey <> 7 THEN c_mktsegment END AS account_type,
        n_name AS territory_code, c_custkey % 50 AS assigned_manager_id,
        CASE c_nationkey % 3 WHEN 1 THEN ['sales', 'support'] WHEN 2 THEN ['finance'] END AS visibility_roles,
-       CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP '2001-06-01' END AS valid_to, updated_at,
+       CASE WHEN c_acctbal > 9000 THEN TIMESTAMP '2001-06-01' END AS valid_to, updated_at,
        c_acctbal AS adjusted_balance_usd,
        CASE WHEN c_acctbal < 0 THEN 'deleted' WHEN c_nationkey <> 3 THEN 'active' END AS status
 FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -127,7 +127,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey""",
     ),
     "hist": (
         [],
-        "SELECT CAST(ts AS DATE) AS snapshot_date, CASE WHEN event_id % 97 <> 0 THEN event_type END AS account_type FROM events",
+        "SELECT CAST(ts AS DATE) AS snapshot_date, CASE WHEN value >= 1 THEN event_type END AS account_type FROM events",
     ),
     "ownership": (
         [],

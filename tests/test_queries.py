@@ -28,8 +28,13 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query(spark, engine, name):
-    got = queries()[name](spark, SF).toPandas()
+def test_query(spark, engine, name, capsys):
+    df = queries()[name](spark, SF)
+    capsys.readouterr()
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    got = df.toPandas()
     assert list(got.columns)
     if name in oracle_sql():
         assert rows_of(got) == rows_of(engine.sql(oracle_sql()[name]).df())
