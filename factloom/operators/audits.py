@@ -57,7 +57,7 @@ def audit_abbreviations(
     return (
         _in_schema(cols, schema)
         .select("table_name", "column_name", F.length(name).alias("name_length"), risk.alias("naming_risk"))
-        .orderBy("naming_risk", "table_name")
+        .orderBy("naming_risk", "table_name", "column_name")
     )
 
 

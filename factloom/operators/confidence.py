@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.confidence import decayed
 from factloom.functions.time import clock
-from factloom.plans.frontier import expand
+from factloom.plans.frontier import expand, settled
 
 
 def effective_confidence(facts: DataFrame, as_of, keys: list | None = None) -> DataFrame:
@@ -76,9 +76,9 @@ def provenance_chain(prov: DataFrame, fact_ids: DataFrame, max_depth: int = 10)
     ``fact_ids`` has one column ``fact_id``. All facts are walked together; a record
     reached by two routes, or again round a cycle, is kept once at its least depth.
     """
-    links = prov.select(
-        F.col("fact_id").alias("_from"), F.explode("input_fact_ids").alias("_to")
-    ).distinct()
+    links = settled(
+        prov.select(F.col("fact_id").alias("_from"), F.explode("input_fact_ids").alias("_to")).distinct()
+    )
     seed = fact_ids.select(
         F.col("fact_id").alias("root_fact_id"), F.col("fact_id"), F.lit(0).alias("depth")
     ).distinct()

@@ -33,7 +33,7 @@ def overdue_context(ctx: DataFrame, ownership: DataFrame, as_of) -> DataFrame:
             "days_overdue",
             "steward_email",
         )
-        .orderBy(F.desc("days_overdue"), "context_type")
+        .orderBy(F.desc("days_overdue"), "context_type", "entity_id")
     )
 
 

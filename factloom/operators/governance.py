@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.text import joined
 from factloom.functions.time import clock, hours_between
-from factloom.plans.frontier import expand
+from factloom.plans.frontier import expand, settled
 
 
 def lineage_trace(
@@ -36,7 +36,7 @@ def lineage_trace(
         F.lit(1).cast("long").alias("paths"),
         F.lit(1).alias("depth"),
     )
-    links = lineage.groupBy(*node, *away).agg(F.count(F.lit(1)).alias("_k"))
+    links = settled(lineage.groupBy(*node, *away).agg(F.count(F.lit(1)).alias("_k")))
 
     def step(level: DataFrame, depth: int) -> DataFrame:
         return (
@@ -84,7 +84,7 @@ def impact(
         readers.join(contacts, "table_name")
         .select("system_name", "system_version", "system_owner_team", "escalation_contact")
         .distinct()
-        .orderBy("system_name")
+        .orderBy("system_name", "system_version", "system_owner_team", "escalation_contact")
     )
 
 
@@ -144,7 +144,7 @@ def succession_health(ownership: DataFrame, manifest: DataFrame, as_of, months:
             "successor_role",
             status.alias("succession_status"),
         )
-        .orderBy(F.desc("succession_status"), "table_name")
+        .orderBy(F.desc("succession_status"), "table_name", "column_name")
     )
 
 
@@ -167,7 +167,7 @@ def ownership_fingerprint(ownership: DataFrame, sens: DataFrame, table: str | No
             "review_frequency",
             F.md5(joined(parts, "|")).alias("ownership_domain_fingerprint"),
         )
-        .orderBy("ownership_domain_fingerprint", "column_name")
+        .orderBy("ownership_domain_fingerprint", "column_name", "table_name")
     )
 
 

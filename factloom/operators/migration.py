@@ -38,7 +38,7 @@ def schema_divergence(
             "transform_pipeline",
         )
         .filter(F.col("divergence_status").isNotNull())
-        .orderBy("divergence_status", "source_table")
+        .orderBy("divergence_status", "source_table", "source_column", "target_table", "target_column")
     )
 
 

@@ -167,9 +167,9 @@ def glossary_issues(descriptions: DataFrame, glossary: DataFrame) -> DataFrame:
 
 def term_closure(glossary: DataFrame, relation: str = "is_a", max_depth: int = 20) -> DataFrame:
     """Every ancestor (``is_a``) or part (``has_parts``) of each term with its least depth."""
-    links = glossary.select(
-        F.col("canonical_term").alias("_from"), F.explode(relation).alias("_to")
-    ).distinct()
+    links = settled(
+        glossary.select(F.col("canonical_term").alias("_from"), F.explode(relation).alias("_to")).distinct()
+    )
     reached = settled(
         links.select(
             F.col("_from").alias("canonical_term"), F.col("_to").alias("related_term"), F.lit(1).alias("depth")
