@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.plans.sequence import PIECE, PIECES, ROWS_PER_PIECE, in_pieces, same_keys
+from factloom.plans.sequence import PIECE, PIECES, ROWS_PER_PIECE, in_pieces, position, same_keys
 
 CLOSED, OPEN, HALF_OPEN = "closed", "open", "half_open"
 MICROS_PER_MINUTE = 60_000_000
@@ -191,7 +191,7 @@ def breaker_states(
     config = config or BreakerConfig()
     key_type = results.schema["contract_id"].dataType.simpleString()
     run_type = results.schema["run_id"].dataType.simpleString()
-    at_micros = F.unix_micros(F.col("at").cast("timestamp")).alias("_micros")
+    at_micros = position(results, "at").cast("long").alias("_micros")
     series = results.select("contract_id", "run_id", "at", "ok")
     rows, any_cut = in_pieces(series, ["contract_id"], "at", rows_per_piece)
     rows = rows.select("contract_id", PIECE, PIECES, "run_id", "at", at_micros, "ok")

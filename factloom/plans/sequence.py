@@ -33,7 +33,7 @@ PIECE = "_piece"
 PIECES = "_pieces"
 
 
-def _position(df: DataFrame, at: str) -> Column:
+def position(df: DataFrame, at: str) -> Column:
     """The ordering column as a number that grows with it."""
     kind = df.schema[at].dataType
     if isinstance(kind, T.TimestampNTZType):
@@ -51,7 +51,7 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 def hot_keys(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> DataFrame:
     """Keys with more than ``rows_per_piece`` rows: (keys, _n, _lo, _hi)."""
-    place = _position(df, at).cast("double")
+    place = position(df, at).cast("double")
     return (
         df.select(*keys, place.alias("_at"))
         .groupBy(*keys)
@@ -63,7 +63,7 @@ def hot_keys(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> Da
 def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], at: str) -> DataFrame:
     """Percentiles of the times of the hot keys."""
     small = F.broadcast(hot)
-    rows = df.select(*keys, _position(df, at).cast("double").alias("_at"))
+    rows = df.select(*keys, position(df, at).cast("double").alias("_at"))
     hundredths = F.array(*[F.lit(i / PERCENTILES) for i in range(1, PERCENTILES)])
     return (
         rows.join(small, same_keys(rows, small, keys), "left_semi")
@@ -130,7 +130,7 @@ def in_pieces(
         fields = [lazy.schema[k] for k in keys]
         fields += [T.StructField("_bounds", T.ArrayType(T.DoubleType())), T.StructField("_sub", T.LongType())]
         hot = F.broadcast(spark.createDataFrame(rows, T.StructType(fields)))
-    rows = df.withColumn("_place", _position(df, at).cast("double"))
+    rows = df.withColumn("_place", position(df, at).cast("double"))
     joined = rows.join(hot, same_keys(rows, hot, keys), "left")
     placed = [piece_of(F.col("_place")).alias(PIECE), F.col("_sub").alias(PIECES)]
     return joined.select(*[rows[c] for c in df.columns], *placed), True

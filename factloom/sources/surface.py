@@ -55,14 +55,13 @@ def read_current(spark: SparkSession, root: str, buckets: list[int] | None = Non
     visible = bucket_versions(spark, root)
     if not visible:
         return None
-    chosen = visible if buckets is None else {b: v for b, v in visible.items() if b in set(buckets)}
-    schema = spark.read.parquet(f"{root}/data").schema
-    # One schema read, then only the folders named here are listed and scanned.
-    paths = [f"{root}/data/in_version={v}/in_bucket={b}" for b, v in sorted(chosen.items())]
-    reader = spark.read.schema(schema).option("basePath", f"{root}/data")
-    if not paths:
-        return spark.createDataFrame([], schema).drop("in_version", "in_bucket")
-    return reader.parquet(*paths).drop("in_version", "in_bucket")
+    folders = {b: f"{root}/data/in_version={v}/in_bucket={b}" for b, v in sorted(visible.items())}
+    # The schema comes from one folder, so folders that are not asked for are not listed.
+    schema = spark.read.parquet(next(iter(folders.values()))).schema
+    asked = folders if buckets is None else {b: folders[b] for b in buckets if b in folders}
+    if not asked:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*asked.values())
 
 
 def _stage(df: DataFrame, root: str, version: int) -> None:
