@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.plans.sequence import PIECE, PIECES, ROWS_PER_PIECE, in_pieces, position, same_keys
+from factloom.plans.sequence import PIECE, PIECES, ROWS_PER_PIECE, in_pieces, measure, position, same_keys
 
 CLOSED, OPEN, HALF_OPEN = "closed", "open", "half_open"
 MICROS_PER_MINUTE = 60_000_000
@@ -193,8 +193,8 @@ def breaker_states(
     run_type = results.schema["run_id"].dataType.simpleString()
     at_micros = position(results, "at").cast("long").alias("_micros")
     series = results.select("contract_id", "run_id", "at", "ok")
-    rows, any_cut = in_pieces(series, ["contract_id"], "at", rows_per_piece)
-    rows = rows.select("contract_id", PIECE, PIECES, "run_id", "at", at_micros, "ok")
+    cuts = measure(series, ["contract_id"], "at", rows_per_piece)
+    rows = in_pieces(series, ["contract_id"], "at", cuts).select("contract_id", PIECE, PIECES, "run_id", "at", at_micros, "ok")
 
     def in_order(df: DataFrame) -> DataFrame:
         return df.repartition("contract_id", PIECE).sortWithinPartitions("contract_id", PIECE, "at", "run_id")
@@ -265,7 +265,7 @@ def breaker_states(
         whole = whole.join(begin, "contract_id", "left").select(*rows.columns, *given)
     else:
         whole = whole.select(*rows.columns, *[F.lit(None).cast(begin.schema[g].dataType).alias(g) for g in given])
-    if any_cut:
+    if cuts.hot is not None:
         # One summary per piece: the chain of a contract is a short group, and the table of
         # starts has at most two rows per ``rows_per_piece`` results.
         starts = F.broadcast(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.time import clock, holds_at
-from factloom.plans.sequence import ROWS_PER_PIECE, carried_forward, with_neighbour
+from factloom.plans.sequence import ROWS_PER_PIECE, carried_forward, measure, with_neighbour
 
 
 def as_of(df: DataFrame, date, keys: dict[str, list] | None = None) -> DataFrame:
@@ -67,17 +67,14 @@ def apply_versions(
     )
     affected = current.join(changed_keys, keys, "left_semi").withColumn("_new", F.lit(False))
     rest = [c for c in current.columns if c not in (*keys, start)]
-    # Per start the row that was there before wins over any change.
-    rows = (
-        affected.unionByName(added.withColumn("_new", F.lit(True)))
-        .groupBy(*keys, start)
-        .agg(F.min(F.struct("_new", *rest)).alias("_row"))
-        .select(*keys, start, *[F.col("_row")[c].alias(c) for c in ["_new", *rest]])
-    )
+    rows = affected.unionByName(added.withColumn("_new", F.lit(True)))
     places = affected.select(*keys, start).unionByName(changes.select(*keys, start))
-    linked = with_neighbour(
-        rows, keys, [start], {"_next": start}, rows_per_piece=rows_per_piece, counted=places
-    )
+    cuts = measure(places, keys, start, rows_per_piece)
+    # Per start the row that was there before wins over any change: it sorts first, and rows
+    # that follow one with the same start are dropped. Both windows use one shuffle and sort.
+    ranked = with_neighbour(rows, keys, [start, "_new", *rest], {"_before": start}, previous=True, cuts=cuts)
+    kept = ranked.filter(F.col("_before").isNull() | (F.col("_before") != F.col(start))).drop("_before")
+    linked = with_neighbour(kept, keys, [start], {"_next": start}, cuts=cuts)
     new_end = F.least(F.col(end), F.col("_next"))
     merged = linked.withColumn("_touched", F.col("_new") | ~new_end.eqNullSafe(F.col(end))).withColumn(
         end, new_end
@@ -208,13 +205,12 @@ def snapshots_to_scd2(
 ) -> DataFrame:
     """Turn repeated full snapshots into versions, one per change of the attributes."""
     rows = snapshots.select(*keys, at, *attrs).withColumn("_now", F.struct(*attrs))
-    compared = with_neighbour(
-        rows, keys, [at], {"_before": "_now"}, previous=True, rows_per_piece=rows_per_piece
-    )
+    cuts = measure(snapshots, keys, at, rows_per_piece)
+    compared = with_neighbour(rows, keys, [at], {"_before": "_now"}, previous=True, cuts=cuts)
     changed = compared.filter(~F.col("_before").eqNullSafe(F.col("_now"))).select(
         *keys, F.col(at).alias("valid_from"), *attrs
     )
-    return open_ended(changed, keys, "valid_from", "valid_to", rows_per_piece)
+    return with_neighbour(changed, keys, ["valid_from"], {"valid_to": "valid_from"}, cuts=cuts)
 
 
 def asof_join(

@@ -16,6 +16,7 @@ the very same time stay together.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,45 +96,47 @@ def piece_of(place: Column) -> Column:
     return F.when(place.isNull() | bounds.isNull(), first).otherwise(inside)
 
 
-def in_pieces(
-    df: DataFrame, keys: list[str], at: str, rows_per_piece: int, counted: DataFrame | None = None
-) -> tuple[DataFrame, bool]:
-    """Add ``_piece`` (0 for keys that stay whole) and ``_pieces`` (NULL for those keys).
+@dataclass(frozen=True)
+class Cuts:
+    """Where the hot keys of a table are cut: (keys, _bounds, _sub), or None when no key is hot."""
 
-    Also tells whether any key was cut. ``counted`` may give a cheaper table with the key and
-    time columns of (at least) the same rows to count.
-    """
-    source = df if counted is None else counted
-    lazy = hot_keys(source, keys, at, rows_per_piece)
+    hot: DataFrame | None
+
+
+def measure(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> Cuts:
+    """Count the rows per key and place the cuts. They also serve any subset of the rows."""
+    lazy = hot_keys(df, keys, at, rows_per_piece)
     few = rows_if_small(lazy, FETCHED_KEYS)
-    if few is not None and not few:
-        whole = F.lit(0).cast("long").alias(PIECE), F.lit(None).cast("long").alias(PIECES)
-        return df.select(*df.columns, *whole), False
     if few is None:
         # So many hot keys that none of them holds much: equal pieces, joined as a table.
         pieces = F.ceil(F.col("_n") / F.lit(rows_per_piece)).cast("long")
-        hot = lazy.select(
-            *keys,
-            F.coalesce(F.array("_lo", F.col("_hi") + 1.0), F.array(F.lit(0.0), F.lit(1.0))).alias("_bounds"),
-            pieces.alias("_sub"),
-        )
-    else:
-        # At most rows(df) / rows_per_piece keys, with at most as many bounds as pieces.
-        spark = df.sparkSession
-        known = spark.createDataFrame(few, lazy.schema)
-        cuts = {tuple(r[k] for k in keys): r["_cuts"] for r in _cut_points(source, known, keys, at).collect()}
-        rows = []
-        for r in few:
-            key = tuple(r[k] for k in keys)
-            bounds, sub = _edges(r["_lo"], r["_hi"], cuts.get(key), -(-r["_n"] // rows_per_piece))
-            rows.append((*key, bounds, sub))
-        fields = [lazy.schema[k] for k in keys]
-        fields += [T.StructField("_bounds", T.ArrayType(T.DoubleType())), T.StructField("_sub", T.LongType())]
-        hot = F.broadcast(spark.createDataFrame(rows, T.StructType(fields)))
+        bounds = F.coalesce(F.array("_lo", F.col("_hi") + 1.0), F.array(F.lit(0.0), F.lit(1.0)))
+        return Cuts(lazy.select(*keys, bounds.alias("_bounds"), pieces.alias("_sub")))
+    if not few:
+        return Cuts(None)
+    # At most rows(df) / rows_per_piece keys, with at most as many bounds as pieces.
+    spark = df.sparkSession
+    known = spark.createDataFrame(few, lazy.schema)
+    cuts = {tuple(r[k] for k in keys): r["_cuts"] for r in _cut_points(df, known, keys, at).collect()}
+    rows = []
+    for r in few:
+        key = tuple(r[k] for k in keys)
+        bounds, sub = _edges(r["_lo"], r["_hi"], cuts.get(key), -(-r["_n"] // rows_per_piece))
+        rows.append((*key, bounds, sub))
+    fields = [lazy.schema[k] for k in keys]
+    fields += [T.StructField("_bounds", T.ArrayType(T.DoubleType())), T.StructField("_sub", T.LongType())]
+    return Cuts(F.broadcast(spark.createDataFrame(rows, T.StructType(fields))))
+
+
+def in_pieces(df: DataFrame, keys: list[str], at: str, cuts: Cuts) -> DataFrame:
+    """Add ``_piece`` (0 for keys that stay whole) and ``_pieces`` (NULL for those keys)."""
+    if cuts.hot is None:
+        whole = F.lit(0).cast("long").alias(PIECE), F.lit(None).cast("long").alias(PIECES)
+        return df.select(*df.columns, *whole)
     rows = df.withColumn("_place", position(df, at).cast("double"))
-    joined = rows.join(hot, same_keys(rows, hot, keys), "left")
+    joined = rows.join(cuts.hot, same_keys(rows, cuts.hot, keys), "left")
     placed = [piece_of(F.col("_place")).alias(PIECE), F.col("_sub").alias(PIECES)]
-    return joined.select(*[rows[c] for c in df.columns], *placed), True
+    return joined.select(*[rows[c] for c in df.columns], *placed)
 
 
 def _attach(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -151,18 +154,19 @@ def with_neighbour(
     *,
     previous: bool = False,
     rows_per_piece: int = ROWS_PER_PIECE,
-    counted: DataFrame | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add columns of the next (or previous) row of the same key.
 
     ``take`` maps new column names to existing ones; ``order`` begins with the time column
-    and must be total within a key.
+    and must be total within a key. ``cuts`` takes the result of an earlier ``measure``.
     """
-    rows, cut = in_pieces(df, keys, order[0], rows_per_piece, counted)
+    cuts = cuts or measure(df, keys, order[0], rows_per_piece)
     shift = F.lag if previous else F.lead
-    if not cut:
+    if cuts.hot is None:
         near = Window.partitionBy(*keys).orderBy(*order)
         return df.select(*df.columns, *[shift(source, 1).over(near).alias(n) for n, source in take.items()])
+    rows = in_pieces(df, keys, order[0], cuts)
     payload = F.struct(*[F.col(source).alias(name) for name, source in take.items()])
     inside = shift(payload, 1).over(Window.partitionBy(*keys, PIECE).orderBy(*order))
     place = F.struct(*order)
@@ -184,11 +188,12 @@ def carried_forward(
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Replace NULLs of ``value`` by the latest earlier non-NULL value of the same key."""
-    rows, cut = in_pieces(df, keys, order[0], rows_per_piece)
-    groups = [*keys, PIECE] if cut else keys
+    cuts = measure(df, keys, order[0], rows_per_piece)
+    groups = keys if cuts.hot is None else [*keys, PIECE]
     upto_here = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    if not cut:
+    if cuts.hot is None:
         return df.withColumn(value, F.last(value, ignorenulls=True).over(upto_here))
+    rows = in_pieces(df, keys, order[0], cuts)
     inside = F.last(value, ignorenulls=True).over(upto_here)
     borders = (
         rows.filter(F.col(PIECES).isNotNull())
@@ -211,10 +216,11 @@ def numbered(
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Add a 1-based row number per key in the given order."""
-    rows, cut = in_pieces(df, keys, order[0], rows_per_piece)
-    if not cut:
+    cuts = measure(df, keys, order[0], rows_per_piece)
+    if cuts.hot is None:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn(name, number.cast("long"))
+    rows = in_pieces(df, keys, order[0], cuts)
     inside = F.row_number().over(Window.partitionBy(*keys, PIECE).orderBy(*order))
     borders = (
         rows.filter(F.col(PIECES).isNotNull()).groupBy(*keys, PIECE).agg(F.count(F.lit(1)).alias("_own"))

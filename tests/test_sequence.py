@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from factloom.plans.sequence import carried_forward, in_pieces, numbered, with_neighbour
+from factloom.plans.sequence import carried_forward, in_pieces, measure, numbered, with_neighbour
 
 PIECE_SIZES = [1, 7, 50, 10_000]
 
@@ -70,8 +70,9 @@ def test_other_order_types(rows, kind):
 
 def test_hot_key_is_cut_and_others_are_not(spark):
     rows = spark.range(1000).selectExpr("CASE WHEN id < 900 THEN 0 ELSE id END AS k", "id AS at")
-    pieces, cut = in_pieces(rows, ["k"], "at", 100)
-    assert cut
+    cuts = measure(rows, ["k"], "at", 100)
+    assert cuts.hot is not None
+    pieces = in_pieces(rows, ["k"], "at", cuts)
     sizes = pieces.filter("k = 0").groupBy("_piece").count().collect()
     assert len(sizes) == 9
     assert max(r["count"] for r in sizes) <= 110
@@ -80,14 +81,15 @@ def test_hot_key_is_cut_and_others_are_not(spark):
 
 def test_no_hot_key_means_a_plain_window(spark):
     rows = spark.range(100).selectExpr("id % 10 AS k", "id AS at")
-    pieces, cut = in_pieces(rows, ["k"], "at", 10)
-    assert not cut and pieces.filter("_piece <> 0").isEmpty()
+    cuts = measure(rows, ["k"], "at", 10)
+    pieces = in_pieces(rows, ["k"], "at", cuts)
+    assert cuts.hot is None and pieces.filter("_piece <> 0").isEmpty()
 
 
 def test_outliers_and_busy_periods_do_not_fill_one_piece(spark):
     busy = "CASE WHEN id = 0 THEN -1e15 WHEN id = 1 THEN 1e15 WHEN id < 9000 THEN id / 1e6 ELSE id END"
     rows = spark.range(10_000).selectExpr("1 AS k", f"CAST({busy} AS DOUBLE) AS at", "id")
-    pieces, _ = in_pieces(rows, ["k"], "at", 500)
+    pieces = in_pieces(rows, ["k"], "at", measure(rows, ["k"], "at", 500))
     assert max(r["count"] for r in pieces.groupBy("_piece").count().collect()) < 1200
     got = with_neighbour(rows, ["k"], ["at", "id"], {"n": "id"}, rows_per_piece=500)
     want = rows.withColumn("n", F.lead("id").over(Window.partitionBy("k").orderBy("at", "id")))
