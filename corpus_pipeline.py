@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import language, simhash
+from factloom.llm import decontaminate, language, packing, secret_scan, simhash
+from factloom.llm.queries import BYTE_BPE
 from factloom.llm.text import in_fold
 from factloom.session import configure, shared_folder
 
@@ -25,9 +26,33 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    held = decontaminate.contaminated(docs, bench).select(F.col("doc_id").alias("held_id")).distinct()
+    return docs.join(held, docs["doc_id"] == held["held_id"], "left_anti")
+
+
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with confirmed secrets replaced in their texts and n_chars counted anew."""
+    path = "source" if "source" in docs.columns else None
+    masked = secret_scan.without_secrets(docs, secret_scan.scan(docs, path))
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their windows."""
+    return packing.pack(docs, BYTE_BPE)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", known_language),
     ("near_copies", without_copies),
+    ("benchmark", without_benchmark),
+    ("secrets", secrets_masked),
+    ("packing", packed),
 ]
 
 #: Fingerprints, cross-parsing and packing are beyond SQL; tests hold the stages against brute force.
