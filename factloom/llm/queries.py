@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import decontaminate, euclid_lsh, hmm, language, packing, preferences, secret_scan, simhash, token_counts
+from factloom.llm import decontaminate, euclid_lsh, hmm, language, packing, preferences, secret_scan, simhash, token_counts, toxicity
 from factloom.llm.text import in_fold
 from factloom.session import configure
 
@@ -28,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 3, 1)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

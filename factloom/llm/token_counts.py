@@ -9,6 +9,7 @@ each distinct one once per slice of text.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -25,6 +26,8 @@ from factloom.llm.text import slices
 
 #: The pre-token pattern of the byte-level BPE files. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Other characters are in no class that is known to last; texts that hold one are encoded whole.
+ASSIGNED = r"[^\p{Cn}\p{Co}]"
 REMEMBERED = 300_000
 
 _COUNTERS: dict[str, Counter] = {}
@@ -34,8 +37,8 @@ _COUNTERS: dict[str, Counter] = {}
 class Proof:
     """What was shown for one tokenizer file.
 
-    ``single``: strings that are one pre-token and one token. ``unlike``: characters that the
-    library and the pattern here do not put in the same class; texts that hold one are
+    ``single``: strings that are one pre-token and one token. ``unlike``: ranges of characters that
+    the library and the pattern here need not put in the same class; texts that hold one are
     encoded whole, like texts that hold a special token's string.
     """
 
@@ -60,18 +63,24 @@ def prove(path: str) -> Proof:
 
 
 def _unlike(pre_tokenizer, pattern) -> str:
-    """Characters c for which the pieces of "ac a", "1c1", "!c!" differ between library and pattern."""
-    odd = []
-    for low in range(0, 0x110000, 0x2000):
-        some = [c for c in map(chr, range(low, low + 0x2000)) if not 0xD800 <= ord(c) < 0xE000]
+    """The characters, as ranges of a character class, that are unassigned or private, or for which the
+    pieces of "aca", "1c1", "!c!" differ between library and pattern."""
+
+    def differ(some: list[str]) -> bool:
         line = "".join(f"a{c}a\n1{c}1\n!{c}!\n" for c in some)
-        if [b for _, (_, b) in pre_tokenizer.pre_tokenize_str(line)] == [m.end() for m in pattern.finditer(line)]:
-            continue
-        for c in some:
-            line = f"a{c}a\n1{c}1\n!{c}!\n"
-            if [b for _, (_, b) in pre_tokenizer.pre_tokenize_str(line)] != [m.end() for m in pattern.finditer(line)]:
-                odd.append(c)
-    return "".join(odd)
+        return [b for _, (_, b) in pre_tokenizer.pre_tokenize_str(line)] != [m.end() for m in pattern.finditer(line)]
+
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assigned = regex.findall(ASSIGNED, "".join(every))
+    odd = set(every).difference(assigned)
+    for low in range(0, len(assigned), 64):
+        some = assigned[low : low + 64]
+        if differ(some):
+            odd.update(c for c in some if differ([c]))
+    places = sorted(map(ord, odd))
+    begins = [p for k, p in enumerate(places) if not k or places[k - 1] != p - 1]
+    ends = [p for k, p in enumerate(places) if k + 1 == len(places) or places[k + 1] != p + 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(begins, ends, strict=True))
 
 
 @dataclass
@@ -85,8 +94,14 @@ class Counter:
     def __post_init__(self) -> None:
         self.library = load(self.path)
         self.pieces = regex.compile(PATTERN).findall
-        whole = [regex.escape(s) for s in self.proof.special] + [f"[{regex.escape(self.proof.unlike)}]"] * bool(self.proof.unlike)
-        self.whole = regex.compile("|".join(whole)).search if whole else lambda text: None
+        self.odd = re.compile(f"[{self.proof.unlike}]").search
+        self.late = re.compile(f"[{self.proof.unlike[:10]}-\\U0010ffff]").search  # at or after the first odd character
+
+    def whole(self, text: str) -> bool:
+        """Whether pre-tokens are left to the library."""
+        if any(s in text for s in self.proof.special):
+            return True
+        return not text.isascii() and self.late(text) is not None and self.odd(text) is not None
 
     def count(self, texts: list[str]) -> list[int]:
         single = self.proof.single
