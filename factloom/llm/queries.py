@@ -63,8 +63,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = in_fold("doc_id", 7, 2)
-    scored = hmm.score(docs, ~held_out)
-    return scored.withColumn("held_out", held_out)
+    scored = hmm.score(docs, ~held_out).withColumn("held_out", held_out)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @query
