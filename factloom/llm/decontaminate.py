@@ -28,8 +28,9 @@ MIN_WORDS = 12
 MIN_SHARE = 0.8
 #: ... of which this share must be equal.
 MIN_EQUAL = 0.8
-#: Bits of the filter of benchmark hashes: its size does not depend on the benchmark.
-FILTER_BITS = 23
+#: Bits of the filter of benchmark hashes, as a power of two: its size does not depend on the
+#: benchmark. A hash sets two bits, named by its first bits and by those from SECOND on.
+FILTER_BITS, SECOND = 24, 20
 
 NOT_WORD = regex.compile(r"[^\p{L}\p{N}]+")
 
@@ -81,10 +82,12 @@ def hashed_items(bench: DataFrame) -> DataFrame:
 
 
 def filter_of(seed_rows: DataFrame) -> np.ndarray:
-    """One bit per residue of a seed hash, set by aggregation; at most 2 ** FILTER_BITS / 64 rows come back."""
-    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    """The filter's bits in bytes, set by aggregation; at most 2 ** FILTER_BITS / 64 rows come back."""
+    first = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    second = F.shiftrightunsigned("hash", SECOND).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     words = (
-        seed_rows.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(%s & 63 as int))" % f"shiftrightunsigned(hash, {64 - FILTER_BITS})").alias("bit"))
+        seed_rows.select(F.explode(F.array(first, second)).alias("at"))
+        .select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .collect()
@@ -92,21 +95,29 @@ def filter_of(seed_rows: DataFrame) -> np.ndarray:
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     for row in words:
         bits[row["word"]] = row["bits"]
-    return np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool)
+    return bits.view(np.uint8)
 
 
-def candidates(docs: DataFrame, passing: np.ndarray) -> DataFrame:
+def passing(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of the hashes both of whose bits are set; ``bits`` holds one boolean per bit."""
+    at = np.flatnonzero(bits[hashes >> np.uint64(64 - FILTER_BITS)])
+    second = (hashes[at] >> np.uint64(SECOND)) & np.uint64((1 << FILTER_BITS) - 1)
+    return at[bits[second]]
+
+
+def candidates(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """(doc_id, words, hits) for texts with at least one window whose hash passes the filter."""
-    held = docs.sparkSession.sparkContext.broadcast(passing)
+    held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(held.value, bitorder="little").astype(bool)
         for batch in batches:
             for part in slices(batch):
                 hashes, starts = word_hashes(part.column("text"))
                 places, found = [], []
                 for mask in MASKS:
                     own = seeds(hashes, mask)
-                    at = np.flatnonzero(held.value[own >> np.uint64(64 - FILTER_BITS)])
+                    at = passing(own, bits)
                     row = np.searchsorted(starts, at, side="right") - 1
                     inside = at + len(mask) <= starts[row + 1]  # a window may not reach into the next text
                     places.append(at[inside])
