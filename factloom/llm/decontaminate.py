@@ -24,8 +24,8 @@ from factloom.plans.frontier import settled
 #: under at least one of them.
 MASKS = ("111111", "11011011", "1101100011", "1110010011", "10101010101", "110000110011")
 #: A stretch counts from this many equal words (or this share of a shorter item) ...
-MIN_WORDS = 12
-MIN_SHARE = 0.8
+MIN_WORDS = 10
+MIN_SHARE = 0.6
 #: ... of which this share must be equal.
 MIN_EQUAL = 0.8
 #: Bits of the filter of benchmark hashes, as a power of two: its size does not depend on the
