@@ -20,6 +20,7 @@ LEFT, RIGHT = 48, 24
 #: Names that credentials are assigned to, and path words of material that is not live.
 KEY_NAME = r"(?i)(token|secret|passw(or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
 SAMPLE_PATH = r"(?i)\b(tests?|examples?|samples?|mocks?|fixtures?|docs?|demo)\b"
+WHOLE_WORD = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
 MASK = "[SECRET]"
 
 #: Bounds of what is fitted: labelled findings, documents and words behind the dictionary.
@@ -81,7 +82,7 @@ def dictionary(docs: DataFrame, n_docs: int = DICTIONARY_DOCS, n_words: int = DI
         return []
     share = min(1.0, n_docs / total)
     some = docs.filter(F.pmod(F.xxhash64(docs["doc_id"], F.lit("dictionary")), F.lit(1 << 40)) < int(share * (1 << 40)))
-    words = some.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs["text"]), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("word"))
+    words = some.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs["text"]), F.lit(WHOLE_WORD), F.lit(0)))).alias("word"))
     top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(n_words)
     return [r["word"] for r in top.collect()]
 

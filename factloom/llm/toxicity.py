@@ -109,6 +109,7 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) ->
 
     sides = table(toxic), table(unlabelled)
     w, b = np.zeros(len(used)), bias
+    w_sum, b_sum, last = np.zeros(len(used)), 0.0, STEPS // 3  # steps back and forth average out
     mean, square = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, STEPS + 1):
         out = [b + np.bincount(r, weights=w[c], minlength=n) for c, r, n in sides]
@@ -126,8 +127,10 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) ->
         square = 0.999 * square + 0.001 * step * step
         move = RATE * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    weights[used] = w
-    return Model(weights, float(b))
+        if t > STEPS - last:
+            w_sum, b_sum = w_sum + w, b_sum + b
+    weights[used] = w_sum / last
+    return Model(weights, float(b_sum / last))
 
 
 def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Model:
