@@ -122,7 +122,7 @@ def _(s):
     FROM (SELECT root_fact_id, fact_id, MIN(depth) AS depth FROM walk GROUP BY 1, 2) n JOIN prov p ON p.fact_id = n.fact_id""",
     recursive="""walk AS (SELECT fact_id AS root_fact_id, fact_id, 0 AS depth FROM prov UNION
     SELECT w.root_fact_id, i.input_id, w.depth + 1 FROM walk w JOIN (SELECT fact_id, UNNEST(input_fact_ids) AS input_id FROM prov) i
-    ON i.fact_id = w.fact_id WHERE w.depth < 10)""",
+    ON i.fact_id = w.fact_id)""",
 )
 def _(s):
     return confidence.provenance_chain(s.prov, s.prov.select("fact_id"))

@@ -103,7 +103,7 @@ def _(s):
     "glossary",
     "SELECT canonical_term, related_term, MIN(depth) AS depth FROM walk GROUP BY 1, 2",
     recursive="""walk AS (SELECT canonical_term, is_a AS related_term, 1 AS depth FROM glossary WHERE is_a IS NOT NULL UNION
-    SELECT w.canonical_term, g.is_a, depth + 1 FROM walk w JOIN glossary g ON g.canonical_term = w.related_term WHERE g.is_a IS NOT NULL AND depth < 20)""",
+    SELECT w.canonical_term, g.is_a, depth + 1 FROM walk w JOIN glossary g ON g.canonical_term = w.related_term WHERE g.is_a IS NOT NULL)""",
 )
 def _(s):
     return semantic.term_closure(s.glossary)

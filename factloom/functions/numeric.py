@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def round_exact(value: Column, places: int = 2) -> Column:
-    """Round half away from zero, through a decimal, so binary noise does not decide ties."""
-    return F.round(value.cast("decimal(20,10)"), places).cast("double")
+    """Round half away from zero, through a decimal, so binary noise does not decide ties.
+
+    Doubles of a thousand million and more have no such noise at these places; they are rounded as they are.
+    """
+    exact = F.round(F.when(F.abs(value) < 1e9, value).cast("decimal(20,10)"), places).cast("double")
+    return F.when(F.abs(value) < 1e9, exact).otherwise(F.round(value.cast("double"), places))
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:

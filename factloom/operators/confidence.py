@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.confidence import decayed
 from factloom.functions.time import clock
-from factloom.plans.frontier import expand, settled
+from factloom.plans.frontier import reach
 
 
 def effective_confidence(facts: DataFrame, as_of, keys: list | None = None) -> DataFrame:
@@ -70,29 +70,18 @@ def field_confidence(
     return joined.select(*columns)
 
 
-def provenance_chain(prov: DataFrame, fact_ids: DataFrame, max_depth: int = 10) -> DataFrame:
+def provenance_chain(prov: DataFrame, fact_ids: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every provenance record reachable from each fact, with the shortest distance.
 
-    ``fact_ids`` has one column ``fact_id``. All facts are walked together; a record
-    reached by two routes, or again round a cycle, is kept once at its least depth.
+    ``fact_ids`` has one column ``fact_id``. All facts are walked together, down to the
+    source documents; a record reached by two routes, or again round a cycle, is kept once at
+    its least depth. With ``max_depth`` the walk ends there, and ``cut`` marks the records
+    whose inputs were left out.
     """
-    links = settled(
-        prov.select(F.col("fact_id").alias("_from"), F.explode("input_fact_ids").alias("_to")).distinct()
-    )
-    seed = fact_ids.select(
-        F.col("fact_id").alias("root_fact_id"), F.col("fact_id"), F.lit(0).alias("depth")
-    ).distinct()
-
-    def step(level: DataFrame, depth: int) -> DataFrame:
-        return (
-            level.join(links, level["fact_id"] == links["_from"])
-            .select("root_fact_id", F.col("_to").alias("fact_id"), F.lit(depth - 1).alias("depth"))
-            .distinct()
-        )
-
-    reached = expand(seed, step, max_depth + 1)
-    nearest = reached.groupBy("root_fact_id", "fact_id").agg(F.min("depth").alias("depth"))
-    return nearest.join(prov, "fact_id").select(
+    links = prov.select(F.col("fact_id").alias("_from"), F.explode("input_fact_ids").alias("_to"))
+    seeds = fact_ids.select(F.col("fact_id").alias("root"), F.col("fact_id").alias("node"))
+    reached = reach(seeds, links, max_depth).withColumnsRenamed({"root": "root_fact_id", "node": "fact_id"})
+    return reached.join(prov, "fact_id").select(
         "root_fact_id",
         "fact_id",
         "depth",
@@ -100,6 +89,7 @@ def provenance_chain(prov: DataFrame, fact_ids: DataFrame, max_depth: int = 10)
         "source_document",
         "transform_name",
         "derivation_depth",
+        *(["cut"] if max_depth is not None else []),
     )
 
 

@@ -6,12 +6,12 @@ business_context and status; only active entries are resolved.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.text import term_names
 from factloom.functions.time import clock
-from factloom.plans.frontier import settled
+from factloom.plans.frontier import reach
 
 TERM_COLUMNS = ["canonical_term", "definition", "calculation", "synonyms", "excludes", "business_context"]
 
@@ -116,9 +116,10 @@ def assemble_text(
 def glossary_upsert(glossary: DataFrame, rows: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
     """The glossary with new entries added, and the rows refused.
 
-    A canonical term is unique: rows whose term exists already are refused, and of several
-    new rows with one term the least is taken. ``reviewed_at`` and ``created_at`` default
-    to ``as_of``, ``status`` to active.
+    A canonical term is unique: rows whose term exists already are refused, and of several new
+    rows with one term the least is taken and the others are refused, exact repeats too, so
+    added and refused rows are together those given. ``reviewed_at`` and ``created_at``
+    default to ``as_of``, ``status`` to active.
     """
     now = clock(as_of)
     defaults = {"status": F.lit("active"), "reviewed_at": now, "created_at": now}
@@ -131,14 +132,18 @@ def glossary_upsert(glossary: DataFrame, rows: DataFrame, as_of) -> tuple[DataFr
         ]
     )
     rest = [c for c in glossary.columns if c != "canonical_term"]
-    chosen = (
-        shaped.groupBy("canonical_term")
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*[F.col("canonical_term") if c == "canonical_term" else F.col("_row")[c].alias(c) for c in glossary.columns])
+    known = glossary.select("canonical_term").distinct().withColumn("_known", F.lit(True))
+    # Repeats are counted before rows of one term meet.
+    counted = shaped.groupBy(*glossary.columns).agg(F.count(F.lit(1)).alias("_n"))
+    place = F.row_number().over(Window.partitionBy("canonical_term").orderBy(*rest))
+    judged = counted.withColumn("_place", place).join(known, "canonical_term", "left")
+    taken = F.col("_known").isNull() & (F.col("_place") == 1)
+    times = F.sequence(F.lit(1).cast("long"), F.col("_n") - F.when(taken, 1).otherwise(0))
+    refused = judged.filter(~taken | (F.col("_n") > 1)).select(*glossary.columns, F.explode(times).alias("_time"))
+    return (
+        glossary.unionByName(judged.filter(taken).select(*glossary.columns)),
+        refused.select(*glossary.columns),
     )
-    new = chosen.join(glossary.select("canonical_term"), "canonical_term", "left_anti").select(*glossary.columns)
-    refused = shaped.join(glossary.select("canonical_term").distinct(), "canonical_term", "left_semi")
-    return glossary.unionByName(new), refused.select(*glossary.columns)
 
 
 def glossary_issues(descriptions: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -165,26 +170,22 @@ def glossary_issues(descriptions: DataFrame, glossary: DataFrame) -> DataFrame:
     return undefined.unionByName(ambiguous)
 
 
-def term_closure(glossary: DataFrame, relation: str = "is_a", max_depth: int = 20) -> DataFrame:
-    """Every ancestor (``is_a``) or part (``has_parts``) of each term with its least depth."""
-    links = settled(
-        glossary.select(F.col("canonical_term").alias("_from"), F.explode(relation).alias("_to")).distinct()
+def term_closure(glossary: DataFrame, relation: str = "is_a", max_depth: int | None = None) -> DataFrame:
+    """Every ancestor (``is_a``) or part (``has_parts``) of each term with its least depth.
+
+    The walk ends when nothing new is found; a term on a cycle is its own ancestor at the
+    cycle's length. With ``max_depth`` it ends there, and ``cut`` marks terms with more beyond.
+    """
+    links = glossary.select(F.col("canonical_term").alias("_from"), F.explode(relation).alias("_to"))
+    # The walk starts one step on, so that a term's way back to itself counts.
+    reached = reach(
+        links.select(F.col("_from").alias("root"), F.col("_to").alias("node")),
+        links,
+        None if max_depth is None else max_depth - 1,
     )
-    reached = settled(
-        links.select(
-            F.col("_from").alias("canonical_term"), F.col("_to").alias("related_term"), F.lit(1).alias("depth")
-        )
+    return reached.select(
+        F.col("root").alias("canonical_term"),
+        F.col("node").alias("related_term"),
+        (F.col("depth") + 1).alias("depth"),
+        *(["cut"] if max_depth is not None else []),
     )
-    level = reached
-    for depth in range(2, max_depth + 1):
-        level = settled(
-            level.join(links, level["related_term"] == links["_from"])
-            .select("canonical_term", F.col("_to").alias("related_term"))
-            .distinct()
-            .join(reached, ["canonical_term", "related_term"], "left_anti")
-            .withColumn("depth", F.lit(depth))
-        )
-        if level.isEmpty():
-            break
-        reached = reached.unionByName(level)
-    return reached

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factloom.session import shared_folder
 
@@ -16,6 +19,51 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The same rows, from a table in the shared folder.
+
+    For loops: unlike a checkpoint the table is known by its own size, so the size estimated
+    for a join does not carry over from round to round.
+    """
+    path = path or f"{shared_folder(df.sparkSession)}/rounds-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reach(seeds: DataFrame, links: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(root, node, depth) for every node that can be reached from each root, at its least depth.
+
+    ``seeds`` has (root, node), at depth 0; ``links`` has (_from, _to). Without ``max_depth``
+    the walk goes on until a step finds nothing new, so cycles end. With it, a column ``cut``
+    tells which nodes at that depth have links onward. Each step is written beside those
+    before it and joined with all of them, so a node is carried on once.
+    """
+    spark = seeds.sparkSession
+    links = written(links.select("_from", "_to").distinct())
+    folder = f"{shared_folder(spark)}/walk-{uuid.uuid4().hex}"
+    level = written(seeds.select("root", "node").distinct(), f"{folder}/depth=0")
+    kind = T.StructType([*level.schema.fields, T.StructField("depth", T.IntegerType())])  # depth is in the folder's name
+    depth = 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        seen = spark.read.schema(kind).parquet(folder)
+        found = (
+            level.join(links, level["node"] == links["_from"])
+            .select("root", F.col("_to").alias("node"))
+            .distinct()
+            .join(seen, ["root", "node"], "left_anti")
+        )
+        level = written(found, f"{folder}/depth={depth}")
+        if level.isEmpty():
+            break
+    reached = spark.read.schema(kind).parquet(folder)
+    if max_depth is None:
+        return reached
+    onward = links.select(F.col("_from").alias("node"), F.lit(True).alias("_on")).distinct()
+    cut = F.coalesce(F.col("_on"), F.lit(False)) & (F.col("depth") == max_depth)
+    return reached.join(onward, "node", "left").select("root", "node", "depth", cut.alias("cut"))
+
+
 def expand(
     seed: DataFrame,
     step: Callable[[DataFrame, int], DataFrame],
@@ -23,12 +71,12 @@ def expand(
 ) -> DataFrame:
     """Union of ``seed`` (depth 1) and of ``step(previous, depth)`` for depths 2..max_depth.
 
-    Every level is checkpointed once and read by the next level and by the union, so the
+    Every level is written once and read by the next level and by the union, so the
     work is one join per level. Expansion stops when a level is empty.
     """
-    levels = [settled(seed)]
+    levels = [written(seed)]
     for depth in range(2, max_depth + 1):
-        level = settled(step(levels[-1], depth))
+        level = written(step(levels[-1], depth))
         if level.isEmpty():
             break
         levels.append(level)

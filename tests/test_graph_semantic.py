@@ -57,11 +57,38 @@ def test_superseded_chains(spark):
     df = spark.createDataFrame(
         [(1, 2), (2, 3), (3, 4), (4, 5), (5, None), (6, 7), (7, 6), (8, 99), (9, None), (10, 6)], "context_id int, superseded_by int"
     )
-    got = {r["context_id"]: (r["surviving_id"], r["resolved"]) for r in graph.resolve_superseded(df, 6).collect()}
+    got = {r["context_id"]: (r["surviving_id"], r["resolved"]) for r in graph.resolve_superseded(df).collect()}
     assert {k: got[k] for k in (1, 2, 3, 4, 5)} == dict.fromkeys((1, 2, 3, 4, 5), (5, True))
     assert got[9] == (9, True)
     assert got[8] == (99, False)
-    assert not got[6][1] and not got[7][1] and not got[10][1]
+    assert {k: got[k] for k in (6, 7, 10)} == {k: (k, False) for k in (6, 7, 10)}
+
+
+def test_long_chains_are_complete(spark):
+    chain = spark.createDataFrame([(k, k + 1 if k < 999 else None) for k in range(1000)], "context_id int, superseded_by int")
+    got = graph.resolve_superseded(chain).filter("surviving_id <> 999 OR NOT resolved")
+    assert got.count() == 0
+    prov = spark.createDataFrame([(k, [k + 1]) for k in range(25)], "fact_id int, input_fact_ids array<int>").selectExpr(
+        "*", "'x' AS source_type", "NULL AS source_document", "NULL AS transform_name", "0 AS derivation_depth"
+    )
+    root = spark.createDataFrame([(0,)], "fact_id int")
+    assert sorted(r["depth"] for r in confidence.provenance_chain(prov, root).collect()) == list(range(25))
+    some = {r["depth"]: r["cut"] for r in confidence.provenance_chain(prov, root, 3).collect()}
+    assert some == {0: False, 1: False, 2: False, 3: True}
+
+
+def test_term_closure_on_a_cycle(spark):
+    names = spark.createDataFrame([("a", ["b"]), ("b", ["c"]), ("c", ["a"])], "canonical_term string, is_a array<string>")
+    got = {(r["canonical_term"], r["related_term"]): r["depth"] for r in semantic.term_closure(names).collect()}
+    assert len(got) == 9 and got["a", "a"] == 3 and got["a", "c"] == 2
+
+
+def test_glossary_upsert_loses_nothing(spark):
+    glossary = spark.createDataFrame([("t", "old")], "canonical_term string, definition string")
+    new = spark.createDataFrame([("t", "new"), ("u", "b"), ("u", "a"), ("u", "a"), ("v", None)], glossary.schema)
+    kept, refused = semantic.glossary_upsert(glossary, new, "2024-01-01")
+    assert rows(kept, "canonical_term", "definition") == [("t", "old"), ("u", "a"), ("v", None)]
+    assert rows(refused, "canonical_term", "definition") == [("t", "new"), ("u", "a"), ("u", "b")]
 
 
 def test_provenance_walk(spark):
@@ -115,7 +142,7 @@ def test_glossary_insert(spark, glossary):
     merged, refused = semantic.glossary_upsert(glossary, new, "2024-01-01")
     assert merged.count() == 6
     assert rows(merged.filter("canonical_term = 'New'"), "definition", "status") == [("a", "active")]
-    assert rows(refused, "canonical_term") == [("Old",)]
+    assert rows(refused, "canonical_term", "definition") == [("New", "b"), ("Old", "x")]
 
 
 def test_reembed(spark):
