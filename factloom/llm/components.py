@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.plans.frontier import settled
+from factloom.plans.frontier import written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,14 +16,14 @@ def components(links: DataFrame) -> DataFrame:
     never grows, a chain shrinks by a factor per round, and what a node knows is found by
     aggregation, so a node with very many links is no group of its own.
     """
-    links = settled(
+    links = written(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter("a <> b")
         .distinct()
     )
     mark = None
     while True:
-        links = settled(_small_star(_large_star(links)))
+        links = written(_small_star(_large_star(links)))
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark or not now[0]:
             break
