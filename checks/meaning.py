@@ -33,15 +33,20 @@ def _(s):
     )
 
 
+# Only terms of columns that the records have: lang and n_chars.
+RECORD_TERMS = """SELECT DISTINCT table_name, r.term, canonical_term, definition FROM data_refs r JOIN names n ON n.term = r.term
+    WHERE column_name IN ('lang', 'n_chars')"""
+
+
 @case(
     "k03_enrich",
-    "refs names",
-    """SELECT doc_id AS record_id, lang, n_chars, terms, n AS total_terms_expanded FROM documents JOIN (
+    "data_refs names",
+    f"""SELECT doc_id AS record_id, lang, n_chars, terms, COALESCE(n, 0) AS total_terms_expanded FROM documents LEFT JOIN (
     SELECT table_name, string_agg(term || '=' || canonical_term, '|' ORDER BY term) AS terms, CAST(COUNT(*) AS INTEGER) AS n
-    FROM (SELECT DISTINCT table_name, r.term, canonical_term FROM refs r JOIN names n ON n.term = r.term) GROUP BY table_name) ON table_name = source""",
+    FROM ({RECORD_TERMS}) GROUP BY table_name) ON table_name = source""",
 )
 def _(s):
-    found = semantic.enrich(s.records, s.descriptions, s.glossary)
+    found = semantic.enrich(s.records, s.data_descriptions, s.glossary)
     terms = F.transform(
         F.array_sort(F.map_entries("semantic_context")), lambda e: text(e["key"], "=", e["value"]["canonical_term"])
     )
@@ -52,13 +57,13 @@ def _(s):
 
 @case(
     "v03_assemble_text",
-    "refs names",
-    """SELECT source AS table_name, doc_id AS record_id, 'lang: ' || lang || ', n_chars: ' || n_chars || chr(10) || notes AS text FROM documents JOIN (
-    SELECT table_name, string_agg(term || ' = ' || definition, '; ' ORDER BY term) AS notes
-    FROM (SELECT DISTINCT table_name, r.term, definition FROM refs r JOIN names n ON n.term = r.term) GROUP BY table_name) ON table_name = source""",
+    "data_refs names",
+    f"""SELECT source AS table_name, doc_id AS record_id, concat_ws(chr(10), concat_ws(', ', 'lang: ' || lang, 'n_chars: ' || n_chars), notes) AS text
+    FROM documents LEFT JOIN (SELECT table_name, string_agg(term || ' = ' || definition, '; ' ORDER BY term) AS notes
+    FROM ({RECORD_TERMS}) GROUP BY table_name) ON table_name = source""",
 )
 def _(s):
-    return semantic.assemble_text(s.records, s.descriptions, s.glossary)
+    return semantic.assemble_text(s.records, s.data_descriptions, s.glossary)
 
 
 def _upsert(s):

@@ -224,7 +224,7 @@ class Samples:
     def ctx(self) -> DataFrame:
         return (
             self.t("documents")
-            .join(self.t("labels"), "doc_id")
+            .join(self.t("labels"), "doc_id", "left")
             .select(
                 c("doc_id").alias("entity_id"),
                 F.lit("document").alias("entity_type"),
@@ -504,6 +504,14 @@ class Samples:
             ),
         )
 
+    @cached_property
+    def data_descriptions(self) -> DataFrame:
+        """Descriptions of which some are about the columns of ``records``."""
+        n = F.substring("column_name", 2, 20).cast("long") % 40
+        return self.descriptions.withColumn(
+            "column_name", F.when(n == 0, "lang").when(n == 1, "n_chars").otherwise(c("column_name"))
+        )
+
     @cached_property
     def records(self) -> DataFrame:
         return self.t("documents").select(

@@ -72,7 +72,7 @@ SELECT d.doc_id AS entity_id, 'document' AS entity_type,
        lang AS context_value, 'by-' || source AS assessed_by, TIMESTAMP '2024-01-01' AS assessed_at,
        CASE WHEN lang <> 'es' THEN CAST(DATE '2024-01-01' + CAST(d.doc_id % 400 AS INTEGER) AS DATE) END AS review_due,
        CASE WHEN lang = 'fr' THEN TIMESTAMP '2024-03-01' END AS valid_to
-FROM documents d JOIN labels l ON l.doc_id = d.doc_id""",
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     ),
     "chained_ctx": (
         [],
@@ -222,6 +222,12 @@ SELECT source AS table_name, 'c' || doc_id AS column_name,
         """
 SELECT table_name, column_name, CAST(i - 1 AS INTEGER) AS ref_position, names[i] AS term
 FROM (SELECT *, regexp_extract_all(description, '\\[([^\\]]+)\\]', 1) AS names FROM descriptions), generate_series(1, 2) AS g(i)""",
+    ),
+    "data_refs": (
+        ["refs"],
+        """
+SELECT table_name, CASE WHEN n % 40 = 0 THEN 'lang' WHEN n % 40 = 1 THEN 'n_chars' ELSE column_name END AS column_name, term
+FROM (SELECT *, CAST(substr(column_name, 2) AS BIGINT) AS n FROM refs)""",
     ),
     "claims": (
         ["glossary"],

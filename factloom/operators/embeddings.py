@@ -131,6 +131,10 @@ def _unit_rows(vectors):
     return matrix[lengths > 0] / lengths[lengths > 0, None], lengths > 0
 
 
+#: Similarities are rounded to so many places, so that equal ones tie whatever the block they came from.
+SIMILARITY_PLACES = 12
+
+
 def knn(
     vectors: DataFrame,
     queries: DataFrame,
@@ -180,7 +184,7 @@ def knn(
                     continue
                 rows, good = _unit_rows(batch["embedding"])
                 ids = batch[id_col].to_numpy()[good]
-                scores = matrix @ rows.T
+                scores = np.round(matrix @ rows.T, SIMILARITY_PLACES)
                 if kept is None:
                     kept = [_best(score, ids, k) for score in scores]
                 else:
@@ -217,7 +221,7 @@ def knn(
             matrix, usable = _unit_rows(block["_asked_vec"])
             rows, good = _unit_rows(part["_vec"])
             ids = part["_id"].to_numpy()[good]
-            kept = [_best(score, ids, k) for score in matrix @ rows.T]
+            kept = [_best(score, ids, k) for score in np.round(matrix @ rows.T, SIMILARITY_PLACES)]
             return framed(block["_asked"][usable], kept, int(block["_av"].iloc[0]))
 
         pairs = left.groupBy("_aq", "_av").cogroup(right.groupBy("_q", "_v"))

@@ -21,9 +21,9 @@ def lineage_trace(
     ``targets`` has target_table and target_column; without it every column in the lineage
     is traced. ``direction='down'`` starts at source columns and follows their use.
 
-    Every path counts: a node reached by two paths gives its rows twice, and a cycle
-    repeats until the depth limit. The walk carries one row per (root, node) with the
-    number of paths, so only the final step writes the repeated rows.
+    Every path counts: ``paths`` tells by how many a step is reached at that depth, and a cycle
+    repeats until the depth limit. ``cut`` marks steps at the limit that go on beyond it. The
+    walk carries one row per (root, node), however many paths there are.
     """
     here, there = ("target", "source") if direction == "up" else ("source", "target")
     node = [f"{here}_table", f"{here}_column"]
@@ -52,9 +52,8 @@ def lineage_trace(
         )
 
     walked = expand(seed, step, max_depth)
-    rows = walked.join(lineage, node).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("paths")))
-    )
+    onward = links.select(*[F.col(n).alias(a) for n, a in zip(node, away, strict=True)], F.lit(True).alias("_on")).distinct()
+    rows = walked.join(lineage, node).join(onward, away, "left")
     return rows.select(
         "root_table",
         "root_column",
@@ -67,6 +66,8 @@ def lineage_trace(
         F.when(F.col("source_system").isNotNull(), "OPERATIONAL SOURCE")
         .otherwise("PIPELINE TRANSFORMATION")
         .alias("node_type"),
+        "paths",
+        ((F.col("depth") == max_depth) & F.col("_on").isNotNull()).alias("cut"),
     )
 
 

@@ -127,18 +127,18 @@ def triage(incidents: DataFrame, patterns: DataFrame) -> DataFrame:
     ``incidents`` has incident_id and keywords (array); ``patterns`` has pattern_id (unique),
     title, failure_mode, root_cause, tags and key_fix. Matching ignores case; an empty keyword
     matches every pattern, an empty list none. Each distinct keyword meets only patterns that
-    hold its first three characters, by an equi-join, before the substring test.
+    hold its first three characters, by an equi-join on ids alone; the patterns' texts join the
+    pairs that are left for the substring test.
     """
     asked = incidents.select(
         "incident_id", F.explode(F.transform("keywords", F.lower)).alias("keyword")
     ).distinct()
     words = asked.select("keyword").distinct().withColumn("_gram", F.substring("keyword", 1, 3))
-    text = F.lower(F.concat_ws(" ", "failure_mode", "root_cause"))
-    grams = patterns.select("pattern_id", text.alias("_text")).select(
-        "pattern_id", "_text", F.explode(_grams(F.col("_text"))).alias("_gram")
-    )
+    texts = patterns.select("pattern_id", F.lower(F.concat_ws(" ", "failure_mode", "root_cause")).alias("_text"))
+    grams = texts.select("pattern_id", F.explode(_grams(F.col("_text"))).alias("_gram"))
     matched = (
         words.join(grams, "_gram")
+        .join(texts, "pattern_id")
         .filter(F.contains(F.col("_text"), F.col("keyword")))
         .select("keyword", "pattern_id")
     )

@@ -52,12 +52,14 @@ def resolve_terms(refs: DataFrame, glossary: DataFrame) -> DataFrame:
     return refs.join(glossary_names(glossary), "term")
 
 
-def table_context(descriptions: DataFrame, glossary: DataFrame) -> DataFrame:
+def table_context(descriptions: DataFrame, glossary: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per table, the map from each term referenced by its columns to the entry.
 
-    Built once per table from its distinct references, so a map has at most as many entries
+    With ``columns`` only the descriptions of these are looked at. Built once per table from its distinct references, so a map has at most as many entries
     as the glossary has names, whatever the number of columns or records.
     """
+    if columns is not None:
+        descriptions = descriptions.filter(F.col("column_name").isin(columns))
     distinct = term_references(descriptions).select("table_name", "term").distinct()
     return (
         resolve_terms(distinct, glossary)
@@ -73,11 +75,12 @@ def enrich(
     """Records with the meaning of every term their columns' descriptions refer to.
 
     ``records`` has table_name, the key and the data columns; ``descriptions`` has
-    table_name, column_name and description. The context of a table is joined to its
-    records. A term written as a synonym and as its canonical name counts twice.
+    table_name, column_name and description. Columns that the records do not have explain
+    nothing here, so a projected record tells nothing about what was left out. The context of
+    a table is joined to its records. A term written as a synonym and as its canonical name counts twice.
     """
     data = [c for c in records.columns if c not in ("table_name", key)]
-    context = table_context(descriptions, glossary)
+    context = table_context(descriptions, glossary, data)
     return records.join(context, "table_name", "left").select(
         "table_name",
         key,
@@ -90,13 +93,13 @@ def enrich(
 def assemble_text(
     records: DataFrame, descriptions: DataFrame, glossary: DataFrame, key: str = "record_id"
 ) -> DataFrame:
-    """One text per record: its values, then the definitions its table refers to."""
+    """One text per record: its values, then the definitions that its own columns refer to."""
     data = [c for c in records.columns if c not in ("table_name", key)]
     values = [
         F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in data
     ]
     notes = (
-        table_context(descriptions, glossary)
+        table_context(descriptions, glossary, data)
         .select(
             "table_name",
             F.array_join(

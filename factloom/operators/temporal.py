@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.time import clock, holds_at
@@ -83,6 +83,27 @@ def apply_versions(
     return merged.select(*current.columns, "_touched").unionByName(untouched)
 
 
+def refused_changes(
+    current: DataFrame, changes: DataFrame, keys: list[str], start: str = "valid_from", ignore: list[str] | None = None
+) -> DataFrame:
+    """The changes that ``apply_versions`` does not apply although they say something new.
+
+    ``HELD_START``: the key has a version at that start with other values. ``SAME_START``: another
+    change of the batch with the same key and start, the least one, is applied. Exact repeats
+    say nothing new and are not listed. Only columns that both sides have, and that are not in
+    ``ignore``, are compared.
+    """
+    values = [c for c in changes.columns if c in current.columns and c not in (*keys, start, *(ignore or []))]
+    place = F.row_number().over(Window.partitionBy(*keys, start).orderBy(*values))
+    given = changes.select(*keys, start, *values).distinct().withColumn("_place", place)
+    held = current.select(*keys, start, F.struct(*values).alias("_held"))
+    judged = given.join(held, [*keys, start], "left")
+    reason = F.when(F.col("_held").isNull(), F.when(F.col("_place") > 1, "SAME_START")).when(
+        F.col("_held") != F.struct(*values), "HELD_START"
+    )
+    return judged.select(*keys, start, *values, reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def scd2_apply(
     current: DataFrame,
     changes: DataFrame,
@@ -202,15 +223,34 @@ def snapshots_to_scd2(
     attrs: list[str],
     at: str = "snapshot_date",
     rows_per_piece: int = ROWS_PER_PIECE,
+    complete: bool = False,
 ) -> DataFrame:
-    """Turn repeated full snapshots into versions, one per change of the attributes."""
-    rows = snapshots.select(*keys, at, *attrs).withColumn("_now", F.struct(*attrs))
+    """Turn repeated snapshots into versions, one per change of the attributes.
+
+    With ``complete`` every snapshot holds all keys there were: a key that is not in the next
+    one ends there, and begins a new version if it comes back.
+    """
+    rows = snapshots.select(*keys, at, *attrs, F.lit(False).alias("_gone"))
     cuts = measure(snapshots, keys, at, rows_per_piece)
+    if complete:
+        # One row per snapshot, however many rows a snapshot has.
+        days = snapshots.select(at).distinct().withColumn("_day", F.lead(at).over(Window.orderBy(at)))
+        followed = with_neighbour(snapshots.select(*keys, at), keys, [at], {"_next": at}, cuts=cuts).join(days, at)
+        missing = F.col("_day").isNotNull() & (F.col("_next").isNull() | (F.col("_next") > F.col("_day")))
+        gone = followed.filter(missing).select(
+            *keys,
+            F.col("_day").alias(at),
+            *[F.lit(None).cast(snapshots.schema[c].dataType).alias(c) for c in attrs],
+            F.lit(True).alias("_gone"),
+        )
+        rows = rows.unionByName(gone)
+    rows = rows.withColumn("_now", F.struct("_gone", *attrs))
     compared = with_neighbour(rows, keys, [at], {"_before": "_now"}, previous=True, cuts=cuts)
     changed = compared.filter(~F.col("_before").eqNullSafe(F.col("_now"))).select(
-        *keys, F.col(at).alias("valid_from"), *attrs
+        *keys, F.col(at).alias("valid_from"), *attrs, "_gone"
     )
-    return with_neighbour(changed, keys, ["valid_from"], {"valid_to": "valid_from"}, cuts=cuts)
+    versions = with_neighbour(changed, keys, ["valid_from"], {"valid_to": "valid_from"}, cuts=cuts)
+    return versions.filter(~F.col("_gone")).drop("_gone")
 
 
 def asof_join(

@@ -123,13 +123,15 @@ def test_terms(spark, glossary):
     assert rows(refs.filter("column_name = 'a'"), "ref_position", "term") == [(0, "MRR"), (1, "Monthly Revenue"), (2, "shared")]
     resolved = dict(rows(semantic.resolve_terms(refs, glossary).select("term", "canonical_term").distinct(), "term", "canonical_term"))
     assert resolved == {"MRR": "Monthly Revenue", "Monthly Revenue": "Monthly Revenue", "shared": "Annual Revenue", "ARR": "ARR"}
-    records = spark.createDataFrame([("t", 1, "x"), ("u", 2, None)], "table_name string, record_id int, v string")
+    records = spark.createDataFrame([("t", 1, "x", 1), ("u", 2, None, 1)], "table_name string, record_id int, a string, b int")
+    projected = semantic.enrich(records.drop("b"), descriptions, glossary).filter("record_id = 1").first()
+    assert set(projected["semantic_context"]) == {"MRR", "Monthly Revenue", "shared"}
     done = {r["record_id"]: r for r in semantic.enrich(records, descriptions, glossary).collect()}
     assert done[1]["total_terms_expanded"] == 4
     assert done[1]["semantic_context"]["MRR"]["excludes"] == []
     assert done[2]["total_terms_expanded"] == 0
     text = {r["record_id"]: r["text"] for r in semantic.assemble_text(records, descriptions, glossary).collect()}
-    assert text[1].startswith("v: x\nARR = an own entry; MRR = sum of months")
+    assert text[1].startswith("a: x, b: 1\nARR = an own entry; MRR = sum of months")
     issues = rows(semantic.glossary_issues(descriptions, glossary), "issue", "term", "occurrences")
     assert issues == [
         ("AMBIGUOUS_NAME", "ARR", 2), ("AMBIGUOUS_NAME", "shared", 2), ("UNDEFINED_REFERENCE", "Old", 1), ("UNDEFINED_REFERENCE", "nothing", 1),

@@ -168,3 +168,22 @@ def test_event_state_as_recorded(spark):
     )
     assert temporal.event_state(df).first()["event_type"] == "shut"
     assert temporal.event_state(df, "2024-01-05").first()["event_type"] == "open"
+
+
+def test_refused_changes_are_those_that_say_something_else(spark):
+    kind = "id int, valid_from string, v int, valid_to string"
+    current = spark.createDataFrame([(1, "2024-01-01", 5, None), (2, "2024-01-01", 7, None)], kind)
+    changes = spark.createDataFrame(
+        [(1, "2024-01-01", 5), (1, "2024-01-01", 6), (1, "2024-02-01", 9), (1, "2024-02-01", 8), (1, "2024-02-01", 8), (3, "2024-01-01", None)],
+        "id int, valid_from string, v int",
+    )
+    got = {tuple(r) for r in temporal.refused_changes(current, changes, ["id"]).collect()}
+    assert got == {(1, "2024-01-01", 6, "HELD_START"), (1, "2024-02-01", 9, "SAME_START")}
+
+
+def test_complete_snapshots_close_keys_that_are_gone(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 5), ("b", 1, 5), ("b", 2, 5), ("a", 3, 5), ("b", 3, 6)], "id string, snapshot_date int, v int"
+    )
+    got = {tuple(r) for r in temporal.snapshots_to_scd2(df, ["id"], ["v"], complete=True).collect()}
+    assert got == {("a", 1, 5, 2), ("a", 3, 5, None), ("b", 1, 5, 3), ("b", 3, 6, None)}
