@@ -253,7 +253,7 @@ def _(s):
     changes.index_stream(
         s.queue(s.stream("events")), root, f"{root}/progress", _prepared, tiebreak=["event_id"]
     ).awaitTermination()
-    return read_current(s.spark, f"{root}/index").drop("embedding", "indexed_at", "semantic_context")
+    return changes.read_index(s.spark, f"{root}/index").drop("embedding", "indexed_at", "semantic_context")
 
 
 @case(

@@ -4,10 +4,15 @@
 Data goes to ``<root>/data/in_version=N/in_bucket=b``; a row (bucket, version) appended to
 ``<root>/manifest`` then makes it visible. The current content is, for every bucket, the
 version with the highest number in the manifest.
+
+``append_delta``, ``newest`` and ``compact`` keep a table of the newest row per key as the
+batches that were appended: a batch writes in proportion to itself, readers take the newest
+row of each key, and compaction writes these as one more batch before older ones go.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -153,3 +158,55 @@ def upsert_version(
         )
 
     return rewrite_version(batch, root, [key], version, merge, buckets)
+
+
+def append_delta(rows: DataFrame, root: str, run: str, number: int) -> None:
+    """Add a batch to a table of deltas. The same batch of the same run replaces itself."""
+    rows.write.mode("overwrite").parquet(f"{root}/run={run}/batch={number}")
+
+
+def newest(
+    spark: SparkSession,
+    root: str,
+    key: str,
+    order: list[Column],
+    only: DataFrame | None = None,
+    without: tuple[str, int] | None = None,
+) -> DataFrame | None:
+    """The row of each key that is greatest by ``order``; None when there is no delta.
+
+    ``only`` (a column named like the key) restricts the keys before rows are compared, and ``without`` leaves a
+    run's batch out. The winner is found with partial results, so a key with very many rows
+    meets no single task.
+    """
+    try:
+        deltas = spark.read.option("basePath", root).parquet(root)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if without is not None:
+        deltas = deltas.filter(~((F.col("run") == without[0]) & (F.col("batch") == without[1])))
+    rows = deltas.drop("run", "batch")
+    if only is not None:
+        rows = rows.join(only.select(key).distinct(), key, "left_semi")
+    rest = [c for c in rows.columns if c != key]
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in rows.columns])
+
+
+def compact(spark: SparkSession, root: str, key: str, order: list[Column]) -> None:
+    """Write the newest rows as one delta, then remove the deltas that it was made from.
+
+    Rows stay the newest whichever delta they are read from, so a run that stops half-way
+    leaves the table as it was, and batches appended meanwhile are not touched.
+    """
+    files = spark._jvm.org.apache.hadoop.fs
+    base = files.Path(root)
+    system = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(base):
+        return
+    old = [d.getPath() for run in system.listStatus(base) if run.isDirectory() for d in system.listStatus(run.getPath())]
+    append_delta(newest(spark, root, key, order).hint("rebalance"), root, f"compact-{uuid.uuid4().hex}", 0)
+    for path in old:
+        system.delete(path, True)

@@ -87,11 +87,12 @@ def message(table, entity, version, **rest):
 
 def prepare(batch):
     name = F.get_json_object("source_record", "$.name")
-    return batch.withColumn("text", name).withColumn("embedding", F.array(F.length(name).cast("double"), F.lit(1.0)))
+    vector = F.when(name.isNotNull(), F.array(F.length(name).cast("double"), F.lit(1.0)))
+    return batch.withColumn("text", name).withColumn("embedding", vector)
 
 
 def test_parse(spark):
-    bodies = [message("t", "1", "v"), "{oops", '{"table": "t"}', '{"table": "t", "entity_id": "2"}', None, "[]"]
+    bodies = [message("t", "1", "2024-01-01"), "{oops", '{"table": "t"}', '{"table": "t", "entity_id": "2"}', None, "[]"]
     parsed = changes.parse_changes(spark.createDataFrame([(b,) for b in bodies], "body string"))
     assert [r["problem"] for r in parsed.collect()][:4] == [None, "MALFORMED", "NO_KEY", "NO_RECORD"]
     good, dead = changes.split_changes(parsed)
@@ -103,25 +104,31 @@ def test_index_stream(spark, tmp_path):
     batches = [
         [message("t", "1", "2024-01-01", name="first"), message("t", "2", "2024-01-05", name="keep"), "{bad"],
         # Redelivered, older than what is indexed, and a real change.
-        [message("t", "1", "2024-01-01", name="first"), message("t", "2", "2024-01-02", name="an old one"), message("t", "3", "x", name="n")],
-        [message("t", "1", "2024-01-09", name="a much longer text"), message("t", "1", "2024-01-08", name="between")],
+        [message("t", "1", "2024-01-01", name="first"), message("t", "2", "2024-01-02", name="an old one"), message("t", "3", "x", name="n"), message("t", "4", "9", name="nine")],
+        [message("t", "1", "2024-01-09", name="a much longer text"), message("t", "1", "2024-01-08", name="between"), message("t", "4", "10", name="ten"), message("t", "6", "1")],
     ]
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema("body string").option("maxFilesPerTrigger", 1).json(source)
     for batch in batches:
         spark.createDataFrame([(b,) for b in batch], "body string").coalesce(1).write.mode("append").json(source)
-        changes.index_stream(
-            stream, root, str(tmp_path / "cp"), prepare, buckets=4, threshold=0.9999999
-        ).awaitTermination()
-    index = read_current(spark, f"{root}/index")
-    assert rows(index, "id", "text", "source_version") == [
-        ("t#1", "a much longer text", "2024-01-09"),
-        ("t#2", "keep", "2024-01-05"),
-        ("t#3", "n", "x"),
-    ]
+        changes.index_stream(stream, root, str(tmp_path / "cp"), prepare, threshold=0.9999999).awaitTermination()
+    want = [("t#1", "a much longer text", "2024-01-09"), ("t#2", "keep", "2024-01-05"), ("t#4", "ten", "10")]
+    index = changes.read_index(spark, f"{root}/index")
+    assert rows(index, "id", "text", "source_version") == want
     counts = spark.read.parquet(f"{root}/outcomes").agg(F.sum("succeeded"), F.sum("failed")).first()
-    assert tuple(counts) == (7, 1)
-    assert spark.read.parquet(f"{root}/dead").count() == 1
+    assert tuple(counts) == (8, 3)
+    assert rows(spark.read.parquet(f"{root}/dead"), "problem") == [("BAD_VERSION",), ("MALFORMED",), ("NO_EMBEDDING",)]
+    # A batch that is written again has no second effect, nor has compaction.
+    changes.compact_index(spark, f"{root}/index")
+    assert rows(changes.read_index(spark, f"{root}/index"), "id", "text", "source_version") == want
+    assert len(list((tmp_path / "out" / "index").glob("run=*/batch=*"))) == 1
+    # A new checkpoint adds to what is there.
+    other = str(tmp_path / "other")
+    (tmp_path / "other").mkdir()
+    spark.createDataFrame([(message("t", "5", "2024-02-01", name="five"),)], "body string").write.mode("append").json(other)
+    again = spark.readStream.schema("body string").json(other)
+    changes.index_stream(again, root, str(tmp_path / "new"), prepare).awaitTermination()
+    assert rows(changes.read_index(spark, f"{root}/index"), "id", "text", "source_version") == [*want, ("t#5", "five", "2024-02-01")]
 
 
 def test_redelivery_filter(spark, tmp_path):
