@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.text import slices, words_of
+from factloom.llm.text import slices, texts_of, words_of
 from factloom.plans.frontier import settled
 
 #: Fixed masks, six words each. A passage of 13 words with any two words replaced keeps a hit
@@ -141,7 +141,7 @@ def candidates(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                     names=["doc_id", "words", "hits"],
                 )
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = texts_of(docs)
     return rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         run, "doc_id long, words array<long>, hits array<struct<hash: long, place: int>>"
     )

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.text import slices, words_of
+from factloom.llm.text import bounded_batches, slices, words_of
 
 #: Learned letters per language, and the documents they are taken from (whole texts, in the
 #: order of a hash of their ids). This bounds what is fitted, not what is classified.
@@ -153,7 +153,8 @@ def identify(docs: DataFrame, models: dict[str, Automaton], lang: str = "lang_pr
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(models)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"])
+    bounded_batches(spark)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     kind = f"doc {rows.schema['doc'].dataType.simpleString()}, {lang} string, {score} double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +162,8 @@ def identify(docs: DataFrame, models: dict[str, Automaton], lang: str = "lang_pr
         tables = [m.table() for m in held.value.values()]
         bits = [m.bits for m in held.value.values()]
         for batch in batches:
-            for part in slices(batch):
+            texts = batch.column("doc").field("text")
+            for part in slices(pa.record_batch([batch.column("doc"), texts], names=["doc", "text"])):
                 codes, letters = _costs(part.column("text"), tables, bits)
                 best = codes.argmin(1) if len(tables) else np.zeros(part.num_rows, dtype=int)
                 ranked = np.sort(codes, 1)

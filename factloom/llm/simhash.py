@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.components import components
-from factloom.llm.text import slices, words_of
+from factloom.llm.text import slices, texts_of, words_of
 from factloom.plans.frontier import settled
 
 SEED = 42
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 fps = np.array(found, dtype=np.uint64).view(np.int64)
                 yield pa.record_batch([part.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(
+    return texts_of(docs).mapInArrow(
         run, "doc_id long, fp long"
     )
 

@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are taken apart at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
+#: Texts are long: what goes to Python at once is bounded by rows and bytes.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 
 
 def in_fold(key: str | Column, folds: int, fold: int) -> Column:
@@ -25,6 +28,21 @@ def in_fold(key: str | Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(folds)) == fold, F.lit(False))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of the session hold more than BATCH_ROWS rows or, about, BATCH_BYTES."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key, None)
+        if now is None or not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the rows, to be sent to Python in bounded batches."""
+    bounded_batches(docs.sparkSession)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text; a longer text is a piece of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -40,11 +58,15 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
 
 @dataclass
 class Words:
-    """``codes[starts[i]:starts[i + 1]]`` are the words of text i, as places in ``distinct``."""
+    """``codes[starts[i]:starts[i + 1]]`` are the words of text i, as places in ``values``."""
 
     codes: np.ndarray
     starts: np.ndarray
-    distinct: list[str]
+    values: pa.StringArray
+
+    @cached_property
+    def distinct(self) -> list[str]:
+        return self.values.to_pylist()
 
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
@@ -68,9 +90,9 @@ def words_of(texts: pa.Array, lower: str = "ascii") -> Words:
     starts = lists.offsets.to_numpy().astype(np.int64)
     flat = lists.flatten().dictionary_encode()
     starts = starts - starts[0]
-    codes, distinct = flat.indices.to_numpy(), flat.dictionary.to_pylist()
-    if "" in distinct:
-        kept = codes != distinct.index("")
+    codes, empty = flat.indices.to_numpy(), pc.index(flat.dictionary, "").as_py()
+    if empty >= 0:
+        kept = codes != empty
         before = np.concatenate([[0], np.cumsum(kept)])
         codes, starts = codes[kept], before[starts]
-    return Words(codes, starts, distinct)
+    return Words(codes, starts, flat.dictionary)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.bpe import AT_ONCE, load, special_strings
-from factloom.llm.text import slices
+from factloom.llm.text import slices, texts_of
 
 #: The pre-token pattern of the byte-level BPE files. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -150,5 +150,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
                     names=["doc_id", "n_bytes", "n_tokens"],
                 )
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = texts_of(docs)
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

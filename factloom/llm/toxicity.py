@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.text import slices, words_of
+from factloom.llm.text import bounded_batches, slices, texts_of, words_of
 from factloom.plans.frontier import settled
 
 #: Bounds of what is fitted: confirmed toxic texts, unlabelled texts, taken by a hash of their ids.
@@ -140,6 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Model:
     unlabelled ones are drawn from all, labelled or not, and their labels are not looked at. The class prior is
     the share of toxic among the labelled. One pass over the texts fetches both samples.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), learns.alias("learns"))
     rows = rows.filter("learns AND text IS NOT NULL AND doc_id IS NOT NULL")
     marked = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
@@ -187,5 +188,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part in slices(batch):
                 yield pa.record_batch([part.column("doc_id"), pa.array(held.value.scores(part.column("text")))], names=["doc_id", "score"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = texts_of(docs)
     return rows.mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
