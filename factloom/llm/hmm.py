@@ -17,12 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.text import Words, slices, words_of
+from factloom.llm.text import Words, bounded_batches, slices, words_of
 from factloom.plans.frontier import settled
 
 STATES = 6
@@ -36,19 +37,20 @@ SMOOTH = 0.05
 STAY = 0.95
 SEED = 11
 #: Bytes of text that are run through the recursions side by side.
-BYTES = 4_000_000
+BYTES = 8_000_000
 
 
 @dataclass
 class Vocabulary:
     """Classes 0..own-1 are words, then the endings, then the end of a text.
 
-    ``counts`` and ``classes`` hold the most frequent words. ``known`` and ``kinds`` are the
-    training tokens and distinct words of each class; tokens and words those of all, end included.
+    ``top`` are the most frequent words, the first ``own`` of them classes of their own, and
+    ``counts`` their counts. ``known`` and ``kinds`` are the training tokens and distinct words of each
+    class that is not one word; ``tokens`` and ``words`` those of all, ends included.
     """
 
-    counts: dict[str, int]
-    classes: dict[str, int]
+    top: pa.StringArray
+    counts: np.ndarray
     own: int
     known: np.ndarray
     kinds: np.ndarray
@@ -63,9 +65,14 @@ class Vocabulary:
     def __len__(self) -> int:
         return self.own + ENDINGS + 1
 
-    def class_of(self, word: str) -> int:
-        found = self.classes.get(word)
-        return self.own + xxhash.xxh64_intdigest(word[-ENDING:], 42) % ENDINGS if found is None else found
+    def look_up(self, values: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and count of each word; the count of words that are not held is 0."""
+        place = pc.fill_null(pc.index_in(values, value_set=self.top), -1).to_numpy()
+        endings = pc.utf8_slice_codeunits(values, -ENDING).dictionary_encode()
+        digests = [xxhash.xxh64_intdigest(e, 42) % ENDINGS for e in endings.dictionary.to_pylist()]
+        by_ending = self.own + np.array(digests, dtype=np.int64)[endings.indices.to_numpy()]
+        counts = np.append(self.counts, 0)[place]
+        return np.where((place >= 0) & (place < self.own), place, by_ending), counts
 
 
 @dataclass
@@ -97,7 +104,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 words = words_of(part.column("text"))
                 seen = np.bincount(words.codes, minlength=len(words.distinct))
                 kept = np.flatnonzero(seen)
-                yield pa.record_batch([pa.array(words.distinct, pa.string()).take(pa.array(kept)), pa.array(seen[kept])], names=["word", "n"])
+                yield pa.record_batch([words.values.take(pa.array(kept)), pa.array(seen[kept])], names=["word", "n"])
 
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -117,19 +124,20 @@ def vocabulary(counts: DataFrame, n_docs: int) -> Vocabulary:
             break
         least, held = at, held + words
     top = sorted(((r["word"], r["n"]) for r in counts.filter(scale >= least).collect()), key=lambda r: (-r[1], r[0]))
-    own = {w: k for k, (w, _) in enumerate(top[:OWN])}
-    cut = top[len(own) - 1] if own else ("", 1 << 62)
+    own = min(OWN, len(top))
+    cut = top[own - 1] if own else ("", 1 << 62)
     other = (F.col("n") < cut[1]) | ((F.col("n") == cut[1]) & (F.col("word") > cut[0]))
-    known, kinds = np.zeros(len(own) + ENDINGS + 1), np.zeros(len(own) + ENDINGS + 1)
+    known, kinds = np.zeros(own + ENDINGS + 1), np.zeros(own + ENDINGS + 1)
     ending = F.pmod(F.xxhash64(F.right("word", F.lit(ENDING))), F.lit(ENDINGS))
     for row in counts.filter(other).groupBy(ending.alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
-        known[len(own) + row["at"]], kinds[len(own) + row["at"]] = row["n"], row["words"]
-    return Vocabulary(dict(top), own, len(own), known, kinds, n_docs, tokens + n_docs, total + (n_docs > 0))
+        known[own + row["at"]], kinds[own + row["at"]] = row["n"], row["words"]
+    words = pa.array([w for w, _ in top], pa.string())
+    return Vocabulary(words, np.array([n for _, n in top], dtype=np.int64), own, known, kinds, n_docs, tokens + n_docs, total + (n_docs > 0))
 
 
 def sequences(words: Words, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of all texts one after the other, each with its end, where they start, their lengths."""
-    class_of = np.fromiter(map(vocab.class_of, words.distinct), dtype=np.int32, count=len(words.distinct))
+    class_of = vocab.look_up(words.values)[0].astype(np.int32)
     lengths = np.diff(words.starts) + 1
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     out = np.full(int(lengths.sum()), vocab.end, dtype=np.int32)
@@ -143,7 +151,8 @@ class Recursion:
     """The scaled forward recursion over many texts side by side, longest first.
 
     ``scales[t][i]`` is the probability of text i's token t given those before it, so the
-    logarithms add up to the likelihood; nothing can vanish, however long the text.
+    logarithms add up to the likelihood; nothing can vanish, however long the text. Arrays
+    have a row per state and a column per text, so that all work runs along the texts.
     """
 
     def __init__(self, model: Model, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keep: bool) -> None:
@@ -151,13 +160,15 @@ class Recursion:
         self.classes, self.starts = classes, starts[self.order]
         longest = int(lengths.max()) if len(lengths) else 0
         self.going = np.searchsorted(-lengths[self.order], -np.arange(longest), side="left")
-        self.model, self.forward, self.scales = model, [], []
-        held = None
+        self.model, self.emit = model, np.ascontiguousarray(model.emit.T)
+        self.forward, self.scales = [], []
+        onward, held = np.ascontiguousarray(model.step.T), None
         for t, k in enumerate(self.going.tolist()):
-            ahead = model.start if held is None else held[:k] @ model.step
-            held = ahead * self.emitted(t, k)
-            scale = held.sum(1)
-            held /= scale[:, None]
+            now = self.emitted(t, k)
+            now *= model.start[:, None] if held is None else onward @ held[:, :k]
+            scale = now.sum(0)
+            now /= scale
+            held = now
             self.scales.append(scale)
             if keep:
                 self.forward.append(held)
@@ -166,7 +177,7 @@ class Recursion:
         return self.classes[self.starts[:k] + t]
 
     def emitted(self, t: int, k: int) -> np.ndarray:
-        return self.model.emit[self.at(t, k)]
+        return self.emit.take(self.at(t, k), axis=1)
 
     def likelihoods(self) -> np.ndarray:
         """log10 of the probability of each text's classes."""
@@ -182,19 +193,20 @@ class Recursion:
         later, n_later = None, 0
         for t in range(len(self.going) - 1, -1, -1):
             k = int(self.going[t])
-            back = np.ones((k, states))
+            next_ = self.emitted(t, k)
+            next_ /= self.scales[t]
             if later is not None:
-                steps += self.forward[t][:n_later].T @ later
-                back[:n_later] = later @ model.step.T
-            later = self.emitted(t, k) * back / self.scales[t][:, None]
-            n_later = k
-            self.forward[t] *= back  # now the probability of each state, given the whole text
+                steps += self.forward[t][:, :n_later] @ later.T
+                back = model.step @ later
+                next_[:, :n_later] *= back  # texts that end here go on with 1
+                self.forward[t][:, :n_later] *= back  # now the probability of each state, given the whole text
+            later, n_later = next_, k
         if not self.forward:
             return Expected(np.zeros(states), steps, np.zeros_like(model.emit))
         place = np.concatenate([self.at(t, k) for t, k in enumerate(self.going.tolist())])
-        each = np.concatenate(self.forward)
-        emit = np.stack([np.bincount(place, weights=each[:, s], minlength=len(model.emit)) for s in range(states)], 1)
-        return Expected(self.forward[0].sum(0), steps * model.step, emit)
+        each = np.concatenate(self.forward, axis=1)
+        emit = np.stack([np.bincount(place, weights=each[s], minlength=len(model.emit)) for s in range(states)], 1)
+        return Expected(self.forward[0].sum(1), steps * model.step, emit)
 
 
 def first_model(sample: list[np.ndarray], size: int) -> Model:
@@ -293,6 +305,7 @@ def score(docs: DataFrame, learns: Column) -> DataFrame:
     Rows with NULL or repeated ids stay and are scored each; other columns are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), learns.alias("learns"))
     taught = rows.filter("learns").select("doc_id", "text")
     n_docs = taught.count()
@@ -312,8 +325,7 @@ def score(docs: DataFrame, learns: Column) -> DataFrame:
                 words = words_of(part.column("text"))
                 found = sequences(words, vocab)
                 likely = Recursion(model, *found, False).likelihoods() if vocab.docs else np.zeros(part.num_rows)
-                n = np.fromiter((vocab.counts.get(w, 0) for w in words.distinct), dtype=np.int64, count=len(words.distinct))
-                place = np.fromiter(map(vocab.class_of, words.distinct), dtype=np.int64, count=len(words.distinct))
+                place, n = vocab.look_up(words.values)
                 logs = np.log10(n + 1)
                 shared = place >= vocab.own
                 likely += words.sums(np.where(shared, logs - in_class[place], 0.0))
@@ -337,7 +349,7 @@ def score(docs: DataFrame, learns: Column) -> DataFrame:
                 none = pa.nulls(len(pair), pa.int64())
                 yield pa.record_batch(
                     [
-                        pa.array(words.distinct, pa.string()).take(pa.array(pair % max(len(n), 1))),
+                        words.values.take(pa.array(pair % max(len(n), 1))),
                         pa.array(ids[pair // max(len(n), 1)]),
                         none,
                         pa.array(times),
@@ -350,7 +362,8 @@ def score(docs: DataFrame, learns: Column) -> DataFrame:
 
     flat = rows.select("doc_id", "text").mapInArrow(run, "word string, row long, doc_id long, n long, known long, logs double, likely double")
     text = F.col("known").isNotNull()  # the row of a text, not of one of its words
-    rest = counts.filter(F.col("n") < max(min(vocab.counts.values(), default=1), 1)).select("word", F.col("n").alias("c")) if vocab.counts else counts.select("word", F.col("n").alias("c"))
+    least = int(vocab.counts.min()) if len(vocab.counts) else 1 << 62
+    rest = counts.filter(F.col("n") < least).select("word", F.col("n").alias("c"))  # the words that are not held
     joined = flat.join(rest, "word", "left").select(
         "row",
         F.when(text, F.struct("doc_id", "n", "known", "logs", "likely")).alias("text"),

@@ -59,7 +59,7 @@ def test_long_texts_do_not_vanish():
 
 
 def test_sequences():
-    vocab = Vocabulary({"a": 3, "b": 2}, {"a": 0, "b": 1}, 2, np.zeros(0), np.zeros(0), 1, 5, 2)
+    vocab = Vocabulary(pa.array(["a", "b"]), np.array([3, 2]), 2, np.zeros(0), np.zeros(0), 1, 5, 2)
     classes, starts, lengths = sequences(words_of(pa.array(["A b", None, "zz"])), vocab)
     assert starts.tolist() == [0, 3, 4] and lengths.tolist() == [3, 1, 2]
     assert classes[:4].tolist() == [0, 1, vocab.end, vocab.end] and 2 <= classes[4] < vocab.end
