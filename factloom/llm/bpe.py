@@ -8,14 +8,18 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words whose ids a task remembers; beyond that it forgets all and goes on.
 REMEMBERED = 800_000
+#: Between tasks only words up to this length are remembered; they come back most.
+SHORT = 9
 #: Words given to the library at once.
 AT_ONCE = 8_192
 
-BLANK_BEFORE_WORD = re.compile(r" (?=\S)")
-BLANK_ELSEWHERE = re.compile(r" (?!\S)")
+#: A blank that other white space or the end of the text follows.
+BLANK_IN_A_RUN = r" (?:[\s\p{Z}\x{85}\x0b\x1c-\x1f]|$)"
 PLAIN = re.compile(r" ?\S+")
 STOPS = (".", ",")
 
@@ -46,8 +50,8 @@ class Encoder:
 
     The file's pattern starts a new piece at every blank before a visible character, whatever
     stands before it. So a text may be cut there, its parts encoded alone, and their ids
-    joined. The same holds between a letter or digit and a full stop or comma. Texts that hold a
-    special token's string are given to the library whole.
+    joined. The same holds between a letter or digit and a full stop or comma. Texts with other
+    blanks, or with a special token's string, are given to the library whole.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
@@ -56,20 +60,37 @@ class Encoder:
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if any(s in t for s in self.special) else self.parts(t) for t in texts]
-        self.learn(set().union(*(p for p in parts if p is not None)))
-        known = self.known
-        return [
-            self.whole([text])[0] if own is None else b"".join([known[p] for p in own])
-            for text, own in zip(texts, parts, strict=True)
-        ]
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        """The text, cut before blanks that a visible character follows; the parts join to the text."""
-        cut = BLANK_BEFORE_WORD.split(text) if BLANK_ELSEWHERE.search(text) else text.split(" ")
-        return [cut[0], *[" " + c for c in cut[1:]]]
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
+        """The ids of each text; NULL counts as empty."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, BLANK_IN_A_RUN)
+        for string in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, string))
+        whole = whole.to_numpy(zero_copy_only=False)
+        cut = iter(self.by_words(texts.filter(pa.array(~whole))))
+        rest = iter(self.whole(texts.filter(pa.array(whole)).to_pylist()))
+        return [next(rest) if w else next(cut) for w in whole.tolist()]
+
+    def by_words(self, texts: pa.StringArray) -> list[bytes]:
+        """Ids of texts in which every blank stands alone: cut at blanks, each distinct word looked up once."""
+        lists = pc.split_pattern(texts, " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        parts = lists.flatten().dictionary_encode()
+        codes = parts.indices.to_numpy().astype(np.int64) + len(parts.dictionary)
+        codes[bounds[:-1]] -= len(parts.dictionary)  # words that begin a text have no blank before them
+        used, places = np.unique(codes, return_inverse=True)
+        words = parts.dictionary.to_pylist()
+        keys = [words[c] if c < len(words) else " " + words[c - len(words)] for c in used.tolist()]
+        self.learn(set(keys))
+        found = [self.known[k] for k in keys]
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        size = sizes[places]
+        ends = np.cumsum(size)
+        out = ids[np.repeat(firsts[places] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        cuts = (np.concatenate([[0], ends])[bounds] * 4).tolist()
+        return [out[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def learn(self, needed: set[str]) -> None:
         new = needed.difference(self.known)
@@ -96,6 +117,11 @@ class Encoder:
         known = self.known
         known.update([(p, known[p[:-1]] + known[p[-1]]) for p in stopped])
 
+    def rest(self) -> None:
+        """Give memory back at the end of a task; the worker may do other work next."""
+        self.known = {k: v for k, v in self.known.items() if len(k) <= SHORT}
+        pa.default_memory_pool().release_unused()
+
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]

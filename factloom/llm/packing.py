@@ -15,13 +15,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.llm.bpe import encoder
-from factloom.llm.text import slices
+from factloom.llm.text import slices, texts_of
 from factloom.plans.frontier import settled
 
 WINDOW = 1024
@@ -102,7 +101,7 @@ def windows_of(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             for some in slices(batch):
                 counts, checks, nth, before = [], [], [], []
-                for ids in encode(pc.fill_null(some.column("text"), "").to_pylist()):
+                for ids in encode(some.column("text")):
                     ids += END
                     n = len(ids) // 4
                     counts.append(n)
@@ -116,9 +115,10 @@ def windows_of(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
                     [some.column("doc_id"), *columns, pa.array(checks, pa.list_(pa.int64()))],
                     names=["doc_id", "part", "doc_tokens", "nth", "full_before", "checks"],
                 )
+        encoder(path).rest()
 
     kind = "doc_id long, part int, doc_tokens long, nth long, full_before long, checks array<long>"
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, kind)
+    return texts_of(docs).mapInArrow(run, kind)
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:

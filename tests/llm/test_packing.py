@@ -6,6 +6,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 from factloom.llm.bpe import Encoder, load
 from factloom.llm.packing import fullest, pack, padded, plan
@@ -19,8 +20,8 @@ def test_encoder_gives_the_library_s_ids():
     parts = [" ", "  ", "\n", "\n\n", "\t", ".", ",", "'s", "a", "Bc", "é", "1", "²", "_", "!", "\x1c", " ", "ll", "<|endoftext|>"]
     texts = ["".join(chance.choice(parts) for _ in range(chance.randint(0, 14))) for _ in range(3_000)]
     encoder = Encoder(PATH, remembered=500)
-    assert encoder.encode(texts) == encoder.whole(texts)
-    assert encoder.encode(texts) == encoder.whole(texts)
+    assert encoder.encode(pa.array(texts)) == encoder.whole(texts)
+    assert encoder.encode(pa.array(texts)) == encoder.whole(texts)
 
 
 def test_fullest_is_the_best_multiset():
