@@ -2,8 +2,8 @@
 
 A seed is a fixed mask over neighbouring words; words under a 0 may differ. Both sides are
 hashed under every mask and joined on the hash. A hit names a text, an item and how far one
-is shifted against the other; along that shift the longest stretch with few substituted words
-is measured.
+is shifted against the other; along that shift the stretch with most equal words is measured,
+of all stretches that hold enough of them.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.text import slices, texts_of, words_of
@@ -147,32 +147,42 @@ def candidates(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     )
 
 
-def stretch(equal: Column) -> Column:
-    """(n_words, n_equal, begin) of the stretch of an array of booleans that scores best.
+def stretch(same: np.ndarray) -> tuple[int, int, int] | None:
+    """(begin, n_words, n_equal) of the stretch with most equal words of those with a share of MIN_EQUAL.
 
-    An equal word gives 1 and a substituted one takes 3, so a stretch of four equal words
-    outweighs the substitution before it; of stretches with one score the first counts.
+    It begins and ends with an equal word; of several with as many equal words the shortest,
+    then the first. For the k-th equal word at place p the value k - MIN_EQUAL * p may fall by
+    no more than 1 - MIN_EQUAL over a stretch, so per end the first begin is found in the
+    running minimum of the values; in hundredths, to compare whole numbers.
     """
-    start = F.expr("named_struct('at', 0, 'run', 0, 'since', 0, 'eq', 0, 'score', 0, 'begin', 0, 'n', 0, 'equal', 0)")
-
-    def step(s: Column, same: Column) -> Column:
-        fresh = s["run"] <= 0
-        run = F.when(fresh, 0).otherwise(s["run"]) + F.when(same, 1).otherwise(-3)
-        since = F.when(fresh, s["at"]).otherwise(s["since"])
-        eq = F.when(fresh, 0).otherwise(s["eq"]) + F.when(same, 1).otherwise(0)
-        better = run > s["score"]
-        return F.struct(
-            (s["at"] + 1).alias("at"),
-            run.alias("run"),
-            since.alias("since"),
-            eq.alias("eq"),
-            F.when(better, run).otherwise(s["score"]).alias("score"),
-            F.when(better, since).otherwise(s["begin"]).alias("begin"),
-            F.when(better, s["at"] + 1 - since).otherwise(s["n"]).alias("n"),
-            F.when(better, eq).otherwise(s["equal"]).alias("equal"),
-        )
-
-    return F.aggregate(equal, start, step)
+    places = np.flatnonzero(same)
+    if not len(places):
+        return None
+    share = round(100 * MIN_EQUAL)
+    values = 100 * np.arange(len(places)) - share * places
+    begins = np.searchsorted(-np.minimum.accumulate(values), -(values + 100 - share))
+    equal = np.arange(len(places)) - begins + 1
+    words = places - places[begins] + 1
+    end = np.lexsort((words, -equal))[0]
+    return int(places[begins[end]]), int(words[end]), int(equal[end])
+
+
+def stretches(shifts: DataFrame) -> DataFrame:
+    """``shifts`` with ``same``, an array of booleans, replaced by s, the (begin, n, equal) of its stretch."""
+    rest = [f for f in shifts.schema.fields if f.name != "same"]
+    kind = pa.struct([("begin", pa.int32()), ("n", pa.int32()), ("equal", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("same")
+            ends = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy(zero_copy_only=False)
+            found = [stretch(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            held = [s and dict(zip(("begin", "n", "equal"), s, strict=True)) for s in found]
+            yield pa.record_batch([*[batch.column(f.name) for f in rest], pa.array(held, kind)], names=[*[f.name for f in rest], "s"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest)
+    return shifts.mapInArrow(run, f"{schema}, s struct<begin: int, n: int, equal: int>")
 
 
 def contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
@@ -198,14 +208,16 @@ def contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     lead = F.greatest(-F.col("shift"), F.lit(0))  # words of the item that lie before the text
     begin = F.greatest(F.col("shift"), F.lit(0))
     size = F.least(F.size("item") - lead, F.size("words") - begin)
-    measured = pairs.select(
+    enough = F.least(F.lit(float(MIN_WORDS)), F.col("item_words") * MIN_SHARE)
+    aligned = pairs.select(
         "doc_id",
         "item_id",
         F.size("item").alias("item_words"),
         begin.alias("doc_at"),
         lead.alias("item_at"),
-        stretch(F.zip_with(F.slice("words", begin + 1, size), F.slice("item", lead + 1, size), lambda a, b: a == b)).alias("s"),
-    ).select(
+        F.zip_with(F.slice("words", begin + 1, size), F.slice("item", lead + 1, size), lambda a, b: a == b).alias("same"),
+    ).filter(F.size(F.filter("same", lambda s: s)) >= enough)
+    measured = stretches(aligned).select(
         "doc_id",
         "item_id",
         (F.col("doc_at") + F.col("s.begin")).alias("doc_word"),
@@ -214,7 +226,6 @@ def contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
         F.col("s.equal").alias("n_equal"),
         "item_words",
     )
-    enough = F.least(F.lit(float(MIN_WORDS)), F.col("item_words") * MIN_SHARE)
-    found = measured.filter((F.col("n_equal") >= enough) & (F.col("n_equal") >= F.col("n_words") * MIN_EQUAL))
+    found = measured.filter(F.col("n_equal") >= enough)
     best = F.max_by(F.struct("doc_word", "item_word", "n_words", "n_equal", "item_words"), F.struct("n_equal", -F.col("doc_word"), -F.col("item_word")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")

@@ -3,9 +3,10 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
-from factloom.llm.decontaminate import MASKS, contaminated
+from factloom.llm.decontaminate import MASKS, contaminated, stretch
 from tests.llm.conftest import ODD_TEXTS
 
 
@@ -49,6 +50,44 @@ def test_passages_with_replaced_words(documents, bench):
     assert all(9 <= r["n_equal"] <= r["n_words"] <= r["item_words"] + 1 and r["n_equal"] >= 0.8 * r["n_words"] for r in rows)
 
 
+def plain_stretch(same):
+    windows = [(a, b) for a in range(len(same)) for b in range(a + 1, len(same) + 1)]
+    held = [(a, b - a, sum(same[a:b])) for a, b in windows if sum(same[a:b]) >= 0.8 * (b - a)]
+    return max(held, key=lambda w: (w[2], -w[1], -w[0]), default=None)
+
+
+def replaced(chance, n, share):
+    gone = set(chance.sample(range(n), round(n * share)))
+    return [k not in gone for k in range(n)]
+
+
+def test_stretch_is_the_best_of_all_windows():
+    chance = random.Random(21)
+    assert stretch(np.zeros(5, dtype=bool)) is None
+    for _ in range(300):
+        same = replaced(chance, chance.randint(1, 60), chance.choice([0.1, 0.15, 0.2, 0.25, 0.5]))
+        assert stretch(np.array(same)) == plain_stretch(same)
+
+
+def test_no_text_with_a_hit_is_lost_when_a_fifth_of_the_words_is_replaced(documents, bench):
+    chance = random.Random(22)
+    docs, items, held = [], [], set()
+    for k in range(240):
+        item = words(chance, 40)
+        same = replaced(chance, 40, chance.choice([0.15, 0.2, 0.25]))
+        seeded = any(
+            all(same[at + j] for j, used in enumerate(mask) if used == "1") for mask in MASKS for at in range(40 - len(mask) + 1)
+        )
+        best = plain_stretch(same)
+        if seeded and best and best[2] >= 10:
+            held.add((k, k, best[1], best[2]))
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join(w if s else "zzz" for w, s in zip(item, same, strict=True))))
+    found = contaminated(documents(docs), bench(items)).collect()
+    assert len(held) > 200
+    assert {(r["doc_id"], r["item_id"], r["n_words"], r["n_equal"]) for r in found} == held
+
+
 def test_where_the_stretch_lies(documents, bench):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
     rows = contaminated(documents([(1, f"before this {passage} and after")]), bench([(5, passage)])).collect()
