@@ -21,16 +21,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least doc_id."""
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    """One row of each group of near copies: the least doc_id, NULLs last, then the first row."""
+    return simhash.one_per_component(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark; decided by text, so rows without an id are no exception."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    held = decontaminate.contaminated(docs, bench).select(F.col("doc_id").alias("held_id")).distinct()
-    return docs.join(held, docs["doc_id"] == held["held_id"], "left_anti")
+    texts = docs.select(F.xxhash64(docs["text"]).alias("doc_id"), docs["text"])
+    held = decontaminate.contaminated(texts, bench).select(F.col("doc_id").alias("held")).distinct()
+    return docs.join(held, F.xxhash64(docs["text"]) == held["held"], "left_anti")
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.components import components
 from factloom.llm.text import slices, texts_of, words_of
-from factloom.plans.frontier import settled
+from factloom.plans.frontier import settled, written
 
 SEED = 42
 WORDS = 3
@@ -55,8 +55,11 @@ def fingerprint_of(words: list[bytes]) -> int:
     return int(np.packbits(counts * 2 > len(begins), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) per row: the fingerprint of the whole text as a signed long; NULL text as empty."""
+def fingerprints(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, fp) per row: the fingerprint of the whole text as a signed long; NULL text as empty.
+
+    ``more`` names columns of longs that are carried along, between the two.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,11 +71,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     for a, b in zip(words.starts[:-1].tolist(), words.starts[1:].tolist(), strict=True)
                 ]
                 fps = np.array(found, dtype=np.uint64).view(np.int64)
-                yield pa.record_batch([part.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+                kept = ["doc_id", *more]
+                yield pa.record_batch([*[part.column(c) for c in kept], pa.array(fps)], names=[*kept, "fp"])
 
-    return texts_of(docs).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    return texts_of(docs, *more).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *more, "fp")))
 
 
 def signed(value: int) -> int:
@@ -176,6 +178,12 @@ def _shared(cells: DataFrame) -> DataFrame:
     return cells.join(held, ["choice", "cell"])
 
 
+def _named(distinct: DataFrame) -> DataFrame:
+    """``distinct`` (fp, copies and others) with ``part``, the least fingerprint of its component."""
+    parts = settled(components(links(distinct.select("fp", "copies")))).withColumnRenamed("node", "fp")
+    return distinct.join(parts, "fp", "left").withColumn("part", F.coalesce("component", "fp")).drop("component")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``.
 
@@ -186,10 +194,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = settled(fingerprints(docs))
     distinct = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")))
-    parts = settled(components(links(distinct))).withColumnRenamed("node", "fp")
-    named = distinct.join(parts, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("part"))
+    named = _named(distinct)
     least = named.groupBy("part").agg(F.min("first_id").alias("component_id"))
     by_print = named.join(least, "part").select("fp", "component_id")
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """One row of each component, with all its columns: the least doc_id, NULLs last, then the first row.
+
+    Rows are told apart by a number written beside them, so rows that repeat an id or have
+    none are decided about one by one.
+    """
+    numbered = written(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row")))
+    prints = settled(fingerprints(numbered.select("doc.doc_id", "doc.text", "row"), "row"))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")
+    distinct = settled(prints.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("copies")))
+    kept = _named(distinct).groupBy("part").agg(F.min("first").alias("first")).select("first.row")
+    return numbered.join(kept, "row", "left_semi").select("doc.*")

@@ -37,10 +37,10 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def texts_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) of the rows, to be sent to Python in bounded batches."""
+def texts_of(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, text) and columns named by ``more`` of the rows, to be sent to Python in bounded batches."""
     bounded_batches(docs.sparkSession)
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), *[docs[c] for c in more])
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

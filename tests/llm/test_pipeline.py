@@ -44,6 +44,27 @@ def test_near_copies_stage_keeps_one_of_each_group(spark, given):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k for k, v in linked.items() if k == v)
 
 
+def test_near_copies_stage_with_missing_and_repeated_ids(spark, given):
+    def text(k):
+        return " ".join(random.Random(k).choices([f"{a}{b}" for a in "bdfgk" for b in "aeiou"], k=60))
+
+    ids = [(None, 1), (None, 1), (None, 2), (5, 3), (5, 3), (4, 4), (5, 4), (None, 5), (9, 5), (7, 6), (7, 7)]
+    docs = spark.createDataFrame([(k, text(t), "en", f"row {n}", 0) for n, (k, t) in enumerate(ids)], given.schema).coalesce(1)
+    kept = STAGES["near_copies"](spark, docs, SF)
+    assert kept.columns == given.columns
+    got = {(r["doc_id"], r["text"], r["source"]) for r in kept.collect()}
+    first = [(0, None, 1), (2, None, 2), (3, 5, 3), (5, 4, 4), (8, 9, 5), (9, 7, 6), (10, 7, 7)]
+    assert got == {(k, text(t), f"row {n}") for n, k, t in first}
+    assert kept.count() == len(first)
+
+
+def test_benchmark_stage_decides_about_rows_without_id(spark, given):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    docs = spark.createDataFrame([(None, item, "en", "s", 0), (None, "clean words", "en", "s", 0), (3, item, "en", "s", 0), (3, "others", "en", "s", 0), (4, None, "en", "s", 0)], given.schema)
+    kept = STAGES["benchmark"](spark, docs, SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, "clean words"), (3, "others"), (4, "")]
+
+
 def test_benchmark_stage_drops_what_holds_a_passage(spark, given):
     def plain(text):
         return " ".join(re.findall(r"\w+", text.lower()))
