@@ -1,4 +1,4 @@
-"""Secrets in texts: token-like candidates, judged by a random forest on their shape and surroundings.
+"""Secrets in texts: token-like candidates and values of credential names, judged by a random forest on their shape and surroundings.
 
 Everything runs as DataFrame expressions; the forest is Spark ML's.
 """
@@ -19,6 +19,16 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_.@-])(?=[A-Za-z+/_.@-]*+[0-9])[A-Za-z0-9+/_.@-]{1
 LEFT, RIGHT = 48, 24
 #: Names that credentials are assigned to, and path words of material that is not live.
 KEY_NAME = r"(?i)(token|secret|passw(or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
+#: What may stand between such a name and the sign or quote that follows: the rest of the name.
+KEY_END = r"(?:key|value)?s?(?:[_.-][\w.-]*|[0-9]\w*)?[\"'`\]]{0,2}"
+#: A quoted or assigned value next to such a name, as group 3, with or without a digit and of
+#: any length. A quoted value ends at the next mark of its kind in the line.
+NAMED = (
+    KEY_NAME
+    + KEY_END
+    + r"(?:\s{0,8}(?::=|=>|={1,3}|:)\s{0,8}[\"'`]?|\s{1,8}[\"'`])(?![=:>])"
+    + r"((?<=\")[^\"\r\n]+(?=\")|(?<=')[^'\r\n]+(?=')|(?<=`)[^`\r\n]+(?=`)|(?<![\"'`])[^\s\"'`]*[^\s\"'`,;.)\]}])"
+)
 SAMPLE_PATH = r"(?i)\b(tests?|examples?|samples?|mocks?|fixtures?|docs?|demo)\b"
 WHOLE_WORD = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
 MASK = "[SECRET]"
@@ -38,41 +48,73 @@ FEATURES = [
 ]
 
 
-def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, start, candidate, before, after, path), one row per candidate of a text.
+def _starts(pieces: Column, found: Column) -> Column:
+    """Where each of the matches ``found`` begins in the text that they split into ``pieces``."""
+    return F.aggregate(
+        F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, c: F.struct(F.length(p).alias("p"), F.length(c).alias("c"))),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+        lambda s, x: F.struct((s["at"] + x["p"] + x["c"]).alias("at"), F.concat(s["starts"], F.array(s["at"] + x["p"])).alias("starts")),
+    )["starts"]
 
-    start counts characters from 0. The text is split at its candidates, so contexts and
-    places come from the pieces between them. ``path`` names a column that says where a text
-    lies; without it the path is empty.
+
+def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """(doc_id, start, candidate, before, after, left, right, path), one row per candidate of a text.
+
+    Candidates are runs of 12 or more token characters with a digit (CANDIDATE), and values
+    next to a credential's name (NAMED); of two that begin at one place the longer counts.
+    start counts characters from 0. left and right are the LEFT and RIGHT characters of the
+    text around a candidate; before and after are the same for values of NAMED, and end at the
+    neighbouring run for runs. ``path`` names a column that says where a text lies; without it
+    the path is empty.
     """
-    pieces, found = F.col("pieces"), F.col("found")
+    pieces, found, text = F.col("pieces"), F.col("found"), F.col("text")
     where = docs[path].cast("string") if path else F.lit("")
     rows = (
         docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), F.coalesce(where, F.lit("")).alias("path"))
-        .filter(F.col("text").rlike(CANDIDATE))
+        .filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED))
         .select(
             "doc_id",
             "path",
+            "text",
             F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
             F.split("text", CANDIDATE, -1).alias("pieces"),
+            F.regexp_extract_all("text", F.lit(NAMED), F.lit(0)).alias("matches"),
+            F.regexp_extract_all("text", F.lit(NAMED), F.lit(3)).alias("values"),
+            F.split("text", NAMED, -1).alias("between"),
         )
+        .withColumn("starts", _starts(pieces, found))
+        .withColumn("match_starts", _starts(F.col("between"), F.col("matches")))
     )
-    ahead = F.aggregate(
-        F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, c: F.struct(F.length(p).alias("p"), F.length(c).alias("c"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda s, x: F.struct((s["at"] + x["p"] + x["c"]).alias("at"), F.concat(s["starts"], F.array(s["at"] + x["p"])).alias("starts")),
-    )["starts"]
-    rows = rows.withColumn("starts", ahead)
-    every = F.transform(
-        found,
-        lambda c, k: F.struct(
-            F.col("starts")[k].alias("start"),
-            c.alias("candidate"),
-            F.right(pieces[k], F.lit(LEFT)).alias("before"),
-            F.left(pieces[k + 1], F.lit(RIGHT)).alias("after"),
-        ),
+
+    def placed(start: Column, candidate: Column, before: Column | None = None, after: Column | None = None) -> Column:
+        left = F.substring(text, F.greatest(start - LEFT, F.lit(0)) + 1, F.least(start, F.lit(LEFT)))
+        right = F.substring(text, start + F.length(candidate) + 1, F.lit(RIGHT))
+        return F.struct(
+            start.alias("start"),
+            candidate.alias("candidate"),
+            (left if before is None else before).alias("before"),
+            (right if after is None else after).alias("after"),
+            left.alias("left"),
+            right.alias("right"),
+        )
+
+    runs = F.transform(
+        found, lambda c, k: placed(F.col("starts")[k], c, F.right(pieces[k], F.lit(LEFT)), F.left(pieces[k + 1], F.lit(RIGHT)))
+    )
+    named = F.transform(
+        F.col("values"), lambda v, k: placed(F.col("match_starts")[k] + F.length(F.col("matches")[k]) - F.length(v), v)
+    )
+    rows = rows.select("doc_id", "path", runs.alias("runs"), named.alias("named"))
+
+    def longer(other: Column, one: Column, equal: bool) -> Column:
+        size, own = F.length(other["candidate"]), F.length(one["candidate"])
+        return (other["start"] == one["start"]) & ((size >= own) if equal else (size > own))
+
+    kept = F.concat(
+        F.filter("runs", lambda r: ~F.exists("named", lambda n: longer(n, r, False))),
+        F.filter("named", lambda n: ~F.exists("runs", lambda r: longer(r, n, True))),
     )
-    return rows.select("doc_id", "path", F.inline(every))
+    return rows.select("doc_id", "path", F.inline(kept))
 
 
 def dictionary(docs: DataFrame, n_docs: int = DICTIONARY_DOCS, n_words: int = DICTIONARY_WORDS) -> list[str]:
@@ -111,12 +153,12 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         "lower_upper": F.regexp_count(classes, F.lit("a(?=B)")) / n,
         "same_class": F.regexp_count(classes, F.lit(r"(.)(?=\1)")) / n,
         "covered": F.aggregate(known, F.lit(0), lambda s, w: s + F.length(w)) / n,
-        "key_before": F.col("before").rlike(KEY_NAME + r"\W{1,6}$"),
-        "key_near": F.col("before").rlike(KEY_NAME) | F.col("after").rlike(KEY_NAME),
-        "assigned": F.col("before").rlike(r"[=:]\s*[\"'`]?$"),
-        "quoted": F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]"),
-        "words_near": F.regexp_count(F.concat_ws(" ", "before", "after"), F.lit(r"\p{L}{2,}")),
-        "in_url": F.col("before").rlike(r"(://\S*|www\.\S*)$") | c.rlike(r"^(www\.|//)"),
+        "key_before": F.col("left").rlike(KEY_NAME + KEY_END + r"\W{1,6}$"),
+        "key_near": F.col("left").rlike(KEY_NAME) | F.col("right").rlike(KEY_NAME),
+        "assigned": F.col("left").rlike(r"[=:]\s*[\"'`]?$"),
+        "quoted": F.col("left").rlike(r"[\"'`]$") & F.col("right").rlike(r"^[\"'`]"),
+        "words_near": F.regexp_count(F.concat_ws(" ", "left", "right"), F.lit(r"\p{L}{2,}")),
+        "in_url": F.col("left").rlike(r"(://\S*|www\.\S*)$") | c.rlike(r"^(www\.|//)"),
         "dotted": c.rlike(r"\."),
         "has_at": c.rlike("@"),
         "has_slash": c.rlike("/"),
@@ -129,12 +171,14 @@ def rule_label() -> Column:
     """A label where surroundings and shape leave no doubt, else NULL: 1 a credential, 0 a false positive.
 
     1: assigned in quotes to a credential's name, 16 or more characters, neither address nor
-    prose, outside sample material. 0: numbers, addresses of hosts and mail, dictionary words.
+    prose, outside sample material. 0: numbers, addresses of hosts and mail, dictionary words;
+    words assigned in quotes to a credential's name may be a passphrase and get no label.
     """
     c = F.col("candidate")
     plain = ~c.rlike(r"[@.]") & (F.col("covered") < 0.3) & (F.col("sample_path") == 0)
-    sure = (F.col("key_before") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 1) & (F.col("length") >= 16) & plain
-    false = c.rlike(r"^[0-9.+/_-]+$") | c.rlike(r"@.+\.") | (F.col("in_url") == 1) | (F.col("covered") >= 0.6)
+    given = (F.col("key_before") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 1)
+    sure = given & (F.col("length") >= 16) & plain
+    false = c.rlike(r"^[0-9.+/_-]+$") | c.rlike(r"@.+\.") | (F.col("in_url") == 1) | ((F.col("covered") >= 0.6) & ~given)
     return F.when(sure, 1).when(false, 0)
 
 

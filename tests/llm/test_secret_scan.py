@@ -41,6 +41,29 @@ def test_candidates(documents):
     assert got == want
 
 
+def test_names_with_digits_and_values_without(documents):
+    secret = hexes(random.Random(3))
+    texts = [
+        f'AWS_S3_SECRET_KEY = "{secret}"',
+        f'api_key_v2_prod="{secret}"',
+        'so password = "correct-horse-battery-staple" it is',
+        '{"passwd": "hunter two"}',
+        "export DB_PASSWORD=open-sesame; run",
+        "no name = 'plain words here'",
+        f"token='{secret} and more' é",
+    ]
+    found = features(candidates(documents(list(enumerate(texts)))), []).collect()
+    got = {(r["doc_id"], r["candidate"]): r for r in found}
+    assert len(got) == len(found)
+    values = {0: secret, 1: secret, 2: "correct-horse-battery-staple", 3: "hunter two", 4: "open-sesame", 6: f"{secret} and more"}
+    assert set(got) == {*values.items(), (0, "AWS_S3_SECRET_KEY"), (1, "api_key_v2_prod=")}
+    for k, value in values.items():
+        row, at = got[k, value], texts[k].index(value)
+        assert row["start"] == at
+        assert row["left"] == texts[k][max(0, at - 48) : at] and row["right"] == texts[k][at + len(value) :][:24]
+        assert (row["key_before"], row["key_near"], row["assigned"], row["quoted"]) == (1, 1, 1, k != 4)
+
+
 def test_forest_on_texts_it_did_not_see(spark, documents):
     chance = random.Random(14)
     texts = [(k, *made(chance, k)) for k in range(200)]
