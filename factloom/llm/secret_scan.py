@@ -33,10 +33,11 @@ SAMPLE_PATH = r"(?i)\b(tests?|examples?|samples?|mocks?|fixtures?|docs?|demo)\b"
 WHOLE_WORD = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
 MASK = "[SECRET]"
 
-#: Bounds of what is fitted: labelled findings, documents and words behind the dictionary.
+#: Bound of the labelled findings that the forest is fitted on.
 LABELLED = 20_000
-DICTIONARY_DOCS = 2_000
-DICTIONARY_WORDS = 1_000
+#: The dictionary holds the words found in this share of all documents, so their number is
+#: bounded by the distinct words of a document over the share, whatever the number of documents.
+DICTIONARY_SHARE = 0.005
 TREES, DEPTH = 24, 6
 THRESHOLD = 0.5
 
@@ -117,20 +118,23 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     return rows.select("doc_id", "path", F.inline(kept))
 
 
-def dictionary(docs: DataFrame, n_docs: int = DICTIONARY_DOCS, n_words: int = DICTIONARY_WORDS) -> list[str]:
-    """The words of three letters or more found in most of ``n_docs`` documents, taken by a hash of their ids."""
+def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
+    """(word): the words of three letters or more found in at least ``share`` of all documents."""
     total = docs.count()
-    if not total:
-        return []
-    share = min(1.0, n_docs / total)
-    some = docs.filter(F.pmod(F.xxhash64(docs["doc_id"], F.lit("dictionary")), F.lit(1 << 40)) < int(share * (1 << 40)))
-    words = some.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs["text"]), F.lit(WHOLE_WORD), F.lit(0)))).alias("word"))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(n_words)
-    return [r["word"] for r in top.collect()]
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs["text"]), F.lit(WHOLE_WORD), F.lit(0)))).alias("word"))
+    return words.groupBy("word").count().filter(F.col("count") >= share * total).select("word")
 
 
-def features(found: DataFrame, words: list[str]) -> DataFrame:
-    """``found`` with the columns of FEATURES, all doubles."""
+def coverage(found: DataFrame, words: DataFrame) -> DataFrame:
+    """(candidate, letters): how many letters of a candidate belong to ``words``, for those with any."""
+    parts = found.select("candidate").distinct().select("candidate", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+    return parts.join(F.broadcast(words), "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("letters"))
+
+
+def features(found: DataFrame, words: DataFrame | list[str]) -> DataFrame:
+    """``found`` with the columns of FEATURES, all doubles; ``words`` is a dictionary, as a table (word) or a list."""
+    if isinstance(words, list):
+        words = found.sparkSession.createDataFrame([(w,) for w in words], "word string")
     c, low = F.col("candidate"), F.lower("candidate")
     n = F.length(c)
 
@@ -138,7 +142,7 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         return F.regexp_count(c, F.lit(pattern)) / n
 
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "B"), "[0-9]", "9"), "[^aB9]", "-")
-    known = F.filter(F.regexp_extract_all(low, F.lit("[a-z]{3,}"), F.lit(0)), lambda w: w.isin(words) if words else F.lit(False))
+    joined = found.join(settled(coverage(found, words)), "candidate", "left")
     columns = {
         "length": n,
         "digits": share("[0-9]"),
@@ -152,7 +156,7 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         "digit_letter": F.regexp_count(classes, F.lit("9(?=[aB])")) / n,
         "lower_upper": F.regexp_count(classes, F.lit("a(?=B)")) / n,
         "same_class": F.regexp_count(classes, F.lit(r"(.)(?=\1)")) / n,
-        "covered": F.aggregate(known, F.lit(0), lambda s, w: s + F.length(w)) / n,
+        "covered": F.coalesce("letters", F.lit(0)) / n,
         "key_before": F.col("left").rlike(KEY_NAME + KEY_END + r"\W{1,6}$"),
         "key_near": F.col("left").rlike(KEY_NAME) | F.col("right").rlike(KEY_NAME),
         "assigned": F.col("left").rlike(r"[=:]\s*[\"'`]?$"),
@@ -164,7 +168,7 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         "has_slash": c.rlike("/"),
         "sample_path": F.col("path").rlike(SAMPLE_PATH),
     }
-    return found.withColumns({k: v.cast("double") for k, v in columns.items()})
+    return joined.select(*[found[k] for k in found.columns if k != "candidate"], c, *[v.cast("double").alias(k) for k, v in columns.items()])
 
 
 def rule_label() -> Column:

@@ -3,7 +3,7 @@
 import random
 import re
 
-from factloom.llm.secret_scan import MASK, candidates, features, scan, without_secrets
+from factloom.llm.secret_scan import MASK, candidates, dictionary, features, scan, without_secrets
 from tests.llm.conftest import ODD_TEXTS
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_.@-]{12,}(?![A-Za-z0-9+/_.@-])={0,2}")
@@ -64,6 +64,20 @@ def test_names_with_digits_and_values_without(documents):
         assert (row["key_before"], row["key_near"], row["assigned"], row["quoted"]) == (1, 1, 1, k != 4)
 
 
+def test_dictionary_counts_all_documents(documents):
+    """Of 6,000 documents a small language has 60: each of its words is in 0.5 % of all."""
+    small, large = [f"klein{c}" for c in "abcdefgh"], [f"{a}{b}{c}" for a in "klmnp" for b in "aeiou" for c in "rstvz"] * 10
+    chance = random.Random(16)
+    docs = [(k, " ".join(small[j] for j in range(8) if (k // 100 + j) % 2) if k % 100 == 0 else " ".join(chance.sample(large, 40))) for k in range(6_000)]
+    docs += [(6_000, "onlyonce"), (6_001, None)]
+    # 6,002 * 0.005 = 30.01 documents; small words are in 30, so a share below that takes them.
+    words = {r["word"] for r in dictionary(documents(docs), 0.004).collect()}
+    assert words == {*small, *large}
+    found = candidates(documents([(1, "kleina-kleinb-onlyonce-12345 x")]))
+    row = features(found, dictionary(documents(docs), 0.004)).first()
+    assert row["covered"] == 12 / len(row["candidate"])
+
+
 def test_forest_on_texts_it_did_not_see(spark, documents):
     chance = random.Random(14)
     texts = [(k, *made(chance, k)) for k in range(200)]
