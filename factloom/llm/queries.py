@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import decontaminate, euclid_lsh, hmm, language, packing, preferences, secret_scan, simhash, token_counts, toxicity
+from factloom.llm import (
+    decontaminate,
+    euclid_lsh,
+    exact_copies,
+    hmm,
+    language,
+    packing,
+    periodic,
+    preferences,
+    resampling,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from factloom.llm.text import in_fold
 from factloom.session import configure
 
@@ -92,6 +106,35 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies.exact_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.echoed(table(spark, sf_dir, "documents")))
+    order = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    best = F.get(order, F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        (-best["l"]).alias("length"),
+        best["period"].alias("period"),
+        F.floor(F.lit(-1000) * best["l"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 ORACLES["op9_preferences"] = """
 WITH turns AS (
     SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -136,3 +179,12 @@ SELECT conv_id AS pair_id, CAST(any_value(n) AS INTEGER) AS n_prompt_turns,
        count(*) FILTER (k > n) = 0 AS tied
 FROM spans GROUP BY conv_id
 """
+
+ORACLES["op11_exact_copies"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY text)
+"""
