@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.plans.frontier import settled
+from factloom.plans.frontier import settled, written
 
 #: A run of 12 or more token characters with a digit in it. Looking behind keeps a long run
 #: from being tried at each of its characters.
@@ -58,7 +58,7 @@ def _starts(pieces: Column, found: Column) -> Column:
     )["starts"]
 
 
-def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
+def candidates(docs: DataFrame, path: str | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(doc_id, start, candidate, before, after, left, right, path), one row per candidate of a text.
 
     Candidates are runs of 12 or more token characters with a digit (CANDIDATE), and values
@@ -66,15 +66,16 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     start counts characters from 0. left and right are the LEFT and RIGHT characters of the
     text around a candidate; before and after are the same for values of NAMED, and end at the
     neighbouring run for runs. ``path`` names a column that says where a text lies; without it
-    the path is empty.
+    the path is empty. ``keys`` are the columns that name a text; they are given back with
+    each of its candidates.
     """
     pieces, found, text = F.col("pieces"), F.col("found"), F.col("text")
     where = docs[path].cast("string") if path else F.lit("")
     rows = (
-        docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), F.coalesce(where, F.lit("")).alias("path"))
+        docs.select(*[docs[k] for k in keys], docs["text"].alias("text"), F.coalesce(where, F.lit("")).alias("path"))
         .filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED))
         .select(
-            "doc_id",
+            *keys,
             "path",
             "text",
             F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
@@ -105,7 +106,7 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     named = F.transform(
         F.col("values"), lambda v, k: placed(F.col("match_starts")[k] + F.length(F.col("matches")[k]) - F.length(v), v)
     )
-    rows = rows.select("doc_id", "path", runs.alias("runs"), named.alias("named"))
+    rows = rows.select(*keys, "path", runs.alias("runs"), named.alias("named"))
 
     def longer(other: Column, one: Column, equal: bool) -> Column:
         size, own = F.length(other["candidate"]), F.length(one["candidate"])
@@ -115,7 +116,7 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
         F.filter("runs", lambda r: ~F.exists("named", lambda n: longer(n, r, False))),
         F.filter("named", lambda n: ~F.exists("runs", lambda r: longer(r, n, True))),
     )
-    return rows.select("doc_id", "path", F.inline(kept))
+    return rows.select(*keys, "path", F.inline(kept))
 
 
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
@@ -204,8 +205,8 @@ def train(labelled: DataFrame, bound: int = LABELLED) -> RandomForestClassificat
     return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(used))
 
 
-def scan(docs: DataFrame, path: str | None = None, labelled: DataFrame | None = None) -> DataFrame:
-    """(doc_id, start, length, candidate, score, is_secret), one row per candidate.
+def scan(docs: DataFrame, path: str | None = None, labelled: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(doc_id, start, length, candidate, score, is_secret), one row per candidate; ``keys`` as in ``candidates``.
 
     ``labelled`` (doc_id, start, label) names findings of these texts that people judged; without it
     rule_label gives the labels that leave no doubt. The forest scores every candidate, those
@@ -214,7 +215,7 @@ def scan(docs: DataFrame, path: str | None = None, labelled: DataFrame | None =
     candidates give no row; a repeated row gives its rows again; a NULL doc_id stays NULL. Other
     columns are not read.
     """
-    found = settled(candidates(docs, path))
+    found = settled(candidates(docs, path, keys))
     known = features(found, dictionary(docs))
     if labelled is None:
         taught = known.withColumn("label", rule_label())
@@ -227,24 +228,44 @@ def scan(docs: DataFrame, path: str | None = None, labelled: DataFrame | None =
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(known)
         scored = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
     return scored.select(
-        "doc_id", "start", F.col("length").cast("int").alias("length"), "candidate", "score", (F.col("score") >= THRESHOLD).alias("is_secret")
+        *keys, "start", F.col("length").cast("int").alias("length"), "candidate", "score", (F.col("score") >= THRESHOLD).alias("is_secret")
     )
 
 
-def without_secrets(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with every confirmed secret in its text replaced by a mask; all rows and columns stay.
+def cut_out(text: Column, spans: Column, mask: str = MASK) -> Column:
+    """``text`` with the characters at ``spans`` (start, length), sorted by start, replaced by a mask.
 
-    Longer secrets are replaced first, so one that is part of another leaves no remainder.
+    Spans that overlap become one mask; all other characters stay as they are.
     """
-    secrets = (
-        found.filter("is_secret")
-        .groupBy(F.col("doc_id").alias("found_id"))
-        .agg(F.array_sort(F.collect_set(F.struct((-F.length("candidate")).alias("n"), "candidate"))).alias("found_secrets"))
-    )
-    joined = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")).join(
-        secrets, F.col("doc.doc_id").eqNullSafe(F.col("found_id")), "left"
-    )
-    masked = F.when(F.col("found_secrets").isNull(), F.col("doc.text")).otherwise(
-        F.aggregate("found_secrets", F.col("doc.text"), lambda t, s: F.replace(t, s["candidate"], F.lit(MASK)))
+    begun = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def cut(state: Column, span: Column) -> Column:
+        new = span["start"] >= state["at"]
+        between = F.concat(F.substring(text, state["at"] + 1, span["start"] - state["at"]), F.lit(mask))
+        return F.struct(
+            F.concat(state["done"], F.when(new, between).otherwise("")).alias("done"),
+            F.greatest(state["at"], span["start"] + span["length"]).alias("at"),
+        )
+
+    return F.aggregate(spans, begun, cut, lambda s: F.concat(s["done"], F.substring(text, s["at"] + 1, F.length(text))))
+
+
+def without_secrets(docs: DataFrame, path: str | None = None, labelled: DataFrame | None = None) -> DataFrame:
+    """``docs`` with every confirmed secret replaced by a mask at the place where it was found.
+
+    All rows, columns and other characters stay. Each row is searched and masked by itself: a
+    number written beside the rows tells them apart, so rows that repeat a doc_id or have none
+    share nothing. ``path`` and ``labelled`` are those of ``scan``.
+    """
+    numbered = written(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row")))
+    where = F.col("doc")[path] if path else F.lit("")
+    texts = numbered.select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"), where.alias("path"), "row")
+    spans = (
+        scan(texts, "path", labelled, ("doc_id", "row"))
+        .filter("is_secret")
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("spans"))  # of one text
     )
-    return joined.select(*[masked.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
+    text = F.when(F.col("spans").isNull(), F.col("doc.text")).otherwise(cut_out(F.col("doc.text"), F.col("spans")))
+    joined = numbered.join(spans, "row", "left")
+    return joined.select(*[text.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])

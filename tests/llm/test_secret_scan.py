@@ -3,7 +3,7 @@
 import random
 import re
 
-from factloom.llm.secret_scan import MASK, candidates, dictionary, features, scan, without_secrets
+from factloom.llm.secret_scan import MASK, candidates, cut_out, dictionary, features, scan, without_secrets
 from tests.llm.conftest import ODD_TEXTS
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_.@-]{12,}(?![A-Za-z0-9+/_.@-])={0,2}")
@@ -95,8 +95,7 @@ def test_rules_teach_where_no_labels_are_given_and_texts_are_masked(documents):
     chance = random.Random(15)
     texts = [(k, *made(chance, k)) for k in range(90)]
     docs = documents([(k, t) for k, t, _ in texts] + [(None, "no id"), (500, None)], extra=True)
-    found = scan(docs)
-    masked = without_secrets(docs, found)
+    masked = without_secrets(docs)
     assert masked.columns == docs.columns
     got = {r["doc_id"]: r["text"] for r in masked.collect()}
     assert len(got) == 92 and got[None] == "no id" and got[500] is None
@@ -104,6 +103,40 @@ def test_rules_teach_where_no_labels_are_given_and_texts_are_masked(documents):
         assert got[k] == (text.replace(secret, MASK) if secret else text)
 
 
+def test_only_found_places_change(spark, documents):
+    """Short values, values that come again elsewhere, rows that repeat an id or have none."""
+    chance = random.Random(17)
+    shorts = ['api_key = "x" and next x-ray text', 'pwd = "cold" on a cold day', 'token="é1" é1 \U0001f600é1', 'secret: "a", password: "b" ab']
+    long = [made(chance, 3 * k)[0] for k in range(30)]
+    same = hexes(chance)
+    repeated = [(7, f'token = "{same}" and {same} again'), (7, f"{same} in another row"), (None, f'api_key = "{same}"'), (None, f"only {same} here")]
+    docs = [*enumerate(shorts, 100), *enumerate(long, 200), *repeated]
+    table = documents(docs, extra=True)
+    numbered = [(k, i, t) for k, (i, t) in enumerate(docs)]
+    rows = spark.createDataFrame(numbered, "row long, doc_id long, text string")
+    found = {(r["row"], r["start"], r["length"]) for r in scan(rows, keys=("doc_id", "row")).collect() if r["is_secret"]}
+    want = []
+    for k, _, text in numbered:
+        at, out = 0, ""
+        for _, start, length in sorted(f for f in found if f[0] == k):
+            if start >= at:
+                out += text[at:start] + MASK
+            at = max(at, start + length)
+        want.append((numbered[k][1], out + text[at:]))
+    got = [(r["doc_id"], r["text"]) for r in without_secrets(table).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(MASK in t for _, t in got) >= 30
+
+
+def test_masks_by_place(spark):
+    rows = spark.createDataFrame(
+        [("abcdefgh", [(1, 2), (4, 1)]), ("é\U0001f600xyz", [(1, 1), (4, 1)]), ("overlap here", [(0, 5), (3, 4), (8, 4)]), ("none", []), ("", [])],
+        "text string, spans array<struct<start: int, length: int>>",
+    )
+    got = [r[0] for r in rows.select(cut_out(rows["text"], rows["spans"], "#")).collect()]
+    assert got == ["a#d#fgh", "é#xy#", "# #", "none", ""]
+
+
 def test_odd_rows(documents):
     docs = documents([*ODD_TEXTS, (20, "a1" * 40_000), (21, 'token = "0123456789abcdef0123"')], extra=True)
     rows = scan(docs).collect()
