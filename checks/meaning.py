@@ -10,7 +10,6 @@ from checks.samples import c, text
 from factloom.functions.vectors import cosine
 from factloom.operators import embeddings, semantic
 from factloom.operators.temporal import open_ended
-from factloom.sources.surface import read_current
 from factloom.streaming import changes, stateful
 
 ENTRY = "canonical_term, definition, calculation, array_to_string(synonyms, '|') AS synonyms, COALESCE(array_to_string(excludes, '|'), '') AS excludes, business_context"
@@ -272,25 +271,43 @@ def _(s):
 
 @case("st4_breaker_stream", "runs", BREAKER[0], recursive=BREAKER[1])
 def _(s):
+    """Results in three batches by time; the last one comes with a new checkpoint."""
     root = s.folder()
-    runs = s.stream("events").select(
-        c("user_id").alias("contract_id"),
-        c("event_id").alias("run_id"),
-        c("ts").alias("at"),
-        (c("event_type") != "error").alias("ok"),
-    )
-    stateful.breaker_stream(runs, root, f"{root}/progress").awaitTermination()
-    return s.spark.read.parquet(f"{root}/states").drop("batch", "last_failure_micros")
+    third = F.when(c("at") < F.lit("2024-01-11").cast("timestamp_ntz"), 0).when(c("at") < F.lit("2024-01-21").cast("timestamp_ntz"), 1).otherwise(2)
+    stateful.breaker_stream(s.in_files(s.runs, third, 2, f"{root}/in"), root, f"{root}/progress").awaitTermination()
+    stateful.breaker_stream(s.in_files(s.runs, third - 2, 1, f"{root}/late"), root, f"{root}/new").awaitTermination()
+    return s.spark.read.parquet(f"{root}/states").drop("run", "batch", "last_failure_micros")
+
+
+def _versions(s):
+    """Orders in three batches by the rest of their key, the last one with a new checkpoint."""
+    root = s.folder()
+    rows = s.t("orders").select("o_custkey", c("o_orderdate").alias("valid_from"), "o_orderkey", "o_totalprice")
+    third = (c("o_orderkey") % 3).cast("int")
+    stateful.scd2_stream(s.in_files(rows, third, 2, f"{root}/in"), f"{root}/out", f"{root}/progress").awaitTermination()
+    stateful.scd2_stream(s.in_files(rows, third - 2, 1, f"{root}/late"), f"{root}/out", f"{root}/new").awaitTermination()
+    return f"{root}/out"
+
+
+FIRST = "ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey % 3, o_orderkey)"
 
 
 @case(
     "st5_scd2_stream",
     "",
-    """SELECT o_custkey, valid_from, o_totalprice, LEAD(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to
-    FROM (SELECT o_custkey, o_orderdate AS valid_from, arg_min(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1, 2)""",
+    f"""SELECT *, LEAD(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to
+    FROM (SELECT o_custkey, o_orderdate AS valid_from, o_orderkey, o_totalprice FROM orders QUALIFY {FIRST} = 1)""",
 )
 def _(s):
-    root = s.folder()
-    rows = s.stream("orders").select("o_custkey", c("o_orderdate").alias("valid_from"), "o_orderkey", "o_totalprice")
-    stateful.scd2_stream(rows, root, f"{root}/progress", ["o_custkey"]).awaitTermination()
-    return read_current(s.spark, root).select("o_custkey", "valid_from", "o_totalprice", "valid_to")
+    return stateful.read_versions(s.spark, _versions(s), ["o_custkey"])
+
+
+@case(
+    "st5_refused_changes",
+    "",
+    f"""SELECT o_custkey, o_orderdate AS valid_from, o_orderkey, o_totalprice,
+    CASE WHEN o_orderkey % 3 > FIRST_VALUE(o_orderkey % 3) OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey % 3, o_orderkey)
+    THEN 'HELD_START' ELSE 'SAME_START' END AS reason FROM orders QUALIFY {FIRST} > 1""",
+)
+def _(s):
+    return stateful.read_refused(s.spark, _versions(s), ["o_custkey"])

@@ -54,6 +54,12 @@ class Samples:
             self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.dir)
         )
 
+    def in_files(self, rows: DataFrame, by: Column, files: int, path: str) -> DataFrame:
+        """``rows`` as a stream that brings a file a batch: those with ``by`` 0, then 1, up to ``files`` - 1."""
+        for number in range(files):
+            rows.filter(by == number).coalesce(1).write.mode("append").parquet(path)
+        return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
     def folder(self) -> str:
         """A new folder that every executor can reach."""
         return f"{shared_folder(self.spark)}/run-{uuid.uuid4().hex}"

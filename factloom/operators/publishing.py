@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from factloom.operators.breaker import OPEN, Breaker, BreakerConfig
 from factloom.operators.contracts import check_contract
 from factloom.sources.surface import (
-    bucket_versions,
+    current_version,
     publish_version,
     read_current,
     reveal_version,
@@ -51,7 +51,7 @@ def gated_write(
     version = last["version"] + 1 if last is not None else 1
     surface = f"{root}/surface"
     # A run that was lost after revealing its surface finds it in place and goes on with it.
-    revealed = bucket_versions(spark, surface).get(0, 0) >= version
+    revealed = (current_version(spark, surface) or 0) >= version
     staged = read_current(spark, surface) if revealed else stage_version(df, surface, version)
     passed = all(r["passed"] for r in check_contract(staged, spec).collect())
     read = breaker.at_time(_micros(now), config)

@@ -1,9 +1,8 @@
-"""Writing surfaces, and tables on Parquet that can be replaced bucket by bucket (IO4).
+"""Writing surfaces, tables that are replaced as a whole, and tables of appended batches (IO4).
 
-``publish_version`` and ``rewrite_version`` never overwrite what a reader may be reading.
-Data goes to ``<root>/data/in_version=N/in_bucket=b``; a row (bucket, version) appended to
-``<root>/manifest`` then makes it visible. The current content is, for every bucket, the
-version with the highest number in the manifest.
+``publish_version`` never overwrites what a reader may be reading. Data goes to
+``<root>/data/in_version=N``; a row appended to ``<root>/manifest`` then makes it visible. The
+current content is the version with the highest number in the manifest.
 
 ``append_delta``, ``newest`` and ``compact`` keep a table of the newest row per key as the
 batches that were appended: a batch writes in proportion to itself, readers take the newest
@@ -19,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST_SCHEMA = "bucket int, version bigint"
+MANIFEST_SCHEMA = "version bigint"
 
 
 def write_surface(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -43,45 +42,16 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def bucket_versions(spark: SparkSession, root: str) -> dict[int, int]:
-    """The visible version of every bucket; as many entries as there are buckets."""
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """The visible version; None when nothing was published."""
     manifest = _manifest(spark, root)
-    if manifest is None:
-        return {}
-    rows = manifest.groupBy("bucket").agg(F.max("version").alias("version")).collect()
-    return {r["bucket"]: r["version"] for r in rows}
+    return None if manifest is None else manifest.agg(F.max("version")).first()[0]
 
 
-def read_current(spark: SparkSession, root: str, buckets: list[int] | None = None) -> DataFrame | None:
-    """The current rows, of all buckets or of some; None when nothing was published.
-
-    Only the folders of visible versions are read.
-    """
-    visible = bucket_versions(spark, root)
-    if not visible:
-        return None
-    folders = {b: f"{root}/data/in_version={v}/in_bucket={b}" for b, v in sorted(visible.items())}
-    # The schema comes from one folder, so folders that are not asked for are not listed.
-    schema = spark.read.parquet(next(iter(folders.values()))).schema
-    asked = folders if buckets is None else {b: folders[b] for b in buckets if b in folders}
-    if not asked:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*asked.values())
-
-
-def _stage(df: DataFrame, root: str, version: int) -> None:
-    """Write rows (with an ``in_bucket`` column) as a version that readers do not see yet."""
-    (
-        df.hint("rebalance", "in_bucket")
-        .write.mode("overwrite")
-        .partitionBy("in_bucket")
-        .parquet(f"{root}/data/in_version={version}")
-    )
-
-
-def _reveal(spark: SparkSession, root: str, version: int, buckets: list[int]) -> None:
-    rows = spark.createDataFrame([(b, version) for b in buckets], MANIFEST_SCHEMA)
-    rows.coalesce(1).write.mode("append").json(f"{root}/manifest")
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The current rows; None when nothing was published."""
+    version = current_version(spark, root)
+    return None if version is None else spark.read.parquet(f"{root}/data/in_version={version}")
 
 
 def stage_version(df: DataFrame, root: str, version: int) -> DataFrame:
@@ -89,13 +59,14 @@ def stage_version(df: DataFrame, root: str, version: int) -> DataFrame:
 
     ``reveal_version`` makes it visible; a version that is not revealed has no effect.
     """
-    _stage(df.withColumn("in_bucket", F.lit(0)), root, version)
-    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/data/in_version={version}")
+    path = f"{root}/data/in_version={version}"
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def reveal_version(spark: SparkSession, root: str, version: int) -> None:
     """Make a staged version the current one."""
-    _reveal(spark, root, version, [0])
+    spark.createDataFrame([(version,)], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/manifest")
 
 
 def publish_version(df: DataFrame, root: str, version: int) -> None:
@@ -104,67 +75,24 @@ def publish_version(df: DataFrame, root: str, version: int) -> None:
     reveal_version(df.sparkSession, root, version)
 
 
-def _place(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def touched_buckets(batch: DataFrame, keys: list[str], buckets: int) -> list[int]:
-    """The buckets the keys of a batch fall in: at most ``buckets`` numbers."""
-    return [r["b"] for r in batch.select(_place(keys, buckets).alias("b")).distinct().collect()]
-
-
-def rewrite_version(
-    batch: DataFrame,
-    root: str,
-    keys: list[str],
-    version: int,
-    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-    buckets: int = 64,
-) -> bool:
-    """Rewrite only the buckets that the batch's keys fall in, by ``merge(before, batch)``.
-
-    A version that was committed before is not applied again, so a replayed micro-batch has
-    no effect; False is returned then. Keys are spread over a fixed number of buckets that
-    must stay the same for a table. ``merge`` must return a row for every key of the batch.
-    """
-    spark = batch.sparkSession
-    seen = bucket_versions(spark, root)
-    if seen and max(seen.values()) >= version:
-        return False
-    touched = touched_buckets(batch, keys, buckets)
-    if touched:
-        merged = merge(read_current(spark, root, touched), batch)
-        _stage(merged.withColumn("in_bucket", _place(keys, buckets)), root, version)
-        _reveal(spark, root, version, touched)
-    return True
-
-
-def upsert_version(
-    batch: DataFrame, root: str, key: str, order: list[str], version: int, buckets: int = 64
-) -> bool:
-    """Merge rows by key, the greatest ``order`` winning.
-
-    The winner of a key is found by an aggregation with partial results, so many rows for
-    one key meet no single task.
-    """
-    rest = [c for c in batch.columns if c != key]
-
-    def merge(before: DataFrame | None, rows: DataFrame) -> DataFrame:
-        both = rows if before is None else before.select(*rows.columns).unionByName(rows)
-        return (
-            both.groupBy(key)
-            .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-            .select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in rows.columns])
-        )
-
-    return rewrite_version(batch, root, [key], version, merge, buckets)
-
-
 def append_delta(rows: DataFrame, root: str, run: str, number: int) -> None:
     """Add a batch to a table of deltas. The same batch of the same run replaces itself."""
     rows.write.mode("overwrite").parquet(f"{root}/run={run}/batch={number}")
 
 
+def read_deltas(spark: SparkSession, root: str, without: tuple[str, int] | None = None) -> DataFrame | None:
+    """The rows of all batches, but for a run's batch named by ``without``; None when there is none."""
+    try:
+        deltas = spark.read.option("basePath", root).parquet(root)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if without is not None:
+        deltas = deltas.filter(~((F.col("run") == without[0]) & (F.col("batch") == without[1])))
+    return deltas.drop("run", "batch")
+
+
 def newest(
     spark: SparkSession,
     root: str,
@@ -179,27 +107,28 @@ def newest(
     run's batch out. The winner is found with partial results, so a key with very many rows
     meets no single task.
     """
-    try:
-        deltas = spark.read.option("basePath", root).parquet(root)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    if without is not None:
-        deltas = deltas.filter(~((F.col("run") == without[0]) & (F.col("batch") == without[1])))
-    rows = deltas.drop("run", "batch")
-    if only is not None:
-        rows = rows.join(only.select(key).distinct(), key, "left_semi")
+    rows = read_deltas(spark, root, without)
+    if rows is None:
+        return None
+    return _greatest(rows if only is None else rows.join(only.select(key).distinct(), key, "left_semi"), key, order)
+
+
+def _greatest(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
     rest = [c for c in rows.columns if c != key]
     best = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in rows.columns])
 
 
 def compact(spark: SparkSession, root: str, key: str, order: list[Column]) -> None:
-    """Write the newest rows as one delta, then remove the deltas that it was made from.
+    """Write the newest rows as one delta in place of those that there are."""
+    gather(spark, root, lambda rows: _greatest(rows, key, order))
+
+
+def gather(spark: SparkSession, root: str, gathered: Callable[[DataFrame], DataFrame]) -> None:
+    """Write ``gathered(rows of all deltas)`` as one delta, then remove the deltas that it was made from.
 
-    Rows stay the newest whichever delta they are read from, so a run that stops half-way
-    leaves the table as it was, and batches appended meanwhile are not touched.
+    What is gathered must mean the same beside the deltas it was made from. Then a run that
+    stops half-way leaves the table as it was, and batches appended meanwhile are not touched.
     """
     files = spark._jvm.org.apache.hadoop.fs
     base = files.Path(root)
@@ -207,6 +136,6 @@ def compact(spark: SparkSession, root: str, key: str, order: list[Column]) -> No
     if not system.exists(base):
         return
     old = [d.getPath() for run in system.listStatus(base) if run.isDirectory() for d in system.listStatus(run.getPath())]
-    append_delta(newest(spark, root, key, order).hint("rebalance"), root, f"compact-{uuid.uuid4().hex}", 0)
+    append_delta(gathered(read_deltas(spark, root)).hint("rebalance"), root, f"compact-{uuid.uuid4().hex}", 0)
     for path in old:
         system.delete(path, True)

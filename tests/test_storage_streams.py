@@ -5,16 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.operators import publishing
-from factloom.operators.breaker import BreakerConfig
+from factloom.operators.breaker import BreakerConfig, breaker_states, latest_states
 from factloom.operators.temporal import open_ended
-from factloom.sources.surface import (
-    bucket_versions,
-    publish_version,
-    read_current,
-    rewrite_version,
-    upsert_version,
-    write_surface,
-)
+from factloom.sources.surface import current_version, publish_version, read_current, write_surface
 from factloom.streaming import changes, stateful
 
 D = dt.datetime
@@ -32,33 +25,15 @@ def test_partition_overwrite(spark, tmp_path):
     assert rows(spark.read.parquet(path), "id", "p") == [(1, "a"), (9, "b")]
 
 
-def test_versions(spark, tmp_path):
+def test_a_version_is_seen_when_it_is_complete(spark, tmp_path):
     root = str(tmp_path / "t")
     assert read_current(spark, root) is None
-    first = spark.createDataFrame([(i, 1, "a") for i in range(50)], "id int, v int, x string")
-    assert upsert_version(first, root, "id", ["v"], 0, 8)
-    before = {b: v for b, v in bucket_versions(spark, root).items()}
-    second = spark.createDataFrame([(3, 2, "b"), (3, 3, "c"), (4, 0, "late"), (99, 1, "new")], "id int, v int, x string")
-    assert upsert_version(second, root, "id", ["v"], 1, 8)
-    table = {r["id"]: r["x"] for r in read_current(spark, root).collect()}
-    assert len(table) == 51 and table[3] == "c" and table[4] == "a" and table[99] == "new"
-    after = bucket_versions(spark, root)
-    assert any(after[b] == before[b] for b in before), "untouched buckets keep their version"
-    # The same micro-batch again has no effect.
-    assert not upsert_version(second.withColumn("x", F.lit("again")), root, "id", ["v"], 1, 8)
-    assert {r["id"]: r["x"] for r in read_current(spark, root).collect()} == table
-
-
-def test_a_lost_run_leaves_the_table_as_it_was(spark, tmp_path):
-    root = str(tmp_path / "t")
     publish_version(spark.createDataFrame([(1, "old")], "id int, version string"), root, 1)
-
-    def broken(before, batch):
-        return batch.withColumn("id", F.raise_error(F.lit("lost")).cast("int"))
-
     with pytest.raises(Exception, match="lost"):
-        rewrite_version(spark.createDataFrame([(1, "new")], "id int, version string"), root, ["id"], 2, broken, 1)
+        publish_version(spark.range(1).select(F.raise_error(F.lit("lost")).cast("int").alias("id"), F.lit("new").alias("version")), root, 2)
     assert rows(read_current(spark, root), "id", "version") == [(1, "old")]
+    publish_version(spark.createDataFrame([(1, "new")], "id int, version string"), root, 2)
+    assert rows(read_current(spark, root), "id", "version") == [(1, "new")] and current_version(spark, root) == 2
 
 
 def test_gate(spark, tmp_path):
@@ -142,16 +117,79 @@ def test_redelivery_filter(spark, tmp_path):
     assert rows(spark.table("unique_ids"), "id") == [(1,), (2,)]
 
 
+def folder_stream(spark, path, schema):
+    path.mkdir(exist_ok=True)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(path))
+
+
+def add(df, path):
+    df.coalesce(1).write.mode("append").parquet(str(path))
+
+
+def all_rows(df):
+    return sorted(map(str, df.collect()))
+
+
 def test_scd2_stream_equals_batch(spark, tmp_path):
-    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    root = str(tmp_path / "out")
     data = [(k, D(2024, 1, 1) + dt.timedelta(days=(k * 7 + i * 11) % 60), i) for k in range(6) for i in range(9)]
-    schema = "k int, valid_from timestamp_ntz, v int"
-    df = spark.createDataFrame(data, schema)
+    df = spark.createDataFrame(data, "k int, valid_from timestamp_ntz, v int")
+    stream = folder_stream(spark, tmp_path / "in", df.schema)
     for third in range(3):
-        df.filter(F.col("v") % 3 == third).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    stateful.scd2_stream(stream, root, str(tmp_path / "cp"), ["k"], buckets=4, rows_per_piece=5).awaitTermination()
+        add(df.filter(F.col("v") % 3 == third), tmp_path / "in")
+    stateful.scd2_stream(stream, root, str(tmp_path / "cp")).awaitTermination()
     want = open_ended(df, ["k"], "valid_from", "valid_to")
-    assert rows(read_current(spark, root).fillna(0), "k", "valid_from", "v") == rows(want, "k", "valid_from", "v")
-    ends = lambda x: sorted(str((r["k"], r["valid_from"], r["valid_to"])) for r in x.collect())
-    assert ends(read_current(spark, root)) == ends(want)
+    assert all_rows(stateful.read_versions(spark, root, ["k"], rows_per_piece=5)) == all_rows(want)
+    assert stateful.read_refused(spark, root, ["k"]).count() == 0
+
+
+def test_scd2_stream_loses_no_change(spark, tmp_path):
+    """Conflicts in a batch and between batches, repeats, late changes, NULLs, a replayed batch, a new checkpoint."""
+    root, schema = str(tmp_path / "out"), "k int, valid_from timestamp_ntz, v int"
+    assert stateful.read_versions(spark, root, ["k"]) is None and stateful.read_refused(spark, root, ["k"]) is None
+    day = lambda n: D(2024, 1, n)
+    first = [(1, day(5), 20), (1, day(5), 10), (2, day(1), 7), (2, day(1), 7), (None, day(1), 1), (3, None, 3)]
+    second = [(1, day(5), 5), (1, day(2), 1), (2, day(1), 7), (2, day(9), None), (None, day(1), 2)]
+    third = [(1, day(5), 10), (2, day(9), 8), (4, day(1), 4), (2, day(1), None)]
+    stream = folder_stream(spark, tmp_path / "in", schema)
+    for batch in (first, second):
+        add(spark.createDataFrame(batch, schema), tmp_path / "in")
+        stateful.scd2_stream(stream, root, str(tmp_path / "cp")).awaitTermination()
+    other = folder_stream(spark, tmp_path / "other", schema)
+    add(spark.createDataFrame(third, schema), tmp_path / "other")
+    stateful.scd2_stream(other, root, str(tmp_path / "new")).awaitTermination()
+
+    def check():
+        versions = {(r["k"], r["valid_from"], r["v"], r["valid_to"]) for r in stateful.read_versions(spark, root, ["k"]).collect()}
+        assert versions == {
+            (1, day(2), 1, day(5)), (1, day(5), 10, None), (2, day(1), 7, day(9)), (2, day(9), None, None),
+            (None, day(1), 1, None), (3, None, 3, None), (4, day(1), 4, None),
+        }
+        refused = {(r["k"], r["valid_from"], r["v"], r["reason"]) for r in stateful.read_refused(spark, root, ["k"]).collect()}
+        assert refused == {
+            (1, day(5), 20, "SAME_START"), (1, day(5), 5, "HELD_START"), (None, day(1), 2, "HELD_START"),
+            (2, day(9), 8, "HELD_START"), (2, day(1), None, "HELD_START"),
+        }
+        kept = {v[:3] for v in versions} | {r[:3] for r in refused}
+        assert kept == {*first, *second, *third}
+
+    check()
+    stateful.compact_versions(spark, root)
+    assert len(list((tmp_path / "out").glob("run=*/batch=*"))) == 1
+    check()
+
+
+def test_breaker_stream_over_batches_and_checkpoints(spark, tmp_path):
+    schema = "contract_id int, run_id int, at timestamp_ntz, ok boolean"
+    data = [(c, n, D(2024, 1, 1) + dt.timedelta(minutes=17 * n), (n * 7 + c) % 5 != 0) for c in range(3) for n in range(40)]
+    df, root = spark.createDataFrame(data, schema), str(tmp_path / "out")
+    config = BreakerConfig(passes_to_close=2)
+    for name, low, high in (("a", 0, 12), ("a", 12, 20), ("b", 20, 33), ("b", 33, 40)):
+        stream = folder_stream(spark, tmp_path / name, schema)
+        add(df.filter(F.col("run_id").between(low, high - 1)), tmp_path / name)
+        stateful.breaker_stream(stream, root, str(tmp_path / f"cp-{name}"), config).awaitTermination()
+    want = breaker_states(df, config)
+    got = spark.read.parquet(f"{root}/states").drop("run", "batch")
+    assert all_rows(got.select(*want.columns)) == all_rows(want)
+    last = stateful.read_latest_states(spark, root)
+    assert all_rows(last.select(*latest_states(want).columns)) == all_rows(latest_states(want))
