@@ -217,6 +217,39 @@ def event_state(events: DataFrame, as_of=None, state: list[str] | None = None) -
     )
 
 
+def event_attributes(events: DataFrame, as_of=None, tiebreak: list[str] | None = None) -> DataFrame:
+    """(stream_id, attribute, value, sequence_no), the last write of every attribute of a stream.
+
+    ``event_data`` is a JSON object whose keys are attributes; values come as text, nested ones
+    as JSON. A later event writes the attributes it names and leaves the others; NULL takes an
+    attribute away. Writes with one sequence_no go by ``tiebreak`` (event_id by default), then by
+    value. Events whose data is no object write nothing. With ``as_of`` only events recorded
+    by then count. Rows are reduced per stream and attribute with partial results, so a
+    stream with very many events meets no single task.
+    """
+    seen = events if as_of is None else events.filter(F.col("recorded_at") <= clock(as_of))
+    written = seen.select(
+        "stream_id", F.struct("sequence_no", *(tiebreak or ["event_id"])).alias("_at"), F.explode(F.from_json("event_data", "map<string,string>")).alias("attribute", "value")
+    )
+    last = written.groupBy("stream_id", "attribute").agg(F.max(F.struct("_at", "value")).alias("_w"))
+    return last.select("stream_id", "attribute", F.col("_w.value").alias("value"), F.col("_w._at.sequence_no").alias("sequence_no")).filter("value IS NOT NULL")
+
+
+def event_fold(events: DataFrame, as_of=None, tiebreak: list[str] | None = None) -> DataFrame:
+    """(stream_id, last_sequence_no, event_count, state) with the attributes folded over all events.
+
+    ``state`` maps attributes to their last values, by name; it is empty where nothing is written
+    or all was taken away. See ``event_attributes``.
+    """
+    attributes = event_attributes(events, as_of, tiebreak)
+    entries = F.array_sort(F.collect_list(F.struct("attribute", "value")))  # as many as a stream has attributes
+    states = attributes.groupBy("stream_id").agg(F.map_from_entries(entries).alias("state"))
+    counts = event_state(events, as_of, ["event_type"]).drop("event_type")
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    joined = counts.join(states, counts["stream_id"].eqNullSafe(states["stream_id"]), "left")
+    return joined.select(counts["stream_id"], "last_sequence_no", "event_count", F.coalesce("state", empty).alias("state"))
+
+
 def snapshots_to_scd2(
     snapshots: DataFrame,
     keys: list[str],
