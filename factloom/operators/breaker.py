@@ -268,7 +268,7 @@ def breaker_states(
     if cuts.hot is not None:
         # One summary per piece: the chain of a contract is a short group, and the table of
         # starts has at most two rows per ``rows_per_piece`` results.
-        starts = F.broadcast(
+        starts = (
             summaries.join(begin, "contract_id", "left")
             .groupBy("contract_id")
             .applyInPandas(

@@ -5,8 +5,8 @@ key are counted first, by one aggregation over the key and time columns that run
 plan is made. When no key has more than ``rows_per_piece`` rows, the plain window is used.
 Otherwise those keys are cut into consecutive pieces along their time line. Windows then run
 per (key, piece); what has to cross a cut is one row per piece, so the table that carries it
-has at most two rows for every ``rows_per_piece`` input rows and is broadcast under that
-bound. The results are the same for any value of ``rows_per_piece``.
+has at most two rows for every ``rows_per_piece`` input rows. No join is hinted. The results
+are the same for any value of ``rows_per_piece``.
 
 The cuts of a key follow percentiles of its times, so outliers and busy periods do not end
 up in one piece; between two percentiles pieces have equal length. They are fixed when the
@@ -24,11 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.functions.time import MICROS_PER_SECOND, elapsed_micros
-from factloom.plans.sizes import rows_if_small
+from factloom.plans.frontier import written
 
 ROWS_PER_PIECE = 2_000_000
-# Hot keys whose percentiles are brought to the driver; each takes at most 100 numbers.
-FETCHED_KEYS = 20_000
 PERCENTILES = 100
 PIECE = "_piece"
 PIECES = "_pieces"
@@ -63,24 +61,25 @@ def hot_keys(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> Da
 
 def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], at: str) -> DataFrame:
     """Percentiles of the times of the hot keys."""
-    small = F.broadcast(hot)
     rows = df.select(*keys, position(df, at).cast("double").alias("_at"))
     hundredths = F.array(*[F.lit(i / PERCENTILES) for i in range(1, PERCENTILES)])
     return (
-        rows.join(small, same_keys(rows, small, keys), "left_semi")
+        rows.join(hot, same_keys(rows, hot, keys), "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx("_at", hundredths, 10_000).alias("_cuts"))
     )
 
 
-def _edges(low: float | None, high: float | None, cuts: list[float] | None, wanted: int) -> tuple[list[float], int]:
+def _edges(low: Column, high: Column, cuts: Column, wanted: Column) -> tuple[Column, Column]:
     """Rising interval bounds for a key, and the number of equal pieces inside each interval."""
-    if low is None or high is None:
-        return [0.0, 1.0], 1
-    intervals = max(1, min(wanted, PERCENTILES))
-    chosen = [cuts[i * PERCENTILES // intervals - 1] for i in range(1, intervals)] if cuts else []
-    bounds = sorted({low, high + 1.0, *chosen})
-    return bounds, -(-wanted // (len(bounds) - 1))
+    intervals = F.greatest(F.lit(1), F.least(wanted, F.lit(PERCENTILES))).cast("int")
+    places = F.filter(F.sequence(F.lit(1), intervals), lambda i: i < intervals)
+    chosen = F.transform(places, lambda i: F.get(cuts, F.floor(i * PERCENTILES / intervals).cast("int") - 1))
+    inner = F.when(cuts.isNull(), F.array().cast("array<double>")).otherwise(chosen)
+    bounds = F.when(low.isNull() | high.isNull(), F.array(F.lit(0.0), F.lit(1.0))).otherwise(
+        F.array_sort(F.array_distinct(F.concat(F.array(low, high + 1.0), inner)))
+    )
+    return bounds, F.when(low.isNull() | high.isNull(), 1).otherwise(F.ceil(wanted / (F.size(bounds) - 1))).cast("long")
 
 
 def piece_of(place: Column) -> Column:
@@ -106,26 +105,16 @@ class Cuts:
 def measure(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> Cuts:
     """Count the rows per key and place the cuts. They also serve any subset of the rows."""
     lazy = hot_keys(df, keys, at, rows_per_piece)
-    few = rows_if_small(lazy, FETCHED_KEYS)
-    if few is None:
-        # So many hot keys that none of them holds much: equal pieces, joined as a table.
-        pieces = F.ceil(F.col("_n") / F.lit(rows_per_piece)).cast("long")
-        bounds = F.coalesce(F.array("_lo", F.col("_hi") + 1.0), F.array(F.lit(0.0), F.lit(1.0)))
-        return Cuts(lazy.select(*keys, bounds.alias("_bounds"), pieces.alias("_sub")))
-    if not few:
+    if lazy.isEmpty():
         return Cuts(None)
-    # At most rows(df) / rows_per_piece keys, with at most as many bounds as pieces.
-    spark = df.sparkSession
-    known = spark.createDataFrame(few, lazy.schema)
-    cuts = {tuple(r[k] for k in keys): r["_cuts"] for r in _cut_points(df, known, keys, at).collect()}
-    rows = []
-    for r in few:
-        key = tuple(r[k] for k in keys)
-        bounds, sub = _edges(r["_lo"], r["_hi"], cuts.get(key), -(-r["_n"] // rows_per_piece))
-        rows.append((*key, bounds, sub))
-    fields = [lazy.schema[k] for k in keys]
-    fields += [T.StructField("_bounds", T.ArrayType(T.DoubleType())), T.StructField("_sub", T.LongType())]
-    return Cuts(F.broadcast(spark.createDataFrame(rows, T.StructType(fields))))
+    # At most rows(df) / rows_per_piece keys, with at most as many bounds as pieces. Written, so
+    # that every evaluation cuts in the same places and the table is known by its own size.
+    hot = written(lazy)
+    cuts = _cut_points(df, hot, keys, at)
+    wanted = F.ceil(F.col("_n") / F.lit(rows_per_piece))
+    bounds, sub = _edges(F.col("_lo"), F.col("_hi"), F.col("_cuts"), wanted)
+    found = hot.join(cuts, same_keys(hot, cuts, keys), "left")
+    return Cuts(written(found.select(*[hot[k] for k in keys], bounds.alias("_bounds"), sub.alias("_sub"))))
 
 
 def in_pieces(df: DataFrame, keys: list[str], at: str, cuts: Cuts) -> DataFrame:
@@ -141,9 +130,9 @@ def in_pieces(df: DataFrame, keys: list[str], at: str, cuts: Cuts) -> DataFrame:
 
 def _attach(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     """Left-join one value per (key, piece); ``edges`` holds only pieces of cut keys."""
-    small = F.broadcast(edges)
-    on = same_keys(rows, small, keys) & (rows[PIECE] == small[PIECE])
-    return rows.join(small, on, "left").select(*[rows[c] for c in rows.columns], small["_edge"])
+    # Rows lie by (key, piece) already, for the window inside it, so this join moves none of them.
+    on = same_keys(rows, edges, keys) & (rows[PIECE] == edges[PIECE])
+    return rows.join(edges, on, "left").select(*[rows[c] for c in rows.columns], edges["_edge"])
 
 
 def with_neighbour(

@@ -113,5 +113,5 @@ def test_stream_equals_batch(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     root = str(tmp_path / "out")
-    breaker_stream(stream, root, str(tmp_path / "cp"), rows_per_piece=20, buckets=4).awaitTermination()
+    breaker_stream(stream, root, str(tmp_path / "cp"), rows_per_piece=20).awaitTermination()
     assert collect(spark.read.parquet(f"{root}/states")) == collect(breaker_states(rows))

@@ -96,8 +96,7 @@ def test_outliers_and_busy_periods_do_not_fill_one_piece(spark):
     assert as_set(got) == as_set(want)
 
 
-def test_more_hot_keys_than_are_fetched(spark, monkeypatch):
-    monkeypatch.setattr("factloom.plans.sequence.FETCHED_KEYS", 3)
+def test_many_hot_keys(spark):
     rows = spark.range(1000).selectExpr("id % 10 AS k", "id AS at")
     want = rows.withColumn("n", F.lead("at").over(Window.partitionBy("k").orderBy("at")))
     assert as_set(with_neighbour(rows, ["k"], ["at"], {"n": "at"}, rows_per_piece=7)) == as_set(want)
