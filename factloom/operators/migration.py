@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.numeric import percent
 from factloom.operators.governance import in_production
 
+#: Bytes of keywords in one automaton, and of texts that it is run over in one task.
+KEYWORD_BYTES = 1_000_000
+TEXT_BYTES = 16_000_000
+
 
 def schema_divergence(
     lineage: DataFrame, cols: DataFrame, manifest: DataFrame, schema: str = "operational_db"
@@ -111,14 +115,56 @@ def phase_gates(requests: DataFrame, gates: DataFrame, checklist: DataFrame) ->
     )
 
 
-def _grams(text: Column, longest: int = 3) -> Column:
-    """The distinct substrings of 1..longest characters, and the empty one."""
+def keyword_hits(
+    words: DataFrame,
+    texts: DataFrame,
+    id_col: str,
+    batch_bytes: int = KEYWORD_BYTES,
+    slice_bytes: int = TEXT_BYTES,
+) -> DataFrame:
+    """(keyword, id): which of the distinct ``words`` (keyword) each of ``texts`` (id, _text) holds.
+
+    The words are cut by hash into batches of about ``batch_bytes``, the texts into slices of
+    about ``slice_bytes``, whatever their number. A batch becomes one automaton, which is run
+    over each text of a slice once, so a text costs its length and its matches for the whole
+    batch. An empty word is in every text; NULL words and texts match nothing.
+    """
 
-    def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+    def parts(df: DataFrame, column: str, limit: int) -> int:
+        size = df.agg(F.sum(F.octet_length(column).cast("long") + 16)).first()[0]
+        return max(1, -(-(size or 0) // limit))
+
+    words = words.select("keyword").filter("keyword IS NOT NULL").distinct()
+    texts = texts.select(id_col, "_text").filter("_text IS NOT NULL")
+    batches, slices = parts(words, "keyword", batch_bytes), parts(texts, "_text", slice_bytes)
+    own = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = words.select("keyword", own("keyword", batches).alias("_batch"), every(slices).alias("_slice"))
+    read = texts.select(
+        F.col(id_col).alias("_id"), "_text", every(batches).alias("_b"), own(id_col, slices).alias("_s")
+    )
 
-    return F.array_distinct(F.concat(F.array(F.lit("")), *[of_length(n + 1) for n in range(longest)]))
+    def search(batch, part):
+        import ahocorasick
+        import pandas as pd
+
+        machine = ahocorasick.Automaton()
+        for word in batch["keyword"]:
+            if word:
+                machine.add_word(word, word)
+        everywhere = [""] if (batch["keyword"] == "").any() else []
+        if len(machine):
+            machine.make_automaton()
+        found: tuple[list, list] = ([], [])
+        for key, text in zip(part["_id"], part["_text"]):
+            held = {word for _, word in machine.iter(text)} if len(machine) else set()
+            found[0].extend([*held, *everywhere])
+            found[1].extend([key] * (len(held) + len(everywhere)))
+        return pd.DataFrame({"keyword": found[0], id_col: found[1]}, dtype=object)
+
+    kind = texts.schema[id_col].dataType.simpleString()
+    pairs = asked.groupBy("_batch", "_slice").cogroup(read.groupBy("_b", "_s"))
+    return pairs.applyInPandas(search, f"keyword string, `{id_col}` {kind}")
 
 
 def triage(incidents: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -126,24 +172,15 @@ def triage(incidents: DataFrame, patterns: DataFrame) -> DataFrame:
 
     ``incidents`` has incident_id and keywords (array); ``patterns`` has pattern_id (unique),
     title, failure_mode, root_cause, tags and key_fix. Matching ignores case; an empty keyword
-    matches every pattern, an empty list none. Each distinct keyword meets only patterns that
-    hold its first three characters, by an equi-join on ids alone; the patterns' texts join the
-    pairs that are left for the substring test.
+    matches every pattern, an empty list none. All distinct keywords are searched at once
+    (``keyword_hits``); incidents and patterns then join the matches by equality.
     """
     asked = incidents.select(
         "incident_id", F.explode(F.transform("keywords", F.lower)).alias("keyword")
     ).distinct()
-    words = asked.select("keyword").distinct().withColumn("_gram", F.substring("keyword", 1, 3))
     texts = patterns.select("pattern_id", F.lower(F.concat_ws(" ", "failure_mode", "root_cause")).alias("_text"))
-    grams = texts.select("pattern_id", F.explode(_grams(F.col("_text"))).alias("_gram"))
-    matched = (
-        words.join(grams, "_gram")
-        .join(texts, "pattern_id")
-        .filter(F.contains(F.col("_text"), F.col("keyword")))
-        .select("keyword", "pattern_id")
-    )
     return (
-        asked.join(matched, "keyword")
+        asked.join(keyword_hits(asked, texts, "pattern_id"), "keyword")
         .select("incident_id", "pattern_id")
         .distinct()
         .join(patterns.select("pattern_id", "title", "tags", "key_fix"), "pattern_id")

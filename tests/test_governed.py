@@ -267,6 +267,26 @@ def test_triage(spark):
     assert rows(migration.patterns_for(patterns, 1), "pattern_id") == [("1",)]
 
 
+@pytest.mark.parametrize("sizes", [(1_000_000, 16_000_000), (40, 60)])
+def test_keywords_are_searched_in_batches(spark, sizes):
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abc \u00e9\U0001f600", k=rng.randrange(30))) for _ in range(40)] + [None, ""]
+    words = sorted({"".join(rng.choices("abc \u00e9\U0001f600", k=rng.randrange(4))) for _ in range(60)}) + [None, "a"]
+    got = migration.keyword_hits(
+        spark.createDataFrame([(w,) for w in words], "keyword string"),
+        spark.createDataFrame(list(enumerate(texts)), "id int, _text string"),
+        "id",
+        *sizes,
+    )
+    want = {(w, i) for w in words if w is not None for i, t in enumerate(texts) if t is not None and w in t}
+    pairs = [(r["keyword"], r["id"]) for r in got.collect()]
+    assert set(pairs) == want and len(pairs) == len(want)
+    none = spark.createDataFrame([], "keyword string")
+    assert migration.keyword_hits(none, spark.createDataFrame([(1, "a")], "id int, _text string"), "id").count() == 0
+
+
 def test_surface_building(spark):
     df = spark.createDataFrame([("1", "O"), ("9", None)], "tp_cd string, stat string")
     with pytest.raises(ValueError, match="cr_lmt"):
