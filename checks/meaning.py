@@ -189,6 +189,19 @@ def _(s):
     return found.withColumn("similarity", F.round(c("similarity").cast("decimal(20,10)"), 6).cast("double"))
 
 
+@case(
+    "o05_knn_all",
+    "vec",
+    f"""SELECT query_id, vec_id, {rounded("sim", 6)} AS similarity, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT n.vec_id AS query_id, o.vec_id, {SIM} AS sim, ROW_NUMBER() OVER (PARTITION BY n.vec_id ORDER BY {SIM} DESC, o.vec_id) AS rank
+    FROM vec n, vec o) WHERE rank <= 5""",
+)
+def _(s):
+    """The 5 vectors nearest to every vector of the table."""
+    found = embeddings.knn(s.vec, s.vec.select(c("vec_id").alias("query_id"), "embedding"), 5)
+    return found.withColumn("similarity", F.round(c("similarity").cast("decimal(20,10)"), 6).cast("double"))
+
+
 STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 
 

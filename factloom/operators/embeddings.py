@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.numeric import round_exact
 from factloom.functions.vectors import cosine, dot, unit
-from factloom.plans.sizes import rows_if_small
+from factloom.plans.frontier import written
 
 OK_ABOVE = 0.85
 WARN_ABOVE = 0.70
@@ -19,6 +19,11 @@ LEAST_SAMPLE = 10
 # A product of two blocks holds BLOCK_QUERIES x BLOCK_VECTORS numbers in one task.
 BLOCK_QUERIES = 1_024
 BLOCK_VECTORS = 10_000
+# Pivots come from a sample of fixed size; there are at most PIVOTS x RINGS cells.
+PIVOTS, RINGS = 32, 8
+PIVOT_SAMPLE = 1_024
+# Allows for similarities being rounded before a distance is taken from them.
+BOUND_SLACK = 1e-5
 
 
 def content_hash(fields: list[str]) -> Column:
@@ -123,112 +128,274 @@ def _best(scores, who, k: int):
 
 
 def _unit_rows(vectors):
-    """Vectors as a matrix of unit rows, and the mask of those that are not zero."""
+    """Vectors as a matrix of unit rows, and the mask of those that are finite and not zero."""
     import numpy as np
 
     matrix = np.asarray(vectors.tolist(), dtype=np.float64)
     lengths = np.linalg.norm(matrix, axis=1)
-    return matrix[lengths > 0] / lengths[lengths > 0, None], lengths > 0
+    good = np.isfinite(lengths) & (lengths > 0)
+    return matrix[good] / lengths[good, None], good
 
 
 #: Similarities are rounded to so many places, so that equal ones tie whatever the block they came from.
 SIMILARITY_PLACES = 12
 
 
-def knn(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int,
-    id_col: str = "vec_id",
-    query_col: str = "query_id",
-    block_queries: int = BLOCK_QUERIES,
-    block_vectors: int = BLOCK_VECTORS,
+def _pivots(vectors: DataFrame, id_col: str, pivots: int):
+    """Up to ``pivots`` unit vectors far from each other, out of PIVOT_SAMPLE rows taken by a hash of their ids."""
+    import numpy as np
+    import pandas as pd
+
+    rows = vectors.orderBy(F.xxhash64(id_col), id_col).limit(PIVOT_SAMPLE).select("embedding").collect()
+    if not rows:
+        return np.zeros((0, 0))
+    sample, _ = _unit_rows(pd.Series([r[0] for r in rows]))
+    chosen: list[int] = []
+    nearest = np.full(len(sample), np.inf)
+    while len(chosen) < min(pivots, len(sample)):
+        chosen.append(int(np.argmax(nearest)))
+        nearest = np.minimum(nearest, _distances(sample, sample[chosen[-1:]])[:, 0])
+    return sample[chosen]
+
+
+def _distances(rows, pivots):
+    """Distances between unit vectors, from their products."""
+    import numpy as np
+
+    return np.sqrt(np.maximum(2.0 - 2.0 * (rows @ pivots.T), 0.0))
+
+
+def _placed(vectors: DataFrame, id_col: str, pivots) -> DataFrame:
+    """(id, embedding, _cell): the nearest pivot of each usable vector and the ring around it."""
+    import numpy as np
+
+    def place(batches: Iterator) -> Iterator:
+        for batch in batches:
+            if not len(batch) or not len(pivots):
+                continue
+            rows, good = _unit_rows(batch["embedding"])
+            far = _distances(rows, pivots)
+            near = far.argmin(axis=1)
+            ring = np.minimum(far[np.arange(len(far)), near] / 2.0 * RINGS, RINGS - 1).astype(int)
+            yield batch[good].assign(_cell=(near * RINGS + ring).astype("int32"))
+
+    fields = vectors.select(id_col, "embedding").schema
+    return vectors.select(id_col, "embedding").mapInPandas(place, fields.add("_cell", "integer"))
+
+
+def _cells(placed: DataFrame, pivots):
+    """Per cell the least and greatest distance to every pivot and the number of vectors.
+
+    At most pivots x RINGS rows, whatever the table.
+    """
+    import numpy as np
+    import pandas as pd
+
+    width = len(pivots)
+
+    def summarise(batches: Iterator) -> Iterator:
+        low, high, count = {}, {}, {}
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows, _ = _unit_rows(batch["embedding"])
+            far = _distances(rows, pivots)
+            cells = batch["_cell"].to_numpy()
+            for cell in np.unique(cells):
+                part = far[cells == cell]
+                low[cell] = np.minimum(low.get(cell, np.inf), part.min(axis=0))
+                high[cell] = np.maximum(high.get(cell, 0.0), part.max(axis=0))
+                count[cell] = count.get(cell, 0) + len(part)
+        names = list(count)
+        yield pd.DataFrame(
+            {
+                "_cell": pd.Series(names, dtype="int32"),
+                "low": pd.Series([low[c].tolist() for c in names], dtype=object),
+                "high": pd.Series([high[c].tolist() for c in names], dtype=object),
+                "n": pd.Series([count[c] for c in names], dtype="int64"),
+            }
+        )
+
+    parts = placed.mapInPandas(summarise, "_cell int, low array<double>, high array<double>, n bigint")
+    merged = parts.groupBy("_cell").agg(
+        F.array(*[F.min(F.col("low")[i]) for i in range(width)]).alias("low"),
+        F.array(*[F.max(F.col("high")[i]) for i in range(width)]).alias("high"),
+        F.sum("n").alias("n"),
+    )
+    rows = sorted(merged.collect(), key=lambda r: r["_cell"])
+    number = np.array([r["_cell"] for r in rows], dtype=np.int32)
+    shape = (len(rows), width)
+    low = np.array([r["low"] for r in rows], dtype=np.float64).reshape(shape)
+    high = np.array([r["high"] for r in rows], dtype=np.float64).reshape(shape)
+    return number, low, high, np.array([r["n"] for r in rows], dtype=np.int64)
+
+
+def _routed(asked: DataFrame, query_col: str, pivots, cells, k: int) -> DataFrame:
+    """(query, embedding, home, far): the cells to look at first, and the others with their bounds.
+
+    By the triangle inequality no vector of a cell is nearer to the query than the greatest gap,
+    over all pivots, between the query's distance to the pivot and those of the cell. ``home``
+    are the cells of least bounds that hold ``k`` vectors together, ``far`` all others as
+    (cell, bound).
+    """
+    import numpy as np
+
+    number, low, high, count = cells
+
+    def route(batches: Iterator) -> Iterator:
+        for batch in batches:
+            if not len(batch) or not len(number):
+                continue
+            rows, good = _unit_rows(batch["embedding"])
+            if not good.any():
+                continue
+            home, far = [], []
+            for away in _distances(rows, pivots):
+                bound = np.maximum(np.maximum(away - high, low - away).max(axis=1), 0.0)
+                # Of equal bounds, the cell whose middle lies nearest.
+                order = np.lexsort((np.abs((low + high) / 2 - away).max(axis=1), bound))
+                enough = int(np.searchsorted(np.cumsum(count[order]), k)) + 1
+                home.append(number[order[:enough]].tolist())
+                far.append([{"cell": int(number[i]), "bound": float(bound[i])} for i in order[enough:]])
+            yield batch[good].assign(home=home, far=far)
+
+    kind = asked.schema["embedding"].dataType.simpleString()
+    name = asked.schema[query_col].dataType.simpleString()
+    return asked.mapInPandas(
+        route,
+        f"`{query_col}` {name}, embedding {kind}, home array<int>, far array<struct<cell: int, bound: double>>",
+    )
+
+
+def _looked_up(
+    asked: DataFrame, placed: DataFrame, counts: dict[int, int], id_col: str, query_col: str, k: int,
+    query_blocks: int, block_vectors: int,
 ) -> DataFrame:
-    """The exact ``k`` nearest vectors by cosine of every query, with their rank.
+    """The best ``k`` of every (query, block of a cell), by one product per block of queries and of vectors.
 
-    Up to ``block_queries`` queries are sent to every task; vectors are then not moved. A
-    larger set of queries is cut into blocks, as are the vectors, and each pair of blocks is
-    one product of two bounded matrices. Either way a task keeps its own best ``k`` per query
-    while it runs, so no table of all pairs exists, and the best of all tasks are merged in
-    two steps. Zero vectors are not neighbours; ranks of equal similarity go by id.
+    ``asked`` is (query, embedding, cells, least): similarities under ``least`` are left out.
     """
     import numpy as np
     import pandas as pd
 
-    id_type = vectors.schema[id_col].dataType.simpleString()
-    query_type = queries.schema[query_col].dataType.simpleString()
-    schema = f"{query_col} {query_type}, {id_col} {id_type}, similarity double, _part int"
-    wanted = vectors.select(id_col, "embedding").filter(F.col("embedding").isNotNull())
-    asked = queries.select(query_col, "embedding").filter(F.col("embedding").isNotNull())
+    salts = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, -(-n // block_vectors))])
+    cut = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    one = asked.select(
+        F.col(query_col).alias("_asked"),
+        F.col("embedding").alias("_asked_vec"),
+        "least",
+        cut(query_col, F.lit(query_blocks)).alias("_aq"),
+        F.explode("cells").alias("_ac"),
+    )
+    left = one.withColumn("_as", F.explode(F.sequence(F.lit(0), salts[F.col("_ac")] - 1)))
+    wanted = one.select(F.col("_ac").alias("_cell"), F.col("_aq").alias("_q")).distinct()
+    right = placed.join(wanted, "_cell").select(
+        F.col(id_col).alias("_id"),
+        F.col("embedding").alias("_vec"),
+        "_q",
+        "_cell",
+        cut(id_col, salts[F.col("_cell")]).alias("_s"),
+    )
 
-    def framed(names, kept, part: int) -> pd.DataFrame:
-        frames = [
-            pd.DataFrame({query_col: name, id_col: who, "similarity": score, "_part": part})
-            for name, (score, who) in zip(names, kept)
-        ]
+    def product(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         columns = [query_col, id_col, "similarity", "_part"]
+        if not len(block) or not len(part):
+            return pd.DataFrame(columns=columns)
+        matrix, usable = _unit_rows(block["_asked_vec"])
+        rows, good = _unit_rows(part["_vec"])
+        ids = part["_id"].to_numpy()[good]
+        place = int(part["_cell"].iloc[0]) * 31 + int(part["_s"].iloc[0])
+        frames = []
+        scores = np.round(matrix @ rows.T, SIMILARITY_PLACES)
+        for name, least, score in zip(block["_asked"][usable], block["least"][usable], scores):
+            near = score >= least
+            best, who = _best(score[near], ids[near], k)
+            frames.append(pd.DataFrame({query_col: name, id_col: who, "similarity": best, "_part": place}))
         return pd.concat(frames) if frames else pd.DataFrame(columns=columns)
 
-    few = rows_if_small(asked, block_queries)
-    if few is not None:
-        block = pd.DataFrame({"q": [r[query_col] for r in few], "embedding": [r["embedding"] for r in few]})
-        matrix, usable = _unit_rows(block["embedding"]) if len(block) else (None, [])
-        names = block["q"][usable].tolist() if len(block) else []
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            from pyspark import TaskContext
-
-            kept = None
-            for batch in batches:
-                if not len(batch) or not names:
-                    continue
-                rows, good = _unit_rows(batch["embedding"])
-                ids = batch[id_col].to_numpy()[good]
-                scores = np.round(matrix @ rows.T, SIMILARITY_PLACES)
-                if kept is None:
-                    kept = [_best(score, ids, k) for score in scores]
-                else:
-                    kept = [
-                        _best(np.concatenate([score, new]), np.concatenate([who, ids]), k)
-                        for (score, who), new in zip(kept, scores)
-                    ]
-            if kept is not None:
-                yield framed(names, kept, TaskContext.get().partitionId())
-
-        found = wanted.mapInPandas(scan, schema)
-    else:
-        query_blocks = -(-asked.count() // block_queries)
-        vector_blocks = -(-wanted.count() // block_vectors)
-        spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        cut = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-        # Both sides get columns of their own: queries are often a selection of the vectors.
-        left = asked.select(
-            F.col(query_col).alias("_asked"),
-            F.col("embedding").alias("_asked_vec"),
-            cut(query_col, query_blocks).alias("_aq"),
-            spread(vector_blocks).alias("_av"),
-        )
-        right = wanted.select(
-            F.col(id_col).alias("_id"),
-            F.col("embedding").alias("_vec"),
-            spread(query_blocks).alias("_q"),
-            cut(id_col, vector_blocks).alias("_v"),
-        )
-
-        def product(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-            if not len(block) or not len(part):
-                return framed([], [], 0)
-            matrix, usable = _unit_rows(block["_asked_vec"])
-            rows, good = _unit_rows(part["_vec"])
-            ids = part["_id"].to_numpy()[good]
-            kept = [_best(score, ids, k) for score in np.round(matrix @ rows.T, SIMILARITY_PLACES)]
-            return framed(block["_asked"][usable], kept, int(block["_av"].iloc[0]))
+    id_type = placed.schema[id_col].dataType.simpleString()
+    query_type = asked.schema[query_col].dataType.simpleString()
+    pairs = left.groupBy("_aq", "_ac", "_as").cogroup(right.groupBy("_q", "_cell", "_s"))
+    return pairs.applyInPandas(product, f"`{query_col}` {query_type}, `{id_col}` {id_type}, similarity double, _part int")
 
-        pairs = left.groupBy("_aq", "_av").cogroup(right.groupBy("_q", "_v"))
-        found = pairs.applyInPandas(product, schema)
 
+def _ranked(found: DataFrame, k: int, id_col: str, query_col: str) -> DataFrame:
+    """The best ``k`` per query in two steps, so that no task sees all parts of a query."""
     order = [F.desc("similarity"), F.col(id_col)]
     local = F.row_number().over(Window.partitionBy(query_col, F.pmod("_part", F.lit(256))).orderBy(*order))
     short = found.withColumn("_r", local).filter(F.col("_r") <= k)
     final = F.row_number().over(Window.partitionBy(query_col).orderBy(*order))
-    return short.withColumn("rank", final).filter(F.col("rank") <= k).select(query_col, id_col, "similarity", "rank")
+    return short.withColumn("rank", final).filter(F.col("rank") <= k).drop("_r", "_part")
+
+
+def knn_search(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    id_col: str = "vec_id",
+    query_col: str = "query_id",
+    block_queries: int = BLOCK_QUERIES,
+    block_vectors: int = BLOCK_VECTORS,
+    pivots: int = PIVOTS,
+) -> tuple[DataFrame, DataFrame]:
+    """The exact ``k`` nearest vectors by cosine of every query, and what was looked at for it.
+
+    Vectors lie in cells: their nearest pivot and a ring around it. A query first meets the
+    cells most likely to hold its neighbours. The ``k``-th best of these is a bound; of the
+    other cells only those follow that, by the triangle inequality over all pivots, can hold
+    something as near. Cells are cut by hash into blocks of about ``block_vectors``, queries into
+    blocks of about ``block_queries``, and each pair is one product of two bounded matrices that
+    gives its best ``k`` per query. Vectors of cells that no query needs are not moved.
+
+    The first table is that of ``knn``. The second has one row per query: its ``cells_looked``
+    out of ``cells``, and ``vectors_looked`` out of ``vectors``.
+    """
+    asked = queries.select(query_col, "embedding").filter(F.col("embedding").isNotNull())
+    wanted = vectors.select(id_col, "embedding").filter(F.col("embedding").isNotNull())
+    middle = _pivots(wanted, id_col, pivots)
+    placed = written(_placed(wanted, id_col, middle))
+    cells = _cells(placed, middle)
+    counts = dict(zip(cells[0].tolist(), cells[3].tolist()))
+    if not counts:
+        kinds = f"`{query_col}` {asked.schema[query_col].dataType.simpleString()}"
+        found = f"{kinds}, `{id_col}` {wanted.schema[id_col].dataType.simpleString()}, similarity double, rank int"
+        looks = f"{kinds}, cells_looked bigint, cells bigint, vectors_looked bigint, vectors bigint"
+        return vectors.sparkSession.createDataFrame([], found), vectors.sparkSession.createDataFrame([], looks)
+    routed = written(_routed(asked, query_col, middle, cells, k))
+    query_blocks = max(1, -(-routed.count() // block_queries))
+    step = lambda rows: _looked_up(
+        rows, placed, counts, id_col, query_col, k, query_blocks, block_vectors
+    )
+    first = written(step(routed.select(query_col, "embedding", F.col("home").alias("cells"), F.lit(-2.0).alias("least"))))
+    bounds = _ranked(first, k, id_col, query_col).filter(F.col("rank") == k).select(query_col, F.col("similarity").alias("_kth"))
+    known = F.coalesce("_kth", F.lit(-2.0))
+    limit = F.sqrt(F.greatest(2.0 - 2.0 * known, F.lit(0.0))) + BOUND_SLACK
+    rest = routed.join(bounds, query_col, "left").select(
+        query_col,
+        "embedding",
+        "home",
+        F.transform(F.filter("far", lambda x: x["bound"] <= limit), lambda x: x["cell"]).alias("cells"),
+        known.alias("least"),
+    )
+    rest = written(rest)
+    second = step(rest.filter(F.size("cells") > 0).drop("home"))
+    size = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    seen = F.concat("home", "cells")
+    looks = rest.select(
+        query_col,
+        F.size(seen).cast("bigint").alias("cells_looked"),
+        F.lit(len(counts)).cast("bigint").alias("cells"),
+        F.aggregate(seen, F.lit(0).cast("bigint"), lambda t, c: t + size[c].cast("bigint")).alias("vectors_looked"),
+        F.lit(sum(counts.values())).cast("bigint").alias("vectors"),
+    )
+    found = _ranked(first.unionByName(second), k, id_col, query_col)
+    return found.select(query_col, id_col, "similarity", "rank"), looks
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", query_col: str = "query_id", **sizes) -> DataFrame:
+    """The exact ``k`` nearest vectors by cosine of every query, with their rank (see ``knn_search``).
+
+    ``query_col`` is unique. Zero, NULL and non-finite vectors are not neighbours and get none;
+    ranks of equal similarity go by id.
+    """
+    return knn_search(vectors, queries, k, id_col, query_col, **sizes)[0]

@@ -208,3 +208,30 @@ def test_knn_is_exact(spark, vectors, blocks):
             (-round(float(a @ v / (n * np.linalg.norm(v))), 12), i) for a, n, i in zip(m, norms, pdf.vec_id) if n > 0
         )[:6]
         assert [i for _, i in sorted(found)] == [i for _, i in ranked]
+
+
+def test_knn_skips_what_cannot_be_near(spark):
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(12, 16))
+    data = [(i, (middles[i % 12] + rng.normal(scale=0.02, size=16)).tolist()) for i in range(900)]
+    data += [(900, None), (901, [float("nan")] * 16), (902, [0.0] * 16), (903, data[7][1])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    queries = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    found, looks = embeddings.knn_search(df, queries, 9, block_queries=100, block_vectors=50)
+    m = np.array([v for i, v in data[:900]] + [data[7][1]])
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    ids = np.array([*range(900), 903])
+    near = np.round(u @ u.T, 12)
+    want = {(int(q), int(ids[j]), r + 1) for q, row in zip(ids, near) for r, j in enumerate(np.lexsort((ids, -row))[:9])}
+    got = {(r["query_id"], r["vec_id"], r["rank"]) for r in found.collect()}
+    assert got == want
+    seen = looks.agg(F.sum("vectors_looked"), F.sum("vectors"), F.count("*")).first()
+    assert seen[2] == 901 and seen[0] < 0.3 * seen[1]
+
+
+def test_knn_of_nothing(spark):
+    none = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "vec_id long, embedding array<double>")
+    some = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "query_id long, embedding array<double>")
+    assert embeddings.knn(none, some, 3).count() == 0
+    few = spark.createDataFrame([(1, [0.0, 2.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    assert [r["vec_id"] for r in embeddings.knn(few, some, 3).orderBy("rank").collect()] == [1, 2]
