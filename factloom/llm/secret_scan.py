@@ -30,6 +30,8 @@ NAMED = (
     + r"((?<=\")[^\"\r\n]+(?=\")|(?<=')[^'\r\n]+(?=')|(?<=`)[^`\r\n]+(?=`)|(?<![\"'`])[^\s\"'`]*[^\s\"'`,;.)\]}])"
 )
 SAMPLE_PATH = r"(?i)\b(tests?|examples?|samples?|mocks?|fixtures?|docs?|demo)\b"
+#: Beginnings that issuers give to their tokens.
+ISSUER = r"(?i)^(gh[po]_|akia|xox[bp]-|sk_live_|glpat-|eyj)"
 WHOLE_WORD = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
 MASK = "[SECRET]"
 
@@ -38,14 +40,18 @@ LABELLED = 20_000
 #: The dictionary holds the words found in this share of all documents, so their number is
 #: bounded by the distinct words of a document over the share, whatever the number of documents.
 DICTIONARY_SHARE = 0.005
-TREES, DEPTH = 24, 6
+TREES, DEPTH = 32, 10
+#: Texts that findings are planted in, to learn from: every form once in each.
+CONTEXTS = 400
+#: One in so many of the planted findings is held out to measure by.
+HELD_OUT = 4
 THRESHOLD = 0.5
 
 FEATURES = [
     "length", "digits", "uppers", "vowels", "hexes", "variety", "marks",
     "turns", "letter_digit", "digit_letter", "lower_upper", "same_class",
     "covered", "key_before", "key_near", "assigned", "quoted", "words_near",
-    "in_url", "dotted", "has_at", "has_slash", "sample_path",
+    "in_url", "dotted", "has_at", "has_slash", "issuer", "sample_path",
 ]
 
 
@@ -167,24 +173,131 @@ def features(found: DataFrame, words: DataFrame | list[str]) -> DataFrame:
         "dotted": c.rlike(r"\."),
         "has_at": c.rlike("@"),
         "has_slash": c.rlike("/"),
+        "issuer": c.rlike(ISSUER),
         "sample_path": F.col("path").rlike(SAMPLE_PATH),
     }
     return joined.select(*[found[k] for k in found.columns if k != "candidate"], c, *[v.cast("double").alias(k) for k, v in columns.items()])
 
 
-def rule_label() -> Column:
-    """A label where surroundings and shape leave no doubt, else NULL: 1 a credential, 0 a false positive.
+def _forms(seed: Column, words: Column) -> list[tuple[str, int, Column, Column, str]]:
+    """(form, label, what stands before, value, what stands after) of the findings to plant.
 
-    1: assigned in quotes to a credential's name, 16 or more characters, neither address nor
-    prose, outside sample material. 0: numbers, addresses of hosts and mail, dictionary words;
-    words assigned in quotes to a credential's name may be a passphrase and get no label.
+    ``seed`` gives the random characters, ``words`` are words of the text around.
     """
-    c = F.col("candidate")
-    plain = ~c.rlike(r"[@.]") & (F.col("covered") < 0.3) & (F.col("sample_path") == 0)
-    given = (F.col("key_before") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 1)
-    sure = given & (F.col("length") >= 16) & plain
-    false = c.rlike(r"^[0-9.+/_-]+$") | c.rlike(r"@.+\.") | (F.col("in_url") == 1) | ((F.col("covered") >= 0.6) & ~given)
-    return F.when(sure, 1).when(false, 0)
+
+    def drawn(n: int, salt: str, kind: str = "alnum") -> Column:
+        digest = F.sha2(F.concat_ws(":", seed, F.lit(salt)), 512)
+        if kind == "hex":
+            return F.left(digest, F.lit(n))
+        if kind == "digits":
+            return F.left(F.translate(digest, "abcdef", "193847"), F.lit(n))
+        coded = F.base64(F.unhex(digest))
+        if kind == "base64":
+            return F.left(coded, F.lit(n))
+        plain = F.left(F.regexp_replace(coded, "[^A-Za-z0-9]", ""), F.lit(n))
+        return F.upper(plain) if kind == "upper" else plain
+
+    def one_of(salt: str, *names: str) -> Column:
+        return F.array(*[F.lit(n) for n in names])[F.pmod(F.xxhash64(seed, F.lit(salt)), F.lit(len(names))).cast("int")]
+
+    name = one_of("name", "token", "secret", "api_key", "password", "access_key", "auth_token", "client_secret", "credential")
+    number = lambda salt: F.pmod(F.xxhash64(seed, F.lit(salt)), F.lit(256)).cast("string")
+    hyphened = F.concat_ws("-", F.slice(words, 1, 3))
+    join, text = F.concat, F.lit
+    return [
+        ("assigned hex in double quotes", 1, join(name, text(' = "')), drawn(40, "a", "hex"), '"'),
+        ("assigned letters in single quotes", 1, join(name, text(": '")), drawn(32, "b"), "'"),
+        ("environment line", 1, join(F.upper(name), text("=")), drawn(40, "c", "base64"), "\n"),
+        ("member of JSON", 1, join(text('"'), name, text('":"')), drawn(32, "d", "hex"), '",'),
+        ("bearer", 1, text("Authorization: Bearer "), join(text("eyJ"), drawn(20, "e"), text("."), drawn(40, "f"), text("."), drawn(30, "g")), ""),
+        ("token of a code host", 1, one_of("h", "use ", "with ", "", "clone by "), join(text("ghp_"), drawn(36, "h")), ""),
+        ("key id of a cloud", 1, one_of("i", "key ", "as ", "", "id "), join(text("AKIA"), drawn(16, "i", "upper")), ""),
+        ("live key of a payment service", 1, one_of("j", "pay ", "", "by "), join(text("sk_live_"), drawn(24, "j")), ""),
+        ("token of a chat service", 1, one_of("k", "bot ", "", "by "), join(text("xoxb-"), drawn(12, "k", "digits"), text("-"), drawn(24, "l")), ""),
+        ("password in an address", 1, join(one_of("m", "postgres", "mysql", "amqp", "https"), text("://admin:")), drawn(16, "m"), "@db.example.org/main"),
+        ("assigned passphrase", 1, join(one_of("n", "password", "passphrase", "passwd"), text(' = "')), hyphened, '"'),
+        ("assigned password", 1, join(one_of("o", "password", "pwd", "passwd"), text(': "')), drawn(12, "o"), '"'),
+        ("commit", 0, one_of("p", "commit ", "at ", "revision ", ""), drawn(40, "p", "hex"), ""),
+        ("checksum", 0, one_of("q", "sha256:", "checksum ", "md5 = "), drawn(64, "q", "hex"), ""),
+        ("entity tag", 0, one_of("r", 'etag: "', 'hash = "', 'digest="'), drawn(32, "r", "hex"), '"'),
+        ("unique id", 0, one_of("s", "id ", "request ", ""), join(drawn(8, "s", "hex"), text("-"), drawn(4, "t", "hex"), text("-4"), drawn(3, "u", "hex"), text("-"), drawn(12, "v", "hex")), ""),
+        ("long number", 0, one_of("w", "order ", "", "no. ", "tokens: "), drawn(16, "w", "digits"), ""),
+        ("host number", 0, one_of("x", "from ", "", "at "), join(text("1"), number("a"), text("."), number("b"), text(".10"), number("c"), text(".1"), number("d")), ""),
+        ("mail address", 0, one_of("y", "to ", "", "auth "), join(words[0], text("."), drawn(3, "y", "digits"), text("@mail"), drawn(1, "z", "digits"), text(".example.com")), ""),
+        ("time", 0, one_of("A", "on ", "", "token expires "), join(text("20"), drawn(2, "A", "digits"), text("-05-06T07:08:09.123Z")), ""),
+        ("page address", 0, one_of("B", "see ", "", "auth: "), join(text("https://www.example.org/"), F.concat_ws("/", F.slice(words, 1, 2)), text("/article-"), drawn(5, "B", "digits")), ""),
+        ("file name", 0, one_of("C", "in ", "", "secret in "), join(text("src/"), F.concat_ws("/", F.slice(words, 1, 2)), text("/module"), drawn(2, "C", "digits"), text(".py")), ""),
+        ("words with a number", 0, one_of("D", "", "the "), join(hyphened, text("-"), drawn(3, "D", "digits")), ""),
+        ("version", 0, one_of("E", 'version = "', 'release "'), join(text("1."), drawn(2, "E", "digits"), text(".3-beta4+build"), drawn(3, "F", "digits")), '"'),
+        ("placeholder", 0, join(name, text(' = "')), one_of("G", "YOUR_API_KEY_HERE", "changeme", "<your-token-1>", "xxxxxxxxxxxx1234", "your_password", "None", "********"), '"'),
+        ("reference", 0, join(name, text(" = ")), one_of("H", 'os.environ["DB_SECRET_1"]', "${API_TOKEN_1}", "config.get(name)", "settings.AUTH_TOKEN_2", "request.form.value1"), ""),
+        ("prose", 0, join(one_of("I", "token", "password", "credentials", "secret", "authentication"), text(": ")), words[0], " "),
+    ]
+
+
+def planted(docs: DataFrame, path: str | None = None, contexts: int = CONTEXTS) -> DataFrame:
+    """Findings whose label is known because they were put there, with the columns of ``candidates``.
+
+    Credentials and false positives of every form of ``_forms`` are put into pieces of up to
+    ``contexts`` of the texts, picked by a hash; one text in eight is in capitals. A credential
+    in sample material (SAMPLE_PATH) counts as a false positive; one in eight is given such a
+    path. More columns: form, label, and held_out for one finding in HELD_OUT.
+    """
+    text, place = docs["text"], F.xxhash64(docs["text"])
+    at = F.pmod(place, F.greatest(F.length(text) - 100, F.lit(1))) + 1
+    where = F.coalesce(docs[path].cast("string"), F.lit("")) if path else F.lit("")
+    # A hash of the text picks about 20 rows for each wanted one; copies then count once.
+    few = F.pmod(place, F.lit(1 << 40)) < min(1.0, 20 * contexts / max(1, docs.count())) * (1 << 40)
+    pieces = (
+        docs.filter(text.isNotNull() & few)
+        .select(place.alias("place"), F.substring(text, at.cast("int"), F.lit(100)).alias("piece"), where.alias("path"))
+        .distinct()
+        .orderBy("place", "piece", "path")
+        .limit(contexts)
+    )
+    cut = pieces.select(
+        "place",
+        "path",
+        F.regexp_replace(F.left("piece", F.lit(60)), r"\S*$", "").alias("l"),
+        F.regexp_replace(F.substring("piece", 61, 40), r"^\S*", "").alias("r"),
+    )
+    words = F.concat(F.regexp_extract_all("l", F.lit(r"(?<!\p{L})\p{L}{3,12}(?!\p{L})"), F.lit(0)), F.array(*[F.lit(w) for w in ("winter", "table", "paper")]))
+    forms = [
+        F.struct(F.lit(f).alias("form"), F.lit(y).alias("label"), before.alias("lead"), value.alias("value"), F.lit(after).alias("tail"))
+        for f, y, before, value, after in _forms(F.concat_ws("|", "place", "l"), words)
+    ]
+    rows = cut.select("place", "path", "l", "r", F.inline(F.array(*forms)))
+    draw = F.xxhash64("place", "l", "form")
+    whole = F.concat("l", "lead", "value", "tail", "r")
+    sample = F.pmod(draw, F.lit(8)) == 1
+    texts = rows.select(
+        draw.alias("doc_id"),
+        F.when(F.pmod(draw, F.lit(64)) < 8, F.upper(whole)).otherwise(whole).alias("text"),
+        F.when(sample, F.concat("path", F.lit(" tests/fixtures"))).otherwise(F.col("path")).alias("path"),
+        "form",
+        "label",
+        (F.length("l") + F.length("lead")).alias("first"),
+        F.length("value").alias("size"),
+    )
+    keys = ("doc_id", "form", "label", "first", "size")
+    found = candidates(settled(texts), "path", keys)
+    shared = F.least(F.col("start") + F.length("candidate"), F.col("first") + F.col("size")) - F.greatest("start", "first")
+    judged = F.when(F.col("path").rlike(SAMPLE_PATH), 0).otherwise(F.col("label"))
+    return (
+        found.filter(2 * shared >= F.col("size"))
+        .withColumn("label", judged)
+        .withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(HELD_OUT)) == 0)
+        .drop("first", "size")
+    )
+
+
+def planted_quality(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """(form, label, findings, flagged) of the held-out planted findings, by the forest of the others."""
+    known = settled(features(settled(planted(docs, path)), dictionary(docs)))
+    model = train(known.filter("NOT held_out"))
+    tested = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(known.filter("held_out"))
+    flagged = vector_to_array(F.col("probability"))[1] >= THRESHOLD
+    return model.transform(tested).groupBy("form", "label").agg(F.count(F.lit(1)).alias("findings"), F.count_if(flagged).alias("flagged"))
 
 
 def train(labelled: DataFrame, bound: int = LABELLED) -> RandomForestClassificationModel | None:
@@ -208,22 +321,22 @@ def train(labelled: DataFrame, bound: int = LABELLED) -> RandomForestClassificat
 def scan(docs: DataFrame, path: str | None = None, labelled: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(doc_id, start, length, candidate, score, is_secret), one row per candidate; ``keys`` as in ``candidates``.
 
-    ``labelled`` (doc_id, start, label) names findings of these texts that people judged; without it
-    rule_label gives the labels that leave no doubt. The forest scores every candidate, those
-    included. Without both labels there is nothing to learn from: the score is then 1 for
-    candidates whose rule label is 1 and else 0. Texts that are NULL, empty or without
-    candidates give no row; a repeated row gives its rows again; a NULL doc_id stays NULL. Other
-    columns are not read.
+    ``labelled`` (doc_id, start, label) names findings of these texts that people judged; without
+    it, or if it lacks one of the labels, the forest learns from ``planted`` findings, whose
+    labels owe nothing to the features. The forest scores every candidate. If there is no text
+    to plant in, all scores are 0. Texts that are NULL, empty or without candidates give no row;
+    a repeated row gives its rows again; a NULL doc_id stays NULL. Other columns are not read.
     """
+    words = settled(dictionary(docs))
     found = settled(candidates(docs, path, keys))
-    known = features(found, dictionary(docs))
-    if labelled is None:
-        taught = known.withColumn("label", rule_label())
-    else:
-        taught = known.join(labelled.select("doc_id", "start", "label").distinct(), ["doc_id", "start"])
-    model = train(taught)
+    known = features(found, words)
+    model = None
+    if labelled is not None:
+        model = train(known.join(labelled.select("doc_id", "start", "label").distinct(), ["doc_id", "start"]))
+    if model is None:
+        model = train(features(settled(planted(docs, path)), words).filter("NOT held_out"))
     if model is None:
-        scored = known.withColumn("score", F.coalesce(rule_label(), F.lit(0)).cast("double"))
+        scored = known.withColumn("score", F.lit(0.0))
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(known)
         scored = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])

@@ -3,7 +3,7 @@
 import random
 import re
 
-from factloom.llm.secret_scan import MASK, candidates, cut_out, dictionary, features, scan, without_secrets
+from factloom.llm.secret_scan import MASK, candidates, cut_out, dictionary, features, planted_quality, scan, without_secrets
 from tests.llm.conftest import ODD_TEXTS
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_.@-]{12,}(?![A-Za-z0-9+/_.@-])={0,2}")
@@ -91,7 +91,7 @@ def test_forest_on_texts_it_did_not_see(spark, documents):
     assert len(wrong) <= 0.02 * len(rows)
 
 
-def test_rules_teach_where_no_labels_are_given_and_texts_are_masked(documents):
+def test_planted_findings_teach_where_no_labels_are_given_and_texts_are_masked(documents):
     chance = random.Random(15)
     texts = [(k, *made(chance, k)) for k in range(90)]
     docs = documents([(k, t) for k, t, _ in texts] + [(None, "no id"), (500, None)], extra=True)
@@ -144,3 +144,20 @@ def test_odd_rows(documents):
     assert {r["doc_id"]: r["is_secret"] for r in rows}[21]
     assert scan(documents([])).count() == 0
     assert features(candidates(documents([])), []).count() == 0
+
+
+def test_precision_and_recall_by_form(documents):
+    """On planted findings that the forest did not learn from: all forms of both labels, in texts of several kinds."""
+    chance = random.Random(19)
+    docs = documents([(k, made(chance, k)[0]) for k in range(400)])
+    rows = planted_quality(docs).collect()
+    found = {(r["form"], r["label"]): (r["findings"], r["flagged"]) for r in rows}
+    print(sorted(found.items(), key=str))
+    secret = {f: v for (f, y), v in found.items() if y == 1}
+    false = [v for (_, y), v in found.items() if y == 0]
+    assert len(secret) == 12
+    for form, (n, flagged) in secret.items():
+        assert n >= 20 and flagged >= 0.9 * n, form
+    caught, wrong = sum(f for _, f in secret.values()), sum(f for _, f in false)
+    assert caught / (caught + wrong) >= 0.9
+    assert wrong <= 0.05 * sum(n for n, _ in false)
