@@ -197,8 +197,8 @@ def _(s):
     FROM vec n, vec o) WHERE rank <= 5""",
 )
 def _(s):
-    """The 5 vectors nearest to every vector of the table."""
-    found = embeddings.knn(s.vec, s.vec.select(c("vec_id").alias("query_id"), "embedding"), 5)
+    """The 5 vectors nearest to every vector of the table, by cells around pivots."""
+    found, _ = embeddings.knn_search(s.vec, s.vec.select(c("vec_id").alias("query_id"), "embedding"), 5)
     return found.withColumn("similarity", F.round(c("similarity").cast("decimal(20,10)"), 6).cast("double"))
 
 

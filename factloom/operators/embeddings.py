@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from factloom.functions.numeric import round_exact
 from factloom.functions.vectors import cosine, dot, unit
 from factloom.plans.frontier import written
+from factloom.plans.sizes import rows_if_small
 
 OK_ABOVE = 0.85
 WARN_ABOVE = 0.70
@@ -348,7 +349,7 @@ def knn_search(
     gives its best ``k`` per query. Vectors of cells that no query needs are not moved.
 
     The first table is that of ``knn``. The second has one row per query: its ``cells_looked``
-    out of ``cells``, and ``vectors_looked`` out of ``vectors``.
+    out of ``cells``, and ``vectors_looked`` out of ``vectors``. ``query_col`` is unique.
     """
     asked = queries.select(query_col, "embedding").filter(F.col("embedding").isNotNull())
     wanted = vectors.select(id_col, "embedding").filter(F.col("embedding").isNotNull())
@@ -392,10 +393,58 @@ def knn_search(
     return found.select(query_col, id_col, "similarity", "rank"), looks
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", query_col: str = "query_id", **sizes) -> DataFrame:
-    """The exact ``k`` nearest vectors by cosine of every query, with their rank (see ``knn_search``).
+def _scanned(vectors: DataFrame, few: list, id_col: str, query_col: str, query_type: str, k: int) -> DataFrame:
+    """The best ``k`` of every task for each of the queries ``few``, in one pass that moves no vector."""
+    import numpy as np
+    import pandas as pd
+
+    block = pd.DataFrame({"q": [r[query_col] for r in few], "embedding": [r["embedding"] for r in few]})
+    matrix, usable = _unit_rows(block["embedding"]) if len(block) else (None, [])
+    names = block["q"][usable].tolist() if len(block) else []
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        kept = [(np.empty(0), np.empty(0, dtype=object))] * len(names)
+        for batch in batches:
+            if not len(batch) or not names:
+                continue
+            rows, good = _unit_rows(batch["embedding"])
+            ids = batch[id_col].to_numpy()[good]
+            scores = np.round(matrix @ rows.T, SIMILARITY_PLACES)
+            kept = [
+                _best(np.concatenate([score, new]), np.concatenate([who, ids]), k)
+                for (score, who), new in zip(kept, scores)
+            ]
+        part = TaskContext.get().partitionId()
+        for name, (score, who) in zip(names, kept):
+            if len(score):
+                yield pd.DataFrame({query_col: name, id_col: who, "similarity": score, "_part": part})
+
+    id_type = vectors.schema[id_col].dataType.simpleString()
+    return vectors.mapInPandas(scan, f"`{query_col}` {query_type}, `{id_col}` {id_type}, similarity double, _part int")
+
+
+def knn(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    id_col: str = "vec_id",
+    query_col: str = "query_id",
+    block_queries: int = BLOCK_QUERIES,
+    block_vectors: int = BLOCK_VECTORS,
+) -> DataFrame:
+    """The exact ``k`` nearest vectors by cosine of every query, with their rank.
 
+    Up to ``block_queries`` queries go to every task and one pass over the vectors answers them,
+    which is less than building cells would cost; more queries are answered by ``knn_search``.
     ``query_col`` is unique. Zero, NULL and non-finite vectors are not neighbours and get none;
     ranks of equal similarity go by id.
     """
-    return knn_search(vectors, queries, k, id_col, query_col, **sizes)[0]
+    asked = queries.select(query_col, "embedding").filter(F.col("embedding").isNotNull())
+    few = rows_if_small(asked, block_queries)
+    if few is None:
+        return knn_search(vectors, queries, k, id_col, query_col, block_queries, block_vectors)[0]
+    wanted = vectors.select(id_col, "embedding").filter(F.col("embedding").isNotNull())
+    found = _scanned(wanted, few, id_col, query_col, asked.schema[query_col].dataType.simpleString(), k)
+    return _ranked(found, k, id_col, query_col).select(query_col, id_col, "similarity", "rank")
