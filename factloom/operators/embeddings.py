@@ -353,7 +353,8 @@ def knn_search(
     """
     asked = queries.select(query_col, "embedding").filter(F.col("embedding").isNotNull())
     wanted = vectors.select(id_col, "embedding").filter(F.col("embedding").isNotNull())
-    middle = _pivots(wanted, id_col, pivots)
+    # Cells much smaller than a block would cost more than they spare.
+    middle = _pivots(wanted, id_col, max(1, min(pivots, -(-wanted.count() * 8 // block_vectors))))
     placed = written(_placed(wanted, id_col, middle))
     cells = _cells(placed, middle)
     counts = dict(zip(cells[0].tolist(), cells[3].tolist()))
