@@ -1,30 +1,13 @@
-"""Token ids of whole texts by a public byte-level BPE file, with repeated words encoded once."""
+"""Reading of public byte-level BPE files."""
 
 from __future__ import annotations
 
 import json
 import os
-import re
-from array import array
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-
-#: Words whose ids a task remembers; beyond that it forgets all and goes on.
-REMEMBERED = 800_000
-#: Between tasks only words up to this length are remembered; they come back most.
-SHORT = 9
 #: Words given to the library at once.
 AT_ONCE = 8_192
 
-#: A blank that other white space or the end of the text follows.
-BLANK_IN_A_RUN = r" (?:[\s\p{Z}\x{85}\x0b\x1c-\x1f]|$)"
-PLAIN = re.compile(r" ?\S+")
-STOPS = (".", ",")
-
-_ENCODERS: dict[str, Encoder] = {}
-
 
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
@@ -36,92 +19,3 @@ def load(path: str):
 def special_strings(path: str) -> list[str]:
     with open(path, encoding="utf-8") as file:
         return [t["content"] for t in json.load(file)["added_tokens"]]
-
-
-def encoder(path: str) -> Encoder:
-    """One per worker process, so what it remembers serves all tasks that the process runs."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
-class Encoder:
-    """Ids as little-endian 32-bit bytes.
-
-    The file's pattern starts a new piece at every blank before a visible character, whatever
-    stands before it. So a text may be cut there, its parts encoded alone, and their ids
-    joined. The same holds between a letter or digit and a full stop or comma. Texts with other
-    blanks, or with a special token's string, are given to the library whole.
-    """
-
-    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
-        self.library = load(path)
-        self.special = special_strings(path)
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: pa.StringArray) -> list[bytes]:
-        """The ids of each text; NULL counts as empty."""
-        texts = pc.fill_null(texts, "")
-        whole = pc.match_substring_regex(texts, BLANK_IN_A_RUN)
-        for string in self.special:
-            whole = pc.or_(whole, pc.match_substring(texts, string))
-        whole = whole.to_numpy(zero_copy_only=False)
-        cut = iter(self.by_words(texts.filter(pa.array(~whole))))
-        rest = iter(self.whole(texts.filter(pa.array(whole)).to_pylist()))
-        return [next(rest) if w else next(cut) for w in whole.tolist()]
-
-    def by_words(self, texts: pa.StringArray) -> list[bytes]:
-        """Ids of texts in which every blank stands alone: cut at blanks, each distinct word looked up once."""
-        lists = pc.split_pattern(texts, " ")
-        bounds = lists.offsets.to_numpy().astype(np.int64)
-        parts = lists.flatten().dictionary_encode()
-        codes = parts.indices.to_numpy().astype(np.int64) + len(parts.dictionary)
-        codes[bounds[:-1]] -= len(parts.dictionary)  # words that begin a text have no blank before them
-        used, places = np.unique(codes, return_inverse=True)
-        words = parts.dictionary.to_pylist()
-        keys = [words[c] if c < len(words) else " " + words[c - len(words)] for c in used.tolist()]
-        self.learn(set(keys))
-        found = [self.known[k] for k in keys]
-        ids = np.frombuffer(b"".join(found), dtype="<u4")
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        firsts = np.cumsum(sizes) - sizes
-        size = sizes[places]
-        ends = np.cumsum(size)
-        out = ids[np.repeat(firsts[places] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
-        cuts = (np.concatenate([[0], ends])[bounds] * 4).tolist()
-        return [out[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def learn(self, needed: set[str]) -> None:
-        new = needed.difference(self.known)
-        if len(self.known) + len(new) > self.remembered:
-            self.known, new = {}, needed
-        stopped = [p for p in new if p[-1:] in STOPS and p[-2:-1].isalnum()]
-        single = new.difference(stopped)
-        single.update([p[:-1] for p in stopped], STOPS)
-        single.difference_update(self.known)
-        # A line end is a piece of its own before a blank and a word, so words go in as lines.
-        lines = [p for p in single if PLAIN.fullmatch(p)]
-        rest = list(single.difference(lines))
-        self.known.update(zip(rest, self.whole(rest), strict=True))
-        end = self.library.encode("\n", add_special_tokens=False).ids
-        for k in range(0, len(lines), AT_ONCE):
-            some = lines[k : k + AT_ONCE]
-            ids = np.frombuffer(self.whole(["\n".join(some)])[0], dtype="<u4")
-            cuts = np.flatnonzero(ids == end[0])
-            if len(end) != 1 or len(cuts) != len(some) - 1:
-                self.known.update(zip(some, self.whole(some), strict=True))
-                continue
-            whole, begins, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            self.known.update((p, whole[a:b]) for p, a, b in zip(some, begins, ends, strict=True))
-        known = self.known
-        known.update([(p, known[p[:-1]] + known[p[-1]]) for p in stopped])
-
-    def rest(self) -> None:
-        """Give memory back at the end of a task; the worker may do other work next."""
-        self.known = {k: v for k, v in self.known.items() if len(k) <= SHORT}
-        pa.default_memory_pool().release_unused()
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]

@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.bpe import encoder
 from factloom.llm.text import slices, texts_of
+from factloom.llm.token_ids import alike, encoder
 from factloom.plans.frontier import settled
 
 WINDOW = 1024
@@ -94,8 +94,10 @@ def windows_of(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     full windows; with the task's number they make ranks that need no sort.
     """
 
+    held = docs.sparkSession.sparkContext.broadcast(alike(path))  # bounded by the vocabulary
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(path).encode, TaskContext.get().partitionId()
+        encode, part = encoder(held.value).encode, TaskContext.get().partitionId()
         seen = [0] * window
         full = 0
         for batch in batches:
@@ -115,7 +117,7 @@ def windows_of(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
                     [some.column("doc_id"), *columns, pa.array(checks, pa.list_(pa.int64()))],
                     names=["doc_id", "part", "doc_tokens", "nth", "full_before", "checks"],
                 )
-        encoder(path).rest()
+        pa.default_memory_pool().release_unused()
 
     kind = "doc_id long, part int, doc_tokens long, nth long, full_before long, checks array<long>"
     return texts_of(docs).mapInArrow(run, kind)
