@@ -30,33 +30,50 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Roots that one row of a walk carries, as the bits of a long.
+ROOTS_A_ROW = 64
+
+
 def reach(seeds: DataFrame, links: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, node, depth) for every node that can be reached from each root, at its least depth.
 
     ``seeds`` has (root, node), at depth 0; ``links`` has (_from, _to). Without ``max_depth``
     the walk goes on until a step finds nothing new, so cycles end. With it, a column ``cut``
-    tells which nodes at that depth have links onward. Each step is written beside those
-    before it and joined with all of them, so a node is carried on once.
+    tells which nodes at that depth have links onward.
+
+    Roots are numbered, and a row of the walk is a node with the 64 roots of one block as bits:
+    a step joins nodes, however many roots have come to them, and leaves out the bits that were
+    there before. Each step is written beside those before it; bits become rows at the end.
     """
     spark = seeds.sparkSession
     links = written(links.select("_from", "_to").distinct())
     folder = f"{shared_folder(spark)}/walk-{uuid.uuid4().hex}"
-    level = written(seeds.select("root", "node").distinct(), f"{folder}/depth=0")
+    # Written, so that a task run again finds the same numbers.
+    numbered = written(seeds.select("root").distinct().withColumn("_id", F.monotonically_increasing_id()))
+    own = F.expr(f"shiftleft(1L, cast(_id % {ROOTS_A_ROW} AS int))")
+    first = seeds.select(F.col("root").alias("_root"), "node").join(numbered, F.col("_root").eqNullSafe(F.col("root")))
+    block = F.expr(f"_id DIV {ROOTS_A_ROW}").alias("block")
+    level = written(first.groupBy(block, "node").agg(F.bit_or(own).alias("bits")), f"{folder}/depth=0")
     kind = T.StructType([*level.schema.fields, T.StructField("depth", T.IntegerType())])  # depth is in the folder's name
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        seen = spark.read.schema(kind).parquet(folder)
+        seen = spark.read.schema(kind).parquet(folder).groupBy("block", "node").agg(F.bit_or("bits").alias("_seen"))
         found = (
             level.join(links, level["node"] == links["_from"])
-            .select("root", F.col("_to").alias("node"))
-            .distinct()
-            .join(seen, ["root", "node"], "left_anti")
+            .groupBy("block", F.col("_to").alias("node"))
+            .agg(F.bit_or("bits").alias("bits"))
+            .join(seen, ["block", "node"], "left")
+            .select("block", "node", F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0)))).alias("bits"))
+            .filter("bits <> 0")
         )
         level = written(found, f"{folder}/depth={depth}")
         if level.isEmpty():
             break
-    reached = spark.read.schema(kind).parquet(folder)
+    places = F.expr(f"filter(sequence(0, {ROOTS_A_ROW - 1}), p -> getbit(bits, p) = 1)")
+    by_id = spark.read.schema(kind).parquet(folder).select("block", "node", "depth", F.explode(places).alias("_place"))
+    by_id = by_id.select((F.col("block") * ROOTS_A_ROW + F.col("_place")).alias("_id"), "node", "depth")
+    reached = by_id.join(numbered, "_id").select("root", "node", "depth")
     if max_depth is None:
         return reached
     onward = links.select(F.col("_from").alias("node"), F.lit(True).alias("_on")).distinct()
