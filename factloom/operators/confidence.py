@@ -80,15 +80,13 @@ def provenance_chain(prov: DataFrame, fact_ids: DataFrame, max_depth: int | None
     """
     links = prov.select(F.col("fact_id").alias("_from"), F.explode("input_fact_ids").alias("_to"))
     seeds = fact_ids.select(F.col("fact_id").alias("root"), F.col("fact_id").alias("node"))
-    reached = reach(seeds, links, max_depth).withColumnsRenamed({"root": "root_fact_id", "node": "fact_id"})
-    return reached.join(prov, "fact_id").select(
+    told = ["source_type", "source_document", "transform_name", "derivation_depth"]
+    reached = reach(seeds, links, max_depth, prov.select(F.col("fact_id").alias("node"), *told))
+    return reached.withColumnsRenamed({"root": "root_fact_id", "node": "fact_id"}).select(
         "root_fact_id",
         "fact_id",
         "depth",
-        "source_type",
-        "source_document",
-        "transform_name",
-        "derivation_depth",
+        *told,
         *(["cut"] if max_depth is not None else []),
     )
 

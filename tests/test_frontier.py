@@ -3,6 +3,7 @@
 import random
 from collections import deque
 
+from factloom.plans import frontier
 from factloom.plans.frontier import reach
 
 
@@ -54,3 +55,29 @@ def test_no_links_and_no_seeds(spark):
 def test_a_root_without_a_name(spark):
     got = walk(spark, [(None, 1), (4, None)], [(1, 2)])
     assert {tuple(r) for r in got} == {(None, 1, 0), (None, 2, 1), (4, None, 0)}
+
+
+def test_roots_that_start_at_one_hub_share_rows(spark, monkeypatch):
+    """Ten hubs with 64 roots each that lead to 30 nodes: as many rows as nodes, not roots or blocks times nodes."""
+    sizes = []
+    plain_written = frontier.written
+
+    def counted(df, path=None):
+        out = plain_written(df, path)
+        if path:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(frontier, "written", counted)
+    seeds = [(r, r) for r in range(640)]
+    links = [(r, 1000 + r % 10) for r in range(640)] + [(1000 + h, 2000 + 30 * h + i) for h in range(10) for i in range(30)]
+    got = walk(spark, seeds, links, 2)
+    assert {(r["root"], r["node"], r["depth"]) for r in got} == plain(seeds, links, 2)[0]
+    assert sizes[0] == 640 and sizes[1] <= 3 * 10 and sizes[2] <= 3 * 300
+
+
+def test_columns_of_the_nodes_come_along(spark):
+    about = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "node int, name string")
+    seeds = spark.createDataFrame([(9, 1), (9, 5)], "root int, node int")
+    got = reach(seeds, spark.createDataFrame([(1, 2), (2, 3)], "_from int, _to int"), about=about)
+    assert sorted(tuple(r) for r in got.collect()) == [(9, 1, 0, "a"), (9, 2, 1, "b"), (9, 2, 1, "c")]
