@@ -23,7 +23,8 @@ def lineage_trace(
 
     Every path counts: ``paths`` tells by how many a step is reached at that depth, and a cycle
     repeats until the depth limit. ``cut`` marks steps at the limit that go on beyond it. The
-    walk carries one row per (root, node), however many paths there are.
+    walk carries one row per (root, node), however many paths there are. The lineage grows with
+    the catalogue, so it is joined by sorting and never sent to the driver.
     """
     here, there = ("target", "source") if direction == "up" else ("source", "target")
     node = [f"{here}_table", f"{here}_column"]
@@ -40,7 +41,7 @@ def lineage_trace(
 
     def step(level: DataFrame, depth: int) -> DataFrame:
         return (
-            level.join(links, node)
+            level.join(links.hint("merge"), node)
             .groupBy(
                 "root_table",
                 "root_column",
@@ -53,7 +54,7 @@ def lineage_trace(
 
     walked = expand(seed, step, max_depth)
     onward = links.select(*[F.col(n).alias(a) for n, a in zip(node, away, strict=True)], F.lit(True).alias("_on")).distinct()
-    rows = walked.join(lineage, node).join(onward, away, "left")
+    rows = walked.join(lineage.hint("merge"), node).join(onward.hint("merge"), away, "left")
     return rows.select(
         "root_table",
         "root_column",
