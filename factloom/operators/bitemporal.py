@@ -59,8 +59,9 @@ def bt_asof(
     level that holds its ``known_at``, and within a node the latest start is carried forward in
     valid time. So a version gives about as many rows as the recorded time has bits (in days
     or seconds if all times are whole ones), no request meets more than one version per level,
-    and there is no range join. Rows without key, valid_from, recorded_from, or a time asked
-    find nothing.
+    and there is no range join. Keys whose pairs of version and request are no more than these
+    rows would be, and fit one piece, are answered by the pairs. Rows without key, valid_from,
+    recorded_from, or a time asked find nothing.
     """
     times = ["recorded_from", "recorded_to"]
     micros = {c: position(versions, c) for c in times}
@@ -87,27 +88,40 @@ def bt_asof(
     order = ["valid_from", "recorded_from", *tiebreak]
     version = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col("valid_to").alias("valid_to"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(take)])
     stop = F.coalesce(tick(micros["recorded_to"]), F.lit(end + 1))
-    line = named(versions).filter(F.col("valid_from").isNotNull() & (F.col("recorded_to").isNull() | (micros["recorded_from"] < micros["recorded_to"])))
-    line = line.select(
-        *keys,
-        F.explode(interval_nodes(tick(micros["recorded_from"]), stop, levels)).alias("_n"),
-        F.col("valid_from").alias("_at"),
-        F.lit(0).alias("_side"),
-        F.lit(None).cast("long").alias("_request"),
-        version.alias("_version"),
-    )
+    believed = named(versions).filter(F.col("valid_from").isNotNull() & micros["recorded_from"].isNotNull() & (F.col("recorded_to").isNull() | (micros["recorded_from"] < micros["recorded_to"])))
     known = named(numbered).filter(F.col(valid_at).isNotNull() & (asked >= 0))
-    questions = known.select(
-        *keys,
-        F.explode(point_nodes(F.least(asked, F.lit(end)), levels)).alias("_n"),
-        F.col(valid_at).cast(versions.schema["valid_from"].dataType).alias("_at"),
-        F.lit(1).alias("_side"),
-        "_request",
-        F.lit(None).cast(line.schema["_version"].dataType).alias("_version"),
-    )
-    rows = line.unionByName(questions).select(*keys, F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"), "_at", "_side", "_request", "_version")
-    carried = carried_forward(rows, [*keys, "_level", "_node"], ["_at", "_side", "_version", "_request"], "_version", rows_per_piece=rows_per_piece)
-    answers = carried.filter("_side = 1").groupBy("_request").agg(F.max("_version").alias("_version"))
+    at = F.col(valid_at).cast(versions.schema["valid_from"].dataType)
+    pairs = F.col("_v") * F.col("_q")
+    few = pairs <= F.least(F.lit(rows_per_piece), (F.col("_v") + F.col("_q")) * F.lit(2 * levels))
+    per_key = lambda df, n: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    counts = written(per_key(believed, "_v").join(per_key(known, "_q"), keys).select(*keys, few.alias("_few")))
+
+    near = believed.select(*keys, F.col("valid_from").alias("_from"), micros["recorded_from"].alias("_low"), micros["recorded_to"].alias("_high"), version.alias("_version"))
+    asking = known.join(counts.filter("_few"), keys, "left_semi").select(*keys, "_request", at.alias("_at"), position(numbered, known_at).alias("_known"))
+    held = (F.col("_from") <= F.col("_at")) & (F.col("_low") <= F.col("_known")) & (F.col("_high").isNull() | (F.col("_high") > F.col("_known")))
+    answers = asking.join(near, keys).filter(held).groupBy(*keys, "_request").agg(F.max("_version").alias("_version")).select("_request", "_version")
+
+    many = counts.filter("NOT _few")
+    if not many.isEmpty():
+        line = believed.join(many, keys, "left_semi").select(
+            *keys,
+            F.explode(interval_nodes(tick(micros["recorded_from"]), stop, levels)).alias("_n"),
+            F.col("valid_from").alias("_at"),
+            F.lit(0).alias("_side"),
+            F.lit(None).cast("long").alias("_request"),
+            version.alias("_version"),
+        )
+        questions = known.join(many, keys, "left_semi").select(
+            *keys,
+            F.explode(point_nodes(F.least(asked, F.lit(end)), levels)).alias("_n"),
+            at.alias("_at"),
+            F.lit(1).alias("_side"),
+            "_request",
+            F.lit(None).cast(line.schema["_version"].dataType).alias("_version"),
+        )
+        rows = line.unionByName(questions).select(*keys, F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"), "_at", "_side", "_request", "_version")
+        carried = carried_forward(rows, [*keys, "_level", "_node"], ["_at", "_side", "_version", "_request"], "_version", rows_per_piece=rows_per_piece)
+        answers = answers.unionByName(carried.filter("_side = 1").groupBy("_request").agg(F.max("_version").alias("_version")))
     open_still = F.col("_version.valid_to").isNull() | (F.col("_version.valid_to") > F.col(valid_at))
     hit = F.when(open_still, F.col("_version"))
     return numbered.join(answers, "_request", "left").select(
