@@ -3,7 +3,8 @@
 Tokens are ordered from rare to common. Two sets that share enough tokens share two of the
 first few in that order, so only sets with a pair of such tokens in common are compared. Sets
 beyond LONG tokens are found by single tokens, as their first ones are rare and pairs many;
-sets near that size take part in both. Equal sets are one set. Candidates are checked exactly.
+sets near that size take part in both. Equal sets are one set. Candidates are checked exactly;
+before their tokens are fetched, those go whose sketches prove them too far apart.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from factloom.functions.numeric import percent
 from factloom.plans.frontier import written
 
 LONG = 200
+#: Longs in the sketch of a set.
+WORDS = 16
 
 
 def tokens_of(text: Column) -> Column:
@@ -42,6 +45,18 @@ def distinct_sets(df: DataFrame, key: str, tokens: str) -> DataFrame:
     return rows.groupBy("tokens").agg(F.min("set_id").alias("set_id")).select("set_id", "tokens", F.size("tokens").alias("size"))
 
 
+def _sketches(each: DataFrame) -> DataFrame:
+    """(set_id, size, sketch) of tokens (set_id, size, token): per bit, whether an odd number of tokens hash to it.
+
+    A token that only one of two sets has changes one bit, so sketches differ in no more bits
+    than the sets do in tokens.
+    """
+    h = F.xxhash64("token")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.call_function("shiftright", h, F.lit(8)), F.lit(64)).cast("int"))
+    words = [F.coalesce(F.bit_xor(F.when(F.pmod(h, F.lit(WORDS)) == w, bit)), F.lit(0).cast("long")) for w in range(WORDS)]
+    return each.groupBy("set_id", "size").agg(F.array(*words).alias("sketch"))
+
+
 def near_sets(sets: DataFrame, threshold: float) -> DataFrame:
     """(low, high, overlap, similarity) of all pairs of ``sets`` with a Jaccard similarity of ``threshold`` or more.
 
@@ -66,6 +81,12 @@ def near_sets(sets: DataFrame, threshold: float) -> DataFrame:
     right_kind = F.col("a.kind") == F.when(F.col("b.size") <= LONG, 2).otherwise(1)
     met = a.join(b, (F.col("a.kind") == F.col("b.kind")) & (F.col("a.key") == F.col("b.key")) & smaller & alike & right_kind)
     pairs = met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
+    sketches = written(_sketches(each))
+    x, y = (sketches.select(F.col("set_id").alias(n), F.col("size").alias(f"{n}_size"), F.col("sketch").alias(f"{n}_sketch")) for n in ("x", "y"))
+    apart = sum((F.bit_count(F.col("x_sketch")[w].bitwiseXOR(F.col("y_sketch")[w])) for w in range(WORDS)), F.lit(0))
+    # Of n tokens in both sets together, no more than this may be in one only.
+    may = (F.col("x_size") + F.col("y_size")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    pairs = written(pairs.join(x, "x").join(y, "y").filter(apart <= may).select("x", "y"))
     x, y = (sets.select(F.col("set_id").alias(n), F.col("tokens").alias(f"{n}_tokens")) for n in ("x", "y"))
     both = pairs.join(x, "x").join(y, "y")
     shared = F.size(F.array_intersect("x_tokens", "y_tokens"))

@@ -72,3 +72,16 @@ def test_rate(spark):
     df = spark.createDataFrame(rows, "id long, text string, day string").withColumn("at", F.col("day").cast("timestamp_ntz"))
     got = [(str(r["week"]), r["rows"], r["repeats"], r["breach"]) for r in similarity.near_duplicate_rate(df, "id", "text", "at").orderBy("week").collect()]
     assert got == [("2024-01-01", 7, 3, False), ("2024-01-08", 7, 5, True), ("2024-01-15", 6, 4, False)]
+
+
+def test_sketches_differ_no_more_than_sets(spark):
+    chance = random.Random(6)
+    sets = [set(chance.sample(range(3000), chance.choice([1, 20, 300]))) for _ in range(30)]
+    sets += [s ^ {chance.randrange(3000)} for s in sets]
+    each = spark.createDataFrame([(k, len(s), f"w{t}") for k, s in enumerate(sets) for t in s], "set_id int, size int, token string")
+    bits = {r["set_id"]: r["sketch"] for r in similarity._sketches(each).collect()}
+    for a in bits:
+        for b in bits:
+            apart = sum(bin((x ^ y) % 2**64).count("1") for x, y in zip(bits[a], bits[b]))
+            different = len(sets[a] ^ sets[b])
+            assert apart <= different and apart >= min(different, 500) * 0.5
