@@ -35,18 +35,22 @@ def significant_rows(docs: DataFrame, threshold: float | None = 0.98, expire_s:
 
     def judge(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
         import numpy as np
+        import pandas as pd
 
         if state.hasTimedOut:
             state.remove()
             return
         newest = None
         for frame in frames:  # a key with very many documents comes in several frames
-            frame = frame.sort_values(["_at", "source_version", "_content"], na_position="first", kind="stable").tail(1)
-            place = (frame["_at"].iloc[0], frame["source_version"].iloc[0] or "", frame["_content"].iloc[0])
+            # Plain values: a table's own sort costs more than all the rest for the one or two rows of a key.
+            rows_of = zip(frame["_at"].tolist(), frame["source_version"].tolist(), frame["_content"].tolist())
+            ranks = [((at == at, at) if at == at else (False, 0.0), isinstance(v, str), v if isinstance(v, str) else "", x, i) for i, (at, v, x) in enumerate(rows_of)]
+            _, _, version, content, i = max(ranks)
+            place = (frame["_at"].iat[i], version, content)
             if newest is None or place > newest[0]:
-                newest = (place, frame)
-        (at, version, content), frame = newest
-        vector = np.asarray(frame["embedding"].iloc[0], float)
+                newest = (place, {c: frame[c].iat[i] for c in CARRIED})
+        (at, version, content), document = newest
+        vector = np.asarray(document["embedding"], float)
         now = time.time_ns() // 1_000_000
         old = state.get if state.exists else None
         if old is not None and expire_s and now - old[4] > expire_s * 1000:
@@ -66,7 +70,7 @@ def significant_rows(docs: DataFrame, threshold: float | None = 0.98, expire_s:
         if timed:
             state.setTimeoutDuration(expire_s * 1000)
         if reason:
-            yield frame[CARRIED].assign(reason=reason)
+            yield pd.DataFrame({c: [v] for c, v in {**document, "reason": reason}.items()})
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*CARRIED).schema)
     timeout = GroupStateTimeout.ProcessingTimeTimeout if timed else GroupStateTimeout.NoTimeout
