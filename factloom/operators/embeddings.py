@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions.numeric import round_exact
 from factloom.functions.vectors import cosine, dot, unit
-from factloom.plans.frontier import written
-from factloom.plans.sizes import rows_if_small
+from factloom.plans.frontier import settled, written
+from factloom.plans.sizes import bounded_batches, rows_if_small
 
 OK_ABOVE = 0.85
 WARN_ABOVE = 0.70
@@ -20,6 +20,9 @@ LEAST_SAMPLE = 10
 # A product of two blocks holds BLOCK_QUERIES x BLOCK_VECTORS numbers in one task.
 BLOCK_QUERIES = 1_024
 BLOCK_VECTORS = 10_000
+# Blocks lie in so many parts at least; a task holds the vectors of one part, of at most about PART_BYTES.
+QUERY_PARTS, LEAST_PARTS, PART_BYTES = 64, 4, 64 << 20
+PAIR_BYTES = 16 << 20
 # Pivots come from a sample of fixed size; there are at most PIVOTS x RINGS cells.
 PIVOTS, RINGS = 32, 8
 PIVOT_SAMPLE = 1_024
@@ -268,56 +271,152 @@ def _routed(asked: DataFrame, query_col: str, pivots, cells, k: int) -> DataFram
     )
 
 
-def _looked_up(
-    asked: DataFrame, placed: DataFrame, counts: dict[int, int], id_col: str, query_col: str, k: int,
-    query_blocks: int, block_vectors: int,
-) -> DataFrame:
-    """The best ``k`` of every (query, block of a cell), by one product per block of queries and of vectors.
-
-    ``asked`` is (query, embedding, cells, least): similarities under ``least`` are left out.
-    """
+def _as_rows(cells, width: int):
+    """Lists of cell numbers as a mask of queries x cells."""
     import numpy as np
-    import pandas as pd
 
-    salts = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, -(-n // block_vectors))])
-    cut = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
-    one = asked.select(
-        F.col(query_col).alias("_asked"),
-        F.col("embedding").alias("_asked_vec"),
-        "least",
-        cut(query_col, F.lit(query_blocks)).alias("_aq"),
-        F.explode("cells").alias("_ac"),
-    )
-    left = one.withColumn("_as", F.explode(F.sequence(F.lit(0), salts[F.col("_ac")] - 1)))
-    wanted = one.select(F.col("_ac").alias("_cell"), F.col("_aq").alias("_q")).distinct()
-    right = placed.join(wanted, "_cell").select(
-        F.col(id_col).alias("_id"),
-        F.col("embedding").alias("_vec"),
-        "_q",
-        "_cell",
-        cut(id_col, salts[F.col("_cell")]).alias("_s"),
+    mask = np.zeros((len(cells), width), dtype=bool)
+    if len(cells):
+        mask[np.repeat(np.arange(len(cells)), [len(c) for c in cells]), np.concatenate([np.asarray(c, dtype=int) for c in cells])] = True
+    return mask
+
+
+def _vector_blocks(placed: DataFrame, counts: dict[int, int], id_col: str, block_vectors: int, dimensions: int) -> DataFrame:
+    """(_cell, _ids, _matrix): a row per block of about ``block_vectors`` unit vectors of one cell."""
+    import pyarrow as pa
+
+    pieces = {c: -(-n // block_vectors) for c, n in counts.items()}
+    salts = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair])
+    parts = max(min(sum(pieces.values()), LEAST_PARTS), -(-sum(counts.values()) * dimensions * 8 // PART_BYTES))
+    rows = placed.select(
+        F.col(id_col).alias("_id"), "embedding", "_cell", F.pmod(F.xxhash64(id_col), salts[F.col("_cell")]).cast("int").alias("_s")
     )
 
-    def product(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        columns = [query_col, id_col, "similarity", "_part"]
-        if not len(block) or not len(part):
-            return pd.DataFrame(columns=columns)
-        matrix, usable = _unit_rows(block["_asked_vec"])
-        rows, good = _unit_rows(part["_vec"])
-        ids = part["_id"].to_numpy()[good]
-        place = int(part["_cell"].iloc[0]) * 31 + int(part["_s"].iloc[0])
-        frames = []
-        scores = np.round(matrix @ rows.T, SIMILARITY_PLACES)
-        for name, least, score in zip(block["_asked"][usable], block["least"][usable], scores):
-            near = score >= least
-            best, who = _best(score[near], ids[near], k)
-            frames.append(pd.DataFrame({query_col: name, id_col: who, "similarity": best, "_part": place}))
-        return pd.concat(frames) if frames else pd.DataFrame(columns=columns)
+    def pack(part: pa.Table) -> pa.Table:
+        matrix, good = _unit_rows(part.column("embedding").to_pandas())
+        ids = part.column("_id").filter(pa.array(good)).combine_chunks()
+        held = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        return pa.table({"_cell": part.column("_cell").slice(0, 1), "_ids": held, "_matrix": pa.array([matrix.tobytes()], pa.binary())})
 
     id_type = placed.schema[id_col].dataType.simpleString()
-    query_type = asked.schema[query_col].dataType.simpleString()
-    pairs = left.groupBy("_aq", "_ac", "_as").cogroup(right.groupBy("_q", "_cell", "_s"))
-    return pairs.applyInPandas(product, f"`{query_col}` {query_type}, `{id_col}` {id_type}, similarity double, _part int")
+    by = ["_cell", "_s"]
+    return settled(rows.repartition(parts, *by).groupBy(*by).applyInArrow(pack, f"_cell int, _ids array<{id_type}>, _matrix binary"))
+
+
+def _query_blocks(asked: DataFrame, width: int, query_col: str, block_queries: int) -> DataFrame:
+    """(_block, _names, _rows, _least, _mask, _cells): a row per block of about ``block_queries`` queries.
+
+    Queries are numbered by the first cell that they meet, so those of a block want much the
+    same cells. ``_mask`` has a bit per query and cell, ``_cells`` are those that any of them wants.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    first = F.col("home")[0]
+    sizes = sorted((r["c"], r["count"]) for r in asked.groupBy(first.alias("c")).count().collect())  # a row per cell
+    total = sum(n for _, n in sizes)
+    starts = dict(zip([c for c, _ in sizes], np.cumsum([0] + [n for _, n in sizes]).tolist()))
+    start = F.create_map(*[F.lit(x) for c, at in starts.items() for x in (c, at)])
+    size = F.create_map(*[F.lit(x) for pair in sizes for x in pair])
+    place = start[first] + F.pmod(F.xxhash64(query_col), size[first])
+    parts = max(1, min(-(-total // block_queries), QUERY_PARTS))
+    rows = asked.select(
+        F.floor(place / F.lit(block_queries)).cast("int").alias("_block"), F.col(query_col).alias("_name"), "embedding", "cells", "least"
+    ) if sizes else asked.select(F.lit(0).alias("_block"), F.col(query_col).alias("_name"), "embedding", "cells", "least")
+
+    def pack(part: pa.Table) -> pa.Table:
+        matrix, good = _unit_rows(part.column("embedding").to_pandas())
+        names = part.column("_name").filter(pa.array(good)).combine_chunks()
+        mask = _as_rows(part.column("cells").to_pandas()[good].tolist(), width)
+        least = part.column("least").to_numpy()[good]
+        whole = lambda x: pa.array([x], pa.binary())
+        return pa.table(
+            {
+                "_block": part.column("_block").slice(0, 1),
+                "_names": pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
+                "_rows": whole(matrix.tobytes()),
+                "_least": whole(least.tobytes()),
+                "_mask": whole(np.packbits(mask, axis=1).tobytes()),
+                "_cells": pa.array([np.flatnonzero(mask.any(axis=0)).tolist()], pa.list_(pa.int32())),
+            }
+        )
+
+    kind = asked.schema[query_col].dataType.simpleString()
+    made = f"_block int, _names array<{kind}>, _rows binary, _least binary, _mask binary, _cells array<int>"
+    return settled(rows.repartition(parts, "_block").groupBy("_block").applyInArrow(pack, made))
+
+
+def _looked_up(asked: DataFrame, blocks: DataFrame, width: int, id_col: str, query_col: str, k: int) -> DataFrame:
+    """The best ``k`` of every query among the blocks of its cells, per part of the blocks.
+
+    ``asked`` are blocks of queries (``_query_blocks``), ``blocks`` those of vectors. A task reads
+    some of each from the shared folder and pairs them, so pairs are not shuffled, and it carries
+    the best so far of the queries of a block from one block of vectors to the next.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    kinds = {c.name: c.dataType.elementType.simpleString() for c in (asked.schema["_names"], blocks.schema["_ids"])}
+    pairs = asked.join(blocks.hint("shuffle_replicate_nl"), F.array_contains("_cells", F.col("_cell")))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        now, names, rows, least, mask, kept, kind = None, None, None, None, None, {}, None
+
+        def result():
+            who = [w for _, ids in kept.values() for w in ids.tolist()]
+            if pa.types.is_integer(kind):
+                who = [None if w != w else int(w) for w in who]
+            asked_by = np.repeat(np.fromiter(kept, dtype=np.int64), [len(s) for s, _ in kept.values()])
+            return pa.record_batch(
+                {
+                    query_col: names.take(pa.array(asked_by)),
+                    id_col: pa.array(who, kind, from_pandas=True),
+                    "similarity": pa.array(np.concatenate([s for s, _ in kept.values()])),
+                    "_part": pa.array(np.full(len(who), part), pa.int32()),
+                }
+            )
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = lambda column: batch.column(column)[at]  # noqa: B023, E731
+                if one("_block").as_py() != now:
+                    if kept:
+                        yield result()
+                    now, kept, names = one("_block").as_py(), {}, one("_names").values
+                    least = np.frombuffer(one("_least").as_py()).copy()
+                    rows = np.frombuffer(one("_rows").as_py()).reshape(len(least), -1)
+                    bits = np.frombuffer(one("_mask").as_py(), dtype=np.uint8).reshape(len(least), -1)
+                    mask = np.unpackbits(bits, axis=1, count=width).astype(bool)
+                values = one("_ids").values
+                kind, ids = values.type, values.to_pandas().to_numpy()
+                if not len(ids):
+                    continue
+                vectors = np.frombuffer(one("_matrix").as_py()).reshape(len(ids), -1)
+                meet = np.flatnonzero(mask[:, one("_cell").as_py()])
+                for begin in range(0, len(meet), BLOCK_QUERIES):
+                    some = meet[begin : begin + BLOCK_QUERIES]
+                    scores = rows[some] @ vectors.T
+                    # Rounding moves a similarity by less than this.
+                    better = scores.max(axis=1) + 10.0**-SIMILARITY_PLACES >= least[some]
+                    for query, score in zip(some[better].tolist(), np.round(scores[better], SIMILARITY_PLACES)):
+                        near = score >= least[query]
+                        score, who = score[near], ids[near]
+                        if query in kept:
+                            score, who = np.concatenate([kept[query][0], score]), np.concatenate([kept[query][1], who])
+                        if not len(score):
+                            continue
+                        kept[query] = score, who = _best(score, who, k)
+                        if len(score) == k:
+                            least[query] = max(least[query], score[-1])
+        if kept:
+            yield result()
+
+    kinds = f"`{query_col}` {kinds['_names']}, `{id_col}` {kinds['_ids']}, similarity double, _part int"
+    with bounded_batches(asked.sparkSession, PAIR_BYTES):
+        return written(pairs.mapInArrow(search, kinds))
 
 
 def _ranked(found: DataFrame, k: int, id_col: str, query_col: str) -> DataFrame:
@@ -344,9 +443,11 @@ def knn_search(
     Vectors lie in cells: their nearest pivot and a ring around it. A query first meets the
     cells most likely to hold its neighbours. The ``k``-th best of these is a bound; of the
     other cells only those follow that, by the triangle inequality over all pivots, can hold
-    something as near. Cells are cut by hash into blocks of about ``block_vectors``, queries into
-    blocks of about ``block_queries``, and each pair is one product of two bounded matrices that
-    gives its best ``k`` per query. Vectors of cells that no query needs are not moved.
+    something as near. Cells are cut by hash into blocks of about ``block_vectors``, queries, in
+    the order of their first cells, into blocks of about ``block_queries``. Each block is written
+    once; each pair that is needed is one product of two bounded matrices, in a task that reads
+    both and keeps the best ``k`` per query. So what is moved and written grows with the tables,
+    not with the pairs. Both steps run here.
 
     The first table is that of ``knn``. The second has one row per query: its ``cells_looked``
     out of ``cells``, and ``vectors_looked`` out of ``vectors``. ``query_col`` is unique.
@@ -364,11 +465,12 @@ def knn_search(
         looks = f"{kinds}, cells_looked bigint, cells bigint, vectors_looked bigint, vectors bigint"
         return vectors.sparkSession.createDataFrame([], found), vectors.sparkSession.createDataFrame([], looks)
     routed = written(_routed(asked, query_col, middle, cells, k))
-    query_blocks = max(1, -(-routed.count() // block_queries))
+    width = max(counts) + 1
+    blocks = _vector_blocks(placed, counts, id_col, block_vectors, middle.shape[1])
     step = lambda rows: _looked_up(
-        rows, placed, counts, id_col, query_col, k, query_blocks, block_vectors
+        _query_blocks(rows, width, query_col, block_queries), blocks, width, id_col, query_col, k
     )
-    first = written(step(routed.select(query_col, "embedding", F.col("home").alias("cells"), F.lit(-2.0).alias("least"))))
+    first = step(routed.select(query_col, "embedding", "home", F.col("home").alias("cells"), F.lit(-2.0).alias("least")))
     bounds = _ranked(first, k, id_col, query_col).filter(F.col("rank") == k).select(query_col, F.col("similarity").alias("_kth"))
     known = F.coalesce("_kth", F.lit(-2.0))
     limit = F.sqrt(F.greatest(2.0 - 2.0 * known, F.lit(0.0))) + BOUND_SLACK
@@ -380,7 +482,7 @@ def knn_search(
         known.alias("least"),
     )
     rest = written(rest)
-    second = step(rest.filter(F.size("cells") > 0).drop("home"))
+    second = step(rest.filter(F.size("cells") > 0))
     size = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
     seen = F.concat("home", "cells")
     looks = rest.select(

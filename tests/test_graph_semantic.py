@@ -229,6 +229,27 @@ def test_knn_skips_what_cannot_be_near(spark):
     assert seen[2] == 901 and seen[0] < 0.3 * seen[1]
 
 
+def test_knn_pairs_blocks_without_a_shuffle(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = [(i, rng.normal(size=4).tolist()) for i in range(300)] + [(None, [1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    plans = []
+    write = embeddings.written
+
+    def noted(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows)
+
+    monkeypatch.setattr(embeddings, "written", noted)
+    queries = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    found, _ = embeddings.knn_search(df, queries, 400, block_queries=40, block_vectors=30)
+    assert not [p for p in plans if "CoGroup" in p]
+    pairs = [p for p in plans if "CartesianProduct" in p]
+    assert len(pairs) == 2 and not [p for p in pairs if "Exchange" in p]
+    per_query = found.groupBy("query_id").agg(F.count("*").alias("n"), F.count("vec_id").alias("named")).collect()
+    assert {(r["n"], r["named"]) for r in per_query} == {(301, 300)} and len(per_query) == 301
+
+
 def test_knn_of_nothing(spark):
     none = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "vec_id long, embedding array<double>")
     some = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "query_id long, embedding array<double>")
