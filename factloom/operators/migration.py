@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from factloom.functions.numeric import percent
 from factloom.operators.governance import in_production
+from factloom.plans.frontier import written
 
 #: Bytes of keywords in one automaton, and of texts that it is run over in one task.
 KEYWORD_BYTES = 1_000_000
 TEXT_BYTES = 16_000_000
+#: Rows of one keyword in a piece, on either side, and pairs that one task makes on average.
+ASKED_ROWS, HIT_ROWS, PAIRS_A_TASK = 10_000, 100, 1_000_000
 
 
 def schema_divergence(
@@ -179,15 +182,42 @@ def triage(incidents: DataFrame, patterns: DataFrame) -> DataFrame:
         "incident_id", F.explode(F.transform("keywords", F.lower)).alias("keyword")
     ).distinct()
     texts = patterns.select("pattern_id", F.lower(F.concat_ws(" ", "failure_mode", "root_cause")).alias("_text"))
+    hits = written(keyword_hits(asked, texts, "pattern_id").filter("pattern_id IS NOT NULL"))
     return (
-        asked.join(keyword_hits(asked, texts, "pattern_id"), "keyword")
-        .select("incident_id", "pattern_id")
+        _pairs_in_pieces(asked, hits, "incident_id", "pattern_id")
         .distinct()
         .join(patterns.select("pattern_id", "title", "tags", "key_fix"), "pattern_id")
         .select("incident_id", "pattern_id", "title", "tags", "key_fix")
     )
 
 
+def _pairs_in_pieces(asked: DataFrame, hits: DataFrame, one: str, other: str, pairs_per_task: int = PAIRS_A_TASK) -> DataFrame:
+    """(one, other) for every row of ``asked`` and of ``hits`` with the same keyword, spread evenly over tasks.
+
+    The rows of a keyword are counted on both sides, and cut by hash so that a piece of ASKED_ROWS
+    meets one of HIT_ROWS; only a common keyword has more than one piece. Each row is repeated
+    once per piece of the other side, which is little next to the pairs it is in. Both sides lie
+    in as many parts as the number of pairs asks for, whichever of them Spark then reads whole.
+    """
+    count = lambda df, name: df.groupBy("keyword").agg(F.count(F.lit(1)).alias(name))
+    sizes = count(asked, "_asked").join(count(hits, "_held"), "keyword")
+    cuts = written(
+        sizes.select(
+            "keyword",
+            (F.col("_asked").cast("double") * F.col("_held")).alias("_pairs"),
+            F.ceil(F.col("_asked") / F.lit(ASKED_ROWS)).cast("int").alias("_is"),
+            F.ceil(F.col("_held") / F.lit(HIT_ROWS)).cast("int").alias("_js"),
+        )
+    )
+    pairs = cuts.agg(F.sum("_pairs")).first()[0] or 0
+    own = lambda column, pieces: F.pmod(F.xxhash64(column), F.col(pieces)).cast("int")
+    every = lambda pieces: F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
+    left = asked.join(cuts, "keyword").select(one, "keyword", own(one, "_is").alias("_i"), every("_js").alias("_j"))
+    right = hits.join(cuts, "keyword").select(other, "keyword", every("_is").alias("_i"), own(other, "_js").alias("_j"))
+    on, parts = ["keyword", "_i", "_j"], max(1, int(-(-pairs // pairs_per_task)))
+    return left.repartition(parts, *on).join(right.repartition(parts, *on), on).select(one, other)
+
+
 def patterns_for(patterns: DataFrame, tag) -> DataFrame:
     """Patterns that carry a tag."""
     return patterns.filter(F.array_contains("tags", F.lit(tag))).select("pattern_id", "title", "failure_mode")

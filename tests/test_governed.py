@@ -255,6 +255,16 @@ def test_phase_gates(spark):
     assert got == {("a", "p"): (False, ["first", "second"]), ("b", "p"): (True, []), ("a", "?"): (None, [])}
 
 
+def test_triage_spreads_the_pairs_of_one_keyword(spark, monkeypatch):
+    monkeypatch.setattr(migration, "ASKED_ROWS", 30)
+    monkeypatch.setattr(migration, "HIT_ROWS", 7)
+    asked = spark.range(300).selectExpr("nullif(id, 0) AS incident_id", "'de' AS keyword")
+    hits = spark.range(40).selectExpr("id AS pattern_id", "if(id < 35, 'de', 'fr') AS keyword")
+    pairs = migration._pairs_in_pieces(asked, hits, "incident_id", "pattern_id", pairs_per_task=500)
+    tasks = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 300 * 35 == pairs.distinct().count() and max(tasks) < 2_500
+
+
 def test_triage(spark):
     patterns = spark.createDataFrame(
         [("1", "One", "Temporal failure", "no Change detection", [1, 2], "f"), ("2", "Two", "Access", "stale", [2], "g")],
