@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.sources.rewrite import FILE, ROW, delete_path, rows_with_place, without_rows
+from factloom.sources.rewrite import FILE, ROW, delete_path, file_numbers, rows_with_place, without_rows
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,10 @@ def erase_everywhere(spark: SparkSession, tables: Sequence[Held], requests: Data
         done = {"rows_erased": 0, "files_touched": 0, "files_removed": 0}
         if names:
             place = f"{journal}/rows/table={table.name}"
-            _rows_of(rows_with_place(spark, table.path), names, ids, FILE, ROW).distinct().write.mode("overwrite").parquet(place)
+            rows = rows_with_place(spark, table.path)
+            files = F.broadcast(file_numbers(rows))  # a row per file
+            hits = _rows_of(rows.join(files, FILE), names, ids, "_number", ROW).distinct()
+            hits.join(files, "_number").select(FILE, ROW).write.mode("overwrite").parquet(place)
             done = without_rows(spark, table.path, spark.read.schema(f"{FILE} string, {ROW} bigint").parquet(place))
         report.append((table.name, *done.values()))
     return spark.createDataFrame(report, "table_name string, rows_erased long, files_touched long, files_removed long")

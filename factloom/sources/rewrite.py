@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.plans.frontier import written
+
 FILE, ROW = "_file", "_row_index"
 
 
@@ -15,6 +17,12 @@ def rows_with_place(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumns({FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
 
 
+def file_numbers(rows: DataFrame) -> DataFrame:
+    """(_file, _number): the files that ``rows`` lie in. Names are long, so a number per row is moved in their place."""
+    names = sorted(r[FILE] for r in rows.select(FILE).distinct().collect())  # a row per file
+    return rows.sparkSession.createDataFrame(list(enumerate(names)), f"_number int, {FILE} string")
+
+
 def _hadoop(spark: SparkSession, path: str):
     files = spark._jvm.org.apache.hadoop.fs
     base = files.Path(path)
@@ -51,13 +59,13 @@ def without_rows(spark: SparkSession, path: str, hits: DataFrame) -> dict[str, i
     touched = spark.read.parquet(*[p.toString() for p in places])
     columns = touched.columns
     numbers = spark.createDataFrame(list(enumerate(names)), f"_number int, {FILE} string")
-    kept = (
-        touched.withColumns({FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
-        .join(hits.select(FILE, ROW), [FILE, ROW], "left_anti")
-        .join(F.broadcast(numbers), FILE)  # a row per touched file
+    own = lambda rows: rows.join(F.broadcast(numbers), FILE).drop(FILE)  # noqa: E731  a row per touched file
+    gone = written(own(hits.select(FILE, ROW)))  # so that the join knows its size
+    kept = own(touched.withColumns({FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})).join(
+        gone, ["_number", ROW], "left_anti"
     )
     stage = f"{path.rstrip('/')}/.rewritten-{uuid.uuid4().hex}"
-    placed = kept.repartition(len(names), "_number").sortWithinPartitions("_number", ROW)
+    placed = kept.repartitionById(len(names), F.col("_number")).sortWithinPartitions("_number", ROW)
     placed.select(*columns, "_number").write.option("maxRecordsPerFile", 0).partitionBy("_number").parquet(stage)
     context = files.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
     rename = getattr(files, "Options$Rename")

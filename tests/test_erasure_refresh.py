@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators.erasure import Held, erase_everywhere
@@ -160,3 +161,21 @@ def test_refresh_by_a_far_dimension_or_by_nothing(spark, tmp_path):
     assert done == {"keys_affected": 40, "partitions_written": 2, "partitions_removed": 2, "rows_written": 20}
     assert rows(spark.read.parquet(path)) == rows(denormalise(new_table, new_dims))
     assert {f: d for f, d in contents(path).items() if f[:8] in ("nation=0", "nation=3")} == {f: d for f, d in before.items() if f[:8] in ("nation=0", "nation=3")}
+
+
+def test_every_touched_file_is_sorted_by_a_task_of_its_own(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for first in range(0, 80, 10):
+        spark.range(first, first + 10, 1, 1).write.mode("append").parquet(path)
+    tasks = []
+    sort = DataFrame.sortWithinPartitions
+
+    def noted(df, *columns, **more):
+        tasks.extend(df.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("_number").alias("n")).collect())
+        assert "_file" not in df.columns
+        return sort(df, *columns, **more)
+
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", noted)
+    without_rows(spark, path, rows_with_place(spark, path).filter("id % 10 = 3"))
+    assert len(tasks) == 8 and {r["n"] for r in tasks} == {1}
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [i for i in range(80) if i % 10 != 3]
