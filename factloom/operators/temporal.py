@@ -68,7 +68,8 @@ def apply_versions(
     affected = current.join(changed_keys, keys, "left_semi").withColumn("_new", F.lit(False))
     rest = [c for c in current.columns if c not in (*keys, start)]
     rows = affected.unionByName(added.withColumn("_new", F.lit(True)))
-    places = affected.select(*keys, start).unionByName(changes.select(*keys, start))
+    # Counted without the join that finds the affected versions; the cuts serve any part of the rows.
+    places = current.select(*keys, start).unionByName(changes.select(*keys, start))
     cuts = measure(places, keys, start, rows_per_piece)
     # Per start the row that was there before wins over any change: it sorts first, and rows
     # that follow one with the same start are dropped. Both windows use one shuffle and sort.

@@ -1,12 +1,13 @@
 """Ordered work per key that stays parallel when one key holds much of the table.
 
-A plain window partitioned by key sends every row of a key to one task. Here the rows per
-key are counted first, by one aggregation over the key and time columns that runs when the
-plan is made. When no key has more than ``rows_per_piece`` rows, the plain window is used.
+A plain window partitioned by key sends every row of a key to one task. Here rows are counted
+first, when the plan is made: per bucket of keys, by an aggregation that holds a row per bucket
+in a task however many keys there are, then per key in buckets with more than ``rows_per_piece``
+rows. When no key has more rows than that, the plain window is used.
 Otherwise those keys are cut into consecutive pieces along their time line. Windows then run
 per (key, piece); what has to cross a cut is one row per piece, so the table that carries it
-has at most two rows for every ``rows_per_piece`` input rows. No join is hinted. The results
-are the same for any value of ``rows_per_piece``.
+has at most two rows for every ``rows_per_piece`` input rows. Only the join with full
+buckets is hinted. The results are the same for any value of ``rows_per_piece``.
 
 The cuts of a key follow percentiles of its times, so outliers and busy periods do not end
 up in one piece; between two percentiles pieces have equal length. They are fixed when the
@@ -28,6 +29,8 @@ from factloom.plans.frontier import written
 
 ROWS_PER_PIECE = 2_000_000
 PERCENTILES = 100
+#: Keys are counted together by their hash; up to KEY_BUCKETS x rows_per_piece rows few buckets are full.
+KEY_BUCKETS = 16_384
 PIECE = "_piece"
 PIECES = "_pieces"
 
@@ -48,6 +51,20 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def in_full_buckets(df: DataFrame, keys: list[str], rows_per_piece: int) -> DataFrame | None:
+    """The rows whose key may have more than ``rows_per_piece`` rows, or None when no key has.
+
+    A key has at most the rows of its bucket, so the keys of the other buckets need no counts.
+    """
+    bucket = F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(KEY_BUCKETS)).alias("_bucket")
+    counted = df.select(bucket).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    full = [(r["_bucket"],) for r in counted.filter(F.col("_n") > rows_per_piece).collect()]  # at most KEY_BUCKETS
+    if not full:
+        return None
+    buckets = df.sparkSession.createDataFrame(full, "_bucket long")
+    return df.select(*df.columns, bucket).join(F.broadcast(buckets), "_bucket", "left_semi").select(*df.columns)
+
+
 def hot_keys(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> DataFrame:
     """Keys with more than ``rows_per_piece`` rows: (keys, _n, _lo, _hi)."""
     place = position(df, at).cast("double")
@@ -104,13 +121,16 @@ class Cuts:
 
 def measure(df: DataFrame, keys: list[str], at: str, rows_per_piece: int) -> Cuts:
     """Count the rows per key and place the cuts. They also serve any subset of the rows."""
-    lazy = hot_keys(df, keys, at, rows_per_piece)
+    suspects = in_full_buckets(df, keys, rows_per_piece)
+    if suspects is None:
+        return Cuts(None)
+    lazy = hot_keys(suspects, keys, at, rows_per_piece)
     if lazy.isEmpty():
         return Cuts(None)
     # At most rows(df) / rows_per_piece keys, with at most as many bounds as pieces. Written, so
     # that every evaluation cuts in the same places and the table is known by its own size.
     hot = written(lazy)
-    cuts = _cut_points(df, hot, keys, at)
+    cuts = _cut_points(suspects, hot, keys, at)
     wanted = F.ceil(F.col("_n") / F.lit(rows_per_piece))
     bounds, sub = _edges(F.col("_lo"), F.col("_hi"), F.col("_cuts"), wanted)
     found = hot.join(cuts, same_keys(hot, cuts, keys), "left")

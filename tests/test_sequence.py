@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from factloom.operators.temporal import bt_correct
+from factloom.plans import sequence
 from factloom.plans.sequence import carried_forward, in_pieces, measure, numbered, with_neighbour
 
 PIECE_SIZES = [1, 7, 50, 10_000]
@@ -100,3 +102,44 @@ def test_many_hot_keys(spark):
     rows = spark.range(1000).selectExpr("id % 10 AS k", "id AS at")
     want = rows.withColumn("n", F.lead("at").over(Window.partitionBy("k").orderBy("at")))
     assert as_set(with_neighbour(rows, ["k"], ["at"], {"n": "at"}, rows_per_piece=7)) == as_set(want)
+
+
+def test_keys_are_counted_one_by_one_only_in_full_buckets(spark, monkeypatch):
+    counted, plainly = [], sequence.hot_keys
+
+    def watched(df, *rest):
+        counted.append({r["k"] for r in df.select("k").distinct().collect()})
+        return plainly(df, *rest)
+
+    monkeypatch.setattr(sequence, "hot_keys", watched)
+    even = spark.range(3000).selectExpr("id % 1000 AS k", "id AS at")
+    assert measure(even, ["k"], "at", 1000).hot is None and not counted
+    uneven = even.unionByName(spark.range(2000).selectExpr("CAST(IF(id % 2 = 0, 5, NULL) AS LONG) AS k", "id AS at"))
+    assert {r["k"] for r in measure(uneven, ["k"], "at", 900).hot.collect()} == {5, None}
+    assert len(counted) == 1 and {5, None} <= counted[0] and len(counted[0]) < 20
+
+
+@pytest.mark.parametrize("buckets", [1, 16_384])
+@pytest.mark.parametrize("size", PIECE_SIZES)
+def test_corrections_whatever_the_pieces(spark, monkeypatch, size, buckets):
+    """One key with most rows, NULL keys, repeated rows; keys without a correction stay as they are."""
+    monkeypatch.setattr(sequence, "KEY_BUCKETS", buckets)
+    rng = random.Random(9)
+    at = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(hours=n)
+    held = [(rng.choice([1, 1, 1, 2, 3, None]), at(rng.randrange(2)), i, at(rng.randrange(80)), None, None) for i in range(150)]
+    fixes = [(rng.choice([1, 1, 1, 2, 4, None]), at(rng.randrange(2)), i, at(rng.randrange(80)), "typo") for i in range(200, 350)]
+    kind = "k int, valid_from timestamp_ntz, v int, recorded_from timestamp_ntz"
+    df = spark.createDataFrame(held, f"{kind}, recorded_to timestamp_ntz, reason string")
+    got = bt_correct(df, spark.createDataFrame([*fixes, *fixes[:40]], f"{kind}, reason string"), ["k"], rows_per_piece=size)
+
+    named = {f[:2] for f in fixes}
+    want = [h for h in held if h[0] is None or h[:2] not in named]
+    for key in named:
+        first = {}
+        for r in sorted(f for f in fixes if f[:2] == key):
+            first.setdefault(r[3], (*r[:4], r[4]))
+        for r in sorted((h for h in held if h[:2] == key and key[0] is not None), reverse=True):
+            first[r[3]] = (*r[:4], None)
+        starts = sorted(first)
+        want += [(*first[s][:4], after, first[s][4]) for s, after in zip(starts, [*starts[1:], None])]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
