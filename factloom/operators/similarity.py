@@ -4,22 +4,41 @@ Tokens are ordered from rare to common. Two sets that share enough tokens share
 first few in that order, so only sets with a pair of such tokens in common are compared. Sets
 beyond LONG tokens are found by single tokens, as their first ones are rare and pairs many;
 sets near that size take part in both. Equal sets are one set. Candidates are checked exactly;
-before their tokens are fetched, those go whose sketches prove them too far apart.
+before their tokens are fetched, those go whose sketches prove them too far apart: a short
+sketch stands beside each key, a long one is joined to the pairs that are left.
+
+Tokens are ordered where they lie. Any order common to all sets finds all pairs, so rows are
+counted per bucket of tokens, and a table of BUCKETS numbers is sent to all tasks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.numeric import percent
 from factloom.plans.frontier import written
+from factloom.plans.sizes import bounded_batches
 
 LONG = 200
 #: Longs in the sketch of a set.
 WORDS = 16
+#: Longs in the short sketch of a large set; smaller ones have fewer, powers of two.
+BRIEF = 8
+#: Buckets of tokens that are counted, a power of two.
+BUCKETS = 1 << 18
+#: Candidates of a set that are checked first; every further time so many times as many.
+ASKED = 8
+#: Hashes of tokens that go to Python at once.
+BATCH_BYTES = 16 << 20
+#: Between the tokens of a packed set, and what marks it inside a token.
+GAP, MARK = "\n", "\\"
 
 
 def tokens_of(text: Column) -> Column:
@@ -57,60 +76,164 @@ def _sketches(each: DataFrame) -> DataFrame:
     return each.groupBy("set_id", "size").agg(F.array(*words).alias("sketch"))
 
 
+def _packed(tokens: Column) -> Column:
+    """The tokens as one string, a third of the bytes; equal ones stay equal, and others different."""
+    odd = F.exists(tokens, lambda t: t.isNull() | t.contains(GAP) | t.contains(MARK))
+    told = F.transform(tokens, lambda t: F.coalesce(F.replace(F.replace(t, F.lit(MARK), F.lit(f"{MARK}m")), F.lit(GAP), F.lit(f"{MARK}g")), F.lit(f"{MARK}n")))
+    return F.array_join(F.when(odd, told).otherwise(tokens), GAP)
+
+
+def _counts(hashed: DataFrame) -> np.ndarray:
+    """How many tokens of all sets fall to each bucket."""
+    bucket = F.col("h").bitwiseAND(F.lit(BUCKETS - 1).cast("long")).alias("bucket")
+    found = hashed.select(F.explode("hashes").alias("h")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).toPandas()  # BUCKETS rows at most
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def _first_tokens(hashed: DataFrame, threshold: float) -> DataFrame:
+    """(set_id, size, first, brief): the rarest tokens, of which any near set has one or two, in order, and a short sketch.
+
+    Two tokens of a set with one hash are told apart by their turn, so hashes stand for tokens
+    without a pair being lost; what they bring together wrongly is checked later.
+    """
+    counts = hashed.sparkSession.sparkContext.broadcast(_counts(hashed))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, sizes = batch.column("hashes"), batch.column("size").to_numpy()
+            h, n = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy()
+            row, begin = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+            order = np.lexsort((h, counts.value[h & (BUCKETS - 1)], row))
+            ordered = h[order]
+            same = np.flatnonzero((ordered[1:] == ordered[:-1]) & (row[1:] == row[:-1])) + 1
+            for k in same:  # hardly ever
+                ordered[k] = (int(ordered[k - 1]) + 2**63 + 1) % 2**64 - 2**63
+            need = np.ceil(sizes * threshold - 1e-9).astype(np.int64)
+            kept = np.minimum(np.maximum(sizes - need + 2, 0), n)
+            place = np.arange(len(h)) - np.repeat(begin, n)
+            first = ordered[place < np.repeat(kept, n)]
+            wide = np.where(sizes <= LONG, 2, np.where(sizes <= 4 * LONG, 4, BRIEF))
+            words, start = np.zeros(wide.sum(), np.int64), np.cumsum(wide) - wide
+            np.bitwise_xor.at(words, np.repeat(start, n) + (h & np.repeat(wide - 1, n)), np.left_shift(np.int64(1), (h >> 8) & 63))
+            lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(k)), pa.int32()), pa.array(v)) for k, v in ((kept, first), (wide, words))]
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), batch.column("size"), *lists], ["set_id", "size", "first", "brief"])
+
+    kind = hashed.schema["set_id"].dataType.simpleString()
+    with bounded_batches(hashed.sparkSession, BATCH_BYTES):
+        return written(hashed.mapInArrow(run, f"set_id {kind}, size int, first array<bigint>, brief array<bigint>"))
+
+
 def near_sets(sets: DataFrame, threshold: float) -> DataFrame:
     """(low, high, overlap, similarity) of all pairs of ``sets`` with a Jaccard similarity of ``threshold`` or more.
 
     ``threshold`` is over 0.5, so that different sets share two tokens at least. Each pair is
     given once. A set whose token is NULL has no such token.
     """
+    _check(threshold)
+    sets = _kept(sets.select("set_id", F.col("size").cast("int").alias("size"), _packed(F.col("tokens")).alias("packed")))
+    return _checked(_candidates(sets, threshold), sets, threshold)
+
+
+def _kept(texts: DataFrame) -> DataFrame:
+    return written(texts, codec="zstd")
+
+
+def _check(threshold: float) -> None:
     if not 0.5 < threshold <= 1:
         raise ValueError("a threshold over 0.5, up to 1")
-    sets = written(sets)
-    each = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    frequency = each.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
-    ordered = (
-        each.join(frequency, "token")
-        .groupBy("set_id", "size")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "token"))), lambda t: t["token"]).alias("ordered"))
-    )
-    cells = written(ordered.select("set_id", "size", F.inline(_keys(F.col("size"), F.col("ordered"), threshold))))
+
+
+def _brief_apart(even: Column) -> Column:
+    """Bits in which the short sketches of a and b differ; if not of one width, folded to two words."""
+    def differ(one: list[Column], other: list[Column]) -> Column:
+        return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(one, other, strict=True)), F.lit(0))
+
+    def folded(words: list[Column]) -> list[Column]:
+        return [reduce(lambda x, y: x.bitwiseXOR(y), words[k::2]) for k in (0, 1)]
+
+    a, b = ([F.col(f"{n}.w{k}") for k in range(BRIEF)] for n in ("a", "b"))
+    return F.when(even, differ(a, b)).otherwise(differ(folded(a), folded(b)))
+
+
+def _candidates(sets: DataFrame, threshold: float, only: DataFrame | None = None) -> DataFrame:
+    """(x, y): pairs of (set_id, size, packed) that may be near, each once; with ``only``, of those whose set_id it has."""
+    known = F.filter(F.split("packed", GAP), lambda t: t != f"{MARK}n")
+    firsts = _first_tokens(sets.select("set_id", "size", F.transform(known, lambda t: F.xxhash64(t)).alias("hashes")), threshold)
+    if only is not None:
+        firsts = firsts.join(only, "set_id", "left_semi")
+    # Plain columns, as millions of pairs are held against each other; words that a narrow sketch lacks are 0.
+    words = [F.coalesce(F.get("brief", F.lit(k)), F.lit(0).cast("long")).alias(f"w{k}") for k in range(BRIEF)]
+    cells = firsts.select("set_id", "size", F.size("brief").alias("wide"), *words, F.inline(_keys(F.col("size"), F.col("first"), threshold)))
+    # Tests that can't be taken apart and the same columns on both sides: so the join reads one exchange twice.
+    mark = F.col("wide") * 4 + (F.col("kind") == 1).cast("int") * 2 + (F.col("size") > LONG).cast("int")
+    cells = cells.select("set_id", "size", *[f"w{k}" for k in range(BRIEF)], mark.alias("mark"), F.xxhash64("kind", "key").alias("key"))
     a, b = cells.alias("a"), cells.alias("b")
     smaller = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.set_id") < F.col("b.set_id")))
     alike = F.col("a.size") >= F.col("b.size") * threshold - 1e-9
     # Pairs of which both are short are found by pairs of tokens, the others by single ones.
-    right_kind = F.col("a.kind") == F.when(F.col("b.size") <= LONG, 2).otherwise(1)
-    met = a.join(b, (F.col("a.kind") == F.col("b.kind")) & (F.col("a.key") == F.col("b.key")) & smaller & alike & right_kind)
-    pairs = met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
-    sketches = written(_sketches(each))
+    right_kind = F.shiftright("a.mark", 1).bitwiseAND(F.lit(1)) + F.col("b.mark").bitwiseAND(F.lit(1)) != 1
+    even = F.shiftright("a.mark", 2) == F.shiftright("b.mark", 2)
+    # Of n tokens in both sets together, no more than this may be in one only.
+    spare = (1 - threshold) / (1 + threshold)
+    close = _brief_apart(even) <= (F.col("a.size") + F.col("b.size")) * spare + 1e-6
+    met = a.hint("merge").join(b, (F.col("a.key") == F.col("b.key")) & smaller & alike & right_kind & close)
+    pairs = written(met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct())
+    sketches = written(_sketches(sets.select("set_id", "size", F.explode(known).alias("token"))))
     x, y = (sketches.select(F.col("set_id").alias(n), F.col("size").alias(f"{n}_size"), F.col("sketch").alias(f"{n}_sketch")) for n in ("x", "y"))
     apart = sum((F.bit_count(F.col("x_sketch")[w].bitwiseXOR(F.col("y_sketch")[w])) for w in range(WORDS)), F.lit(0))
-    # Of n tokens in both sets together, no more than this may be in one only.
-    may = (F.col("x_size") + F.col("y_size")) * ((1 - threshold) / (1 + threshold)) + 1e-6
-    pairs = written(pairs.join(x, "x").join(y, "y").filter(apart <= may).select("x", "y"))
-    x, y = (sets.select(F.col("set_id").alias(n), F.col("tokens").alias(f"{n}_tokens")) for n in ("x", "y"))
+    return written(pairs.join(x, "x").join(y, "y").filter(apart <= (F.col("x_size") + F.col("y_size")) * spare + 1e-6).select("x", "y"))
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(low, high, overlap, similarity) of the pairs that are near."""
+    asked = sets.join(pairs.select(F.explode(F.array("x", "y")).alias("set_id")).distinct(), "set_id", "left_semi")
+    x, y = (asked.select(F.col("set_id").alias(n), F.col("size").alias(f"{n}_size"), F.col("packed").alias(f"{n}_packed")) for n in ("x", "y"))
     both = pairs.join(x, "x").join(y, "y")
-    shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    counted = both.select("x", "y", shared.alias("overlap"), (F.size("x_tokens") + F.size("y_tokens") - shared).alias("union"))
+    shared = F.size(F.array_intersect(F.split("x_packed", GAP), F.split("y_packed", GAP)))
+    counted = both.select("x", "y", shared.alias("overlap"), (F.col("x_size") + F.col("y_size") - shared).alias("union"))
     # Whole numbers decide, so that a similarity of exactly the threshold counts.
     near = counted.filter(F.col("overlap") >= F.col("union") * threshold - 1e-9)
     return near.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"), "overlap", (F.col("overlap") / F.col("union")).alias("similarity"))
 
 
+def _first_near(sets: DataFrame, firsts: DataFrame, threshold: float) -> DataFrame:
+    """(set_id, first_near): the least key of a near set, of the sets in ``firsts`` (set_id, size, _key).
+
+    Candidates of a set are checked by rising keys, a few, then ASKED times as many, until one is
+    near; so a group of sets that are all near each other does not fetch the tokens of all pairs.
+    """
+    pairs = _candidates(sets, threshold, firsts.filter("size > 0").select("set_id"))
+    ends = pairs.select(F.inline(F.array(*[F.struct(F.col(a).alias("set_id"), F.col(b).alias("_other")) for a, b in (("x", "y"), ("y", "x"))])))
+    other = firsts.select(F.col("set_id").alias("_other"), F.col("_key").alias("first_near"))
+    turn = F.row_number().over(Window.partitionBy("set_id").orderBy("first_near", "_other"))
+    waiting, most, found = written(ends.join(other, "_other").withColumn("_turn", turn)), ASKED, []
+    while not waiting.isEmpty():
+        now = waiting.filter(F.col("_turn") <= most).withColumns({"low": F.least("set_id", "_other"), "high": F.greatest("set_id", "_other")})
+        near = _checked(now.select(F.col("low").alias("x"), F.col("high").alias("y")).distinct(), sets, threshold).select("low", "high")
+        found.append(written(now.join(near, ["low", "high"]).groupBy("set_id").agg(F.min("first_near").alias("first_near"))))
+        waiting = written(waiting.filter(F.col("_turn") > most).join(found[-1], "set_id", "left_anti"))
+        most *= ASKED
+    none = waiting.select("set_id", "first_near")
+    return reduce(lambda a, b: a.unionByName(b), found, none)
+
+
 def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.9) -> DataFrame:
     """(key, first_equal, first_near): per row the least key with the same words, and the least one with nearly the same.
 
     first_near is NULL if no set of other words is near; rows without words equal each other
     and are near no others. Rows without key are left out.
     """
-    rows = df.filter(F.col(key).isNotNull()).select(F.col(key), F.array_sort(tokens_of(F.col(text))).alias("tokens"))
-    rows = written(rows)
-    sets = written(distinct_sets(rows, key, "tokens"))
-    pairs = near_sets(sets, threshold)
-    ends = pairs.select(F.col("high").alias("set_id"), F.col("low").alias("other")).unionByName(pairs.select(F.col("low").alias("set_id"), F.col("high").alias("other")))
-    near = ends.groupBy("set_id").agg(F.min("other").alias("first_near"))
-    named = rows.withColumn("_h", F.sha2(F.to_json("tokens"), 256))
-    first = named.groupBy("_h").agg(F.min(key).alias("first_equal"))
-    return named.select(key, "_h").join(first, "_h").join(near, F.col("first_equal") == near["set_id"], "left").select(key, "first_equal", "first_near")
+    _check(threshold)
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.array_sort(tokens_of(F.col(text))).alias("_t"))
+    rows = rows.select("_key", F.size("_t").alias("size"), _packed(F.col("_t")).alias("packed"))
+    # Written, so that rows keep their numbers.
+    rows = _kept(rows.select("*", F.unhex(F.sha2(F.concat_ws(" ", "size", "packed"), 256)).alias("_h"), F.monotonically_increasing_id().alias("set_id")))
+    firsts = written(rows.groupBy("_h").agg(F.min(F.struct("_key", "set_id")).alias("_first"), F.min("size").alias("size")).select("_h", "size", "_first.*"))
+    near = _first_near(rows.filter("size > 0").select("set_id", "size", "packed"), firsts, threshold)
+    told = firsts.join(near, "set_id", "left").select("_h", F.col("_key").alias("first_equal"), "first_near")
+    return rows.select(F.col("_key").alias(key), "_h").join(told, "_h").select(key, "first_equal", "first_near")
 
 
 def near_duplicate_rate(df: DataFrame, key: str, text: str, at: str, threshold: float = 0.9, limit_points: float = 2.0) -> DataFrame:

@@ -20,14 +20,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
-    """The same rows, from a table in the shared folder.
+def written(df: DataFrame, path: str | None = None, codec: str | None = None) -> DataFrame:
+    """The same rows, from a table in the shared folder, packed by ``codec`` or else the session's.
 
     For loops: unlike a checkpoint the table is known by its own size, so the size estimated
     for a join does not carry over from round to round.
     """
     path = path or f"{shared_folder(df.sparkSession)}/rounds-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

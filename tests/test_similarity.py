@@ -85,3 +85,66 @@ def test_sketches_differ_no_more_than_sets(spark):
             apart = sum(bin((x ^ y) % 2**64).count("1") for x, y in zip(bits[a], bits[b]))
             different = len(sets[a] ^ sets[b])
             assert apart <= different and apart >= min(different, 500) * 0.5
+
+
+def test_any_tokens(spark):
+    """Tokens that hold what packing puts between tokens, empty ones and NULL."""
+    chance = random.Random(11)
+    kinds = ["a\nb", "a", "b", "\\", "\\n", "\\g", "\n", "", None, "m", "g", "n", *[f"w{k}" for k in range(12)]]
+    chosen = {}
+    for k in range(150):
+        chosen.setdefault(frozenset(chance.sample(kinds, chance.choice([3, 9, 18, 20, 21]))), k)
+    sets = spark.createDataFrame([(k, list(s), len(s)) for s, k in chosen.items()], "set_id long, tokens array<string>, size int")
+    ids = sorted((k, s) for s, k in chosen.items())
+    want = {(a, b, len(s & t)) for i, (a, s) in enumerate(ids) for b, t in ids[i + 1 :] if jaccard(s, t) >= 0.7 - 1e-12}
+    assert {(r["low"], r["high"], r["overlap"]) for r in similarity.near_sets(sets, 0.7).collect()} == want and want
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 18])
+def test_least_near_of_many(spark, monkeypatch, buckets):
+    """Whatever the order of tokens; keys that repeat with one text and with several, copies, candidates in several rounds."""
+    monkeypatch.setattr(similarity, "ASKED", 2)
+    monkeypatch.setattr(similarity, "BUCKETS", buckets)
+    chance = random.Random(8)
+    texts = made(chance, 120) + [" ".join(chance.sample(WORDS[:14], 13)) for _ in range(40)]
+    rows = [(chance.randrange(150), t) for t in texts] + [(k, t) for k, t in enumerate(texts[:10])]
+    got = similarity.near_duplicates(spark.createDataFrame(rows, "id long, text string"), "id", "text", 0.8).collect()
+    sets = [(k, frozenset(t.lower().replace(".", "").split())) for k, t in rows]
+    want = []
+    for k, s in sets:
+        near = [j for j, t in sets if t != s and s and t and jaccard(s, t) >= 0.8 - 1e-12 and j == min(i for i, u in sets if u == t)]
+        want.append((k, min(j for j, t in sets if t == s), min(near, default=None)))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and sum(w[2] is not None for w in want) > 30
+
+
+def test_a_group_of_near_sets_does_not_fetch_all_its_pairs(spark, monkeypatch):
+    """Of 60 sets that are all near each other, ten with nothing near: 1,770 pairs may be near, 60 times ASKED are looked at."""
+    asked = []
+    plainly = similarity._checked
+
+    def watched(pairs, sets, threshold):
+        asked.append(pairs.count())
+        return plainly(pairs, sets, threshold)
+
+    monkeypatch.setattr(similarity, "_checked", watched)
+    common = " ".join(f"w{k}" for k in range(80))
+    texts = [(k, f"{common} x{k}") for k in range(60)] + [(100 + k, f"y{k} z{k}") for k in range(10)]
+    got = {r["id"]: r["first_near"] for r in similarity.near_duplicates(spark.createDataFrame(texts, "id long, text string"), "id", "text").collect()}
+    assert got == {0: 1} | {k: 0 for k in range(1, 60)} | {100 + k: None for k in range(10)}
+    assert 59 <= sum(asked) <= 60 * similarity.ASKED
+
+
+def test_tokens_are_not_shuffled_to_be_ordered(spark, monkeypatch):
+    """The table of texts and that of the first tokens are written without an exchange."""
+    plans = []
+    plain_written = similarity.written
+
+    def watched(df, *args, **kwargs):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return plain_written(df, *args, **kwargs)
+
+    monkeypatch.setattr(similarity, "written", watched)
+    texts = [(k, f"{k % 50} {k % 7} a b c d e f g h") for k in range(300)]
+    assert similarity.near_duplicates(spark.createDataFrame(texts, "id long, text string"), "id", "text").count() == 300
+    assert all("Exchange" not in text for columns, text in plans if "packed" in columns or "first" in columns)
+    assert sum("first" in columns for columns, _ in plans) == 1
