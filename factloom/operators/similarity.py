@@ -35,6 +35,8 @@ BRIEF = 8
 BUCKETS = 1 << 18
 #: Candidates of a set that are checked first; every further time so many times as many.
 ASKED = 8
+#: Keys of a set under which it is first held against others.
+FEW = 8
 #: Hashes of tokens that go to Python at once.
 BATCH_BYTES = 16 << 20
 #: Between the tokens of a packed set, and what marks it inside a token.
@@ -133,7 +135,8 @@ def near_sets(sets: DataFrame, threshold: float) -> DataFrame:
     """
     _check(threshold)
     sets = _kept(sets.select("set_id", F.col("size").cast("int").alias("size"), _packed(F.col("tokens")).alias("packed")))
-    return _checked(_candidates(sets, threshold), sets, threshold)
+    firsts, sketches = _firsts_and_sketches(sets, threshold)
+    return _checked(_close(_pairs(_cells(firsts, threshold), threshold), sketches, threshold), sets, threshold)
 
 
 def _kept(texts: DataFrame) -> DataFrame:
@@ -157,33 +160,61 @@ def _brief_apart(even: Column) -> Column:
     return F.when(even, differ(a, b)).otherwise(differ(folded(a), folded(b)))
 
 
-def _candidates(sets: DataFrame, threshold: float, only: DataFrame | None = None) -> DataFrame:
-    """(x, y): pairs of (set_id, size, packed) that may be near, each once; with ``only``, of those whose set_id it has."""
-    known = F.filter(F.split("packed", GAP), lambda t: t != f"{MARK}n")
-    firsts = _first_tokens(sets.select("set_id", "size", F.transform(known, lambda t: F.xxhash64(t)).alias("hashes")), threshold)
-    if only is not None:
-        firsts = firsts.join(only, "set_id", "left_semi")
+def _tokens(packed: str) -> Column:
+    return F.filter(F.split(packed, GAP), lambda t: t != f"{MARK}n")
+
+
+def _cells(firsts: DataFrame, threshold: float, *more: str, few: int | None = None) -> DataFrame:
+    """A row per key of a set, or per key of its ``few`` least ones, which near sets mostly have in common."""
+    keys = _keys(F.col("size"), F.col("first"), threshold)
+    if few is not None:
+        keys = F.slice(F.array_sort(F.transform(keys, lambda k: F.struct(F.xxhash64(k["kind"], k["key"]).alias("key"), k["kind"].alias("kind")))), 1, few)
     # Plain columns, as millions of pairs are held against each other; words that a narrow sketch lacks are 0.
     words = [F.coalesce(F.get("brief", F.lit(k)), F.lit(0).cast("long")).alias(f"w{k}") for k in range(BRIEF)]
-    cells = firsts.select("set_id", "size", F.size("brief").alias("wide"), *words, F.inline(_keys(F.col("size"), F.col("first"), threshold)))
-    # Tests that can't be taken apart and the same columns on both sides: so the join reads one exchange twice.
+    cells = firsts.select("set_id", "size", *more, F.size("brief").alias("wide"), *words, F.inline(keys))
     mark = F.col("wide") * 4 + (F.col("kind") == 1).cast("int") * 2 + (F.col("size") > LONG).cast("int")
-    cells = cells.select("set_id", "size", *[f"w{k}" for k in range(BRIEF)], mark.alias("mark"), F.xxhash64("kind", "key").alias("key"))
-    a, b = cells.alias("a"), cells.alias("b")
-    smaller = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.set_id") < F.col("b.set_id")))
-    alike = F.col("a.size") >= F.col("b.size") * threshold - 1e-9
+    return cells.select("set_id", "size", *more, *[f"w{k}" for k in range(BRIEF)], mark.alias("mark"), F.xxhash64("kind", "key").alias("key"))
+
+
+def _together(threshold: float) -> Column:
+    """Whether cells a and b of one key are of sets that may be near.
+
+    Its tests can't be taken apart and ask the same columns of both sides, so a join of cells
+    with themselves reads one exchange twice.
+    """
+    same = F.col("a.key") == F.col("b.key")
+    alike = F.least("a.size", "b.size") >= F.greatest("a.size", "b.size") * threshold - 1e-9
     # Pairs of which both are short are found by pairs of tokens, the others by single ones.
-    right_kind = F.shiftright("a.mark", 1).bitwiseAND(F.lit(1)) + F.col("b.mark").bitwiseAND(F.lit(1)) != 1
+    right_kind = F.shiftright("a.mark", 1).bitwiseAND(F.lit(1)) + F.col("a.mark").bitwiseOR(F.col("b.mark")).bitwiseAND(F.lit(1)) != 1
     even = F.shiftright("a.mark", 2) == F.shiftright("b.mark", 2)
     # Of n tokens in both sets together, no more than this may be in one only.
-    spare = (1 - threshold) / (1 + threshold)
-    close = _brief_apart(even) <= (F.col("a.size") + F.col("b.size")) * spare + 1e-6
-    met = a.hint("merge").join(b, (F.col("a.key") == F.col("b.key")) & smaller & alike & right_kind & close)
-    pairs = written(met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct())
-    sketches = written(_sketches(sets.select("set_id", "size", F.explode(known).alias("token"))))
+    return same & alike & right_kind & (_brief_apart(even) <= (F.col("a.size") + F.col("b.size")) * _spare(threshold) + 1e-6)
+
+
+def _spare(threshold: float) -> float:
+    return (1 - threshold) / (1 + threshold)
+
+
+def _pairs(cells: DataFrame, threshold: float, wanted: Column | None = None) -> DataFrame:
+    """(x, y): pairs of sets that meet under a key, each once."""
+    a, b = cells.alias("a"), cells.alias("b")
+    smaller = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.set_id") < F.col("b.set_id")))
+    test = smaller & _together(threshold)
+    met = a.hint("merge").join(b, test if wanted is None else test & wanted)
+    return met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
+
+
+def _firsts_and_sketches(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    firsts = _first_tokens(sets.select("set_id", "size", F.transform(_tokens("packed"), lambda t: F.xxhash64(t)).alias("hashes")), threshold)
+    return firsts, written(_sketches(sets.select("set_id", "size", F.explode(_tokens("packed")).alias("token"))))
+
+
+def _close(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that long sketches do not prove too far apart."""
     x, y = (sketches.select(F.col("set_id").alias(n), F.col("size").alias(f"{n}_size"), F.col("sketch").alias(f"{n}_sketch")) for n in ("x", "y"))
     apart = sum((F.bit_count(F.col("x_sketch")[w].bitwiseXOR(F.col("y_sketch")[w])) for w in range(WORDS)), F.lit(0))
-    return written(pairs.join(x, "x").join(y, "y").filter(apart <= (F.col("x_size") + F.col("y_size")) * spare + 1e-6).select("x", "y"))
+    may = (F.col("x_size") + F.col("y_size")) * _spare(threshold) + 1e-6
+    return written(written(pairs).join(x, "x").join(y, "y").filter(apart <= may).select("x", "y"))
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -198,25 +229,44 @@ def _checked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return near.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"), "overlap", (F.col("overlap") / F.col("union")).alias("similarity"))
 
 
-def _first_near(sets: DataFrame, firsts: DataFrame, threshold: float) -> DataFrame:
-    """(set_id, first_near): the least key of a near set, of the sets in ``firsts`` (set_id, size, _key).
+def _least(ends: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(set_id, first_near): the least key of a near set, out of candidates (set_id, _other, first_near).
 
-    Candidates of a set are checked by rising keys, a few, then ASKED times as many, until one is
-    near; so a group of sets that are all near each other does not fetch the tokens of all pairs.
+    Candidates of a set are checked by rising keys, a few, then ASKED times as many, until one is near.
     """
-    pairs = _candidates(sets, threshold, firsts.filter("size > 0").select("set_id"))
-    ends = pairs.select(F.inline(F.array(*[F.struct(F.col(a).alias("set_id"), F.col(b).alias("_other")) for a, b in (("x", "y"), ("y", "x"))])))
-    other = firsts.select(F.col("set_id").alias("_other"), F.col("_key").alias("first_near"))
     turn = F.row_number().over(Window.partitionBy("set_id").orderBy("first_near", "_other"))
-    waiting, most, found = written(ends.join(other, "_other").withColumn("_turn", turn)), ASKED, []
+    waiting, most, found = written(ends.withColumn("_turn", turn)), ASKED, []
     while not waiting.isEmpty():
         now = waiting.filter(F.col("_turn") <= most).withColumns({"low": F.least("set_id", "_other"), "high": F.greatest("set_id", "_other")})
         near = _checked(now.select(F.col("low").alias("x"), F.col("high").alias("y")).distinct(), sets, threshold).select("low", "high")
         found.append(written(now.join(near, ["low", "high"]).groupBy("set_id").agg(F.min("first_near").alias("first_near"))))
         waiting = written(waiting.filter(F.col("_turn") > most).join(found[-1], "set_id", "left_anti"))
         most *= ASKED
-    none = waiting.select("set_id", "first_near")
-    return reduce(lambda a, b: a.unionByName(b), found, none)
+    return reduce(lambda a, b: a.unionByName(b), found, waiting.select("set_id", "first_near"))
+
+
+def _first_near(sets: DataFrame, keys: DataFrame, threshold: float) -> DataFrame:
+    """(set_id, first_near): the least key of a near set, of the sets in ``keys`` (set_id, _key).
+
+    First each set is held against the sets of least key under a few of its keys. After that only
+    pairs are made that give one of the two a lesser key than it has, so a group of sets that are
+    all near each other does not make all its pairs.
+    """
+    firsts, sketches = _firsts_and_sketches(sets, threshold)
+    firsts = firsts.join(keys, "set_id")
+    other = keys.select(F.col("set_id").alias("_other"), F.col("_key").alias("first_near"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("_key", "set_id"))
+    ranked = _cells(firsts, threshold, "_key", few=FEW).withColumn("_rank", rank)
+    met = ranked.alias("a").hint("merge").join(ranked.filter(F.col("_rank") <= 2).alias("b"), _together(threshold) & (F.col("a.set_id") != F.col("b.set_id")))
+    pairs = _close(met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct(), sketches, threshold)
+    begun = written(_least(pairs.select(F.col("x").alias("set_id"), F.col("y").alias("_other")).join(other, "_other"), sets, threshold))
+    best = begun.select("set_id", F.col("first_near").alias("_best"))
+    cells = _cells(firsts.join(best, "set_id", "left"), threshold, "_key", "_best")
+    lesser = F.col("a._best").isNull() | F.col("b._best").isNull() | (F.col("b._key") < F.col("a._best")) | (F.col("a._key") < F.col("b._best"))
+    pairs = _close(_pairs(cells, threshold, lesser), sketches, threshold)
+    ends = pairs.select(F.inline(F.array(*[F.struct(F.col(a).alias("set_id"), F.col(b).alias("_other")) for a, b in (("x", "y"), ("y", "x"))])))
+    ends = ends.join(other, "_other").join(best, "set_id", "left").filter(F.col("_best").isNull() | (F.col("first_near") < F.col("_best"))).drop("_best")
+    return begun.unionByName(_least(ends, sets, threshold)).groupBy("set_id").agg(F.min("first_near").alias("first_near"))
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.9) -> DataFrame:
@@ -231,7 +281,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.9)
     # Written, so that rows keep their numbers.
     rows = _kept(rows.select("*", F.unhex(F.sha2(F.concat_ws(" ", "size", "packed"), 256)).alias("_h"), F.monotonically_increasing_id().alias("set_id")))
     firsts = written(rows.groupBy("_h").agg(F.min(F.struct("_key", "set_id")).alias("_first"), F.min("size").alias("size")).select("_h", "size", "_first.*"))
-    near = _first_near(rows.filter("size > 0").select("set_id", "size", "packed"), firsts, threshold)
+    near = _first_near(rows.filter("size > 0").select("set_id", "size", "packed"), firsts.filter("size > 0").select("set_id", "_key"), threshold)
     told = firsts.join(near, "set_id", "left").select("_h", F.col("_key").alias("first_equal"), "first_near")
     return rows.select(F.col("_key").alias(key), "_h").join(told, "_h").select(key, "first_equal", "first_near")
 
